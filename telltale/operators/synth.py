@@ -1,0 +1,78 @@
+"""Repeatable test readings at any scale."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from telltale.fixed import CAR_NAMES, CAR_RULES
+from telltale.schema import READING_FIELDS
+from telltale.sources.rules import Rule
+
+_STEPS = 1_000_000_000
+
+
+def _draw(seed: int, *parts: Column) -> Column:
+    """A whole number that depends on its parts only.
+
+    ``rand()`` depends on the partition a row is in; a digest gives the same
+    reading wherever and however often a task runs.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
+
+
+def ticks(spark: SparkSession, count: int, start: str, seconds: int = 1) -> DataFrame:
+    """``count`` ticks, evenly spaced from ``start``."""
+    first = F.unix_seconds(F.lit(start).cast("timestamp"))
+    return spark.range(count).select(
+        F.col("id").alias("tick"),
+        F.timestamp_seconds(first + F.col("id") * F.lit(seconds)).alias("messagedate"),
+    )
+
+
+def tick_stream(spark: SparkSession, ticks_per_second: int) -> DataFrame:
+    """An endless stream of ticks at a steady rate."""
+    rate = spark.readStream.format("rate").option("rowsPerSecond", ticks_per_second).load()
+    return rate.select(F.col("value").alias("tick"), F.col("timestamp").alias("messagedate"))
+
+
+def synth_readings(
+    tick_frame: DataFrame,
+    rules: Sequence[Rule] = CAR_RULES,
+    names: Sequence[str] = CAR_NAMES,
+    seed: int = 42,
+) -> DataFrame:
+    """For every tick one name, one id and one reading per rule.
+
+    Values are uniform in [value - ent, value + ent), in exact decimals. The
+    rules are a parameter of the job, so every tick is expanded in place by a
+    literal array: no join, no shuffle, no state.
+    """
+    pick = F.pmod(_draw(seed, F.col("tick"), F.lit("name")), F.lit(len(names))).cast("int")
+    literal_rules = F.array(
+        *[
+            F.struct(
+                F.lit(metrics).alias("metrics"),
+                F.lit(value.strip()).cast("decimal(18,9)").alias("base"),
+                F.lit(ent.strip()).cast("decimal(18,9)").alias("ent"),
+            )
+            for metrics, value, ent, _ in rules
+        ]
+    )
+    per_tick = tick_frame.select(
+        "tick",
+        "messagedate",
+        F.element_at(F.array(*[F.lit(n) for n in names]), pick + 1).alias("name"),
+        F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tick").cast("string"))).alias("messageid"),
+        F.explode(literal_rules).alias("rule"),
+    )
+    step = F.pmod(_draw(seed, F.col("tick"), F.col("rule.metrics")), F.lit(_STEPS))
+    share = (step * 2 - _STEPS).cast("decimal(11,0)") * F.lit("0.000000001").cast("decimal(9,9)")
+    share = share.cast("decimal(10,9)")  # in [-1, 1), so the product below stays exact
+    value = (F.col("rule.base") + F.col("rule.ent") * share).cast("decimal(30,12)")
+    return per_tick.withColumn("metrics", F.col("rule.metrics")).withColumn(
+        "value", value.cast("string")
+    ).select(*READING_FIELDS)
