@@ -14,9 +14,9 @@ def truncated_int(text: Column) -> Column:
     exact. DECIMAL(38,27) has 11 whole digits, enough for every INT, so a text
     out of its range is out of INT's range too. Exponents are read (``'1e3'``).
     """
-    return F.trim(text.cast("string")).try_cast("decimal(38,27)").try_cast("int")
+    return text.cast("string").try_cast("decimal(38,27)").try_cast("int")
 
 
 def number(text: Column) -> Column:
     """DOUBLE value of a text that may carry blanks; NULL if it is no number."""
-    return F.trim(text.cast("string")).try_cast("double")
+    return text.cast("string").try_cast("double")

@@ -24,26 +24,23 @@ def decode(messages: DataFrame) -> DataFrame:
     Adds ``raw`` (the message) and ``problem`` (NULL for a good reading) to the
     five reading columns. Works on batch and streaming frames alike and keeps
     one output row per input row. A NULL ``value`` is a reading without a value.
+
+    The parsed object goes through ``inline``: a filter on ``problem`` cannot be
+    pushed below it, which would parse the text again for every member tested.
     """
     parsed = messages.select(
         F.col("value").alias("raw"),
-        F.from_json("value", _WIRE, _OPTIONS).alias("m"),
-    )
-    flat = parsed.select(
-        "raw",
-        F.col("m").isNull().alias("unread"),
-        F.col(f"m.{_CORRUPT}").alias("corrupt"),
-        *[F.col(f"m.{f}").alias(f) for f in MESSAGE_FIELDS],
+        F.inline(F.array(F.from_json("value", _WIRE, _OPTIONS))),
     )
-    timed = flat.withColumn("sent", F.col("messagedate")).withColumn(
-        "messagedate", event_time(F.col("messagedate"))
+    timed = parsed.withColumn("sent", F.col("messagedate")).withColumn(
+        "messagedate", event_time(F.col("sent"))
     )
-    members = ("messageid", "sent", "metrics", "name")
+    blank = F.col("raw").isNull() | (F.trim("raw") == "")
     absent = F.lit(False)
-    for member in members:
+    for member in ("messageid", "sent", "metrics", "name"):
         absent = absent | F.col(member).isNull()
     problem = (
-        F.when(F.col("unread") | F.col("corrupt").isNotNull(), "not a JSON object")
+        F.when(blank | F.col(_CORRUPT).isNotNull(), "not a JSON object")
         .when(absent, "member missing")
         .when(F.col("messagedate").isNull(), "time unreadable")
     )

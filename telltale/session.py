@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -14,13 +16,15 @@ def build_session(app: str = "telltale", **settings: str) -> SparkSession:
     """A session with the settings the jobs rely on.
 
     Timestamps are formatted and parsed in UTC, so no window label occurs twice
-    on the day a local clock is set back. Everything else keeps Spark's defaults
-    (adaptive execution with skew-join handling and partition coalescing is one).
+    on the day a local clock is set back. State of streams is kept in RocksDB, off
+    the heap. Everything else keeps Spark's defaults (adaptive execution with
+    skew-join handling and partition coalescing is one).
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -44,22 +44,29 @@ def insert_rows(spark: SparkSession, name: str, rows: Iterable[Sequence[str]]) -
 
 
 def append_by_date(frame: DataFrame, path: str) -> None:
-    """Append readings to files by event date."""
-    with_event_date(frame).write.mode("append").partitionBy("event_date").parquet(path)
+    """Append readings to files by event date, each date in files of a good size."""
+    dated = with_event_date(frame).hint("rebalance", "event_date")
+    dated.write.mode("append").partitionBy("event_date").parquet(path)
 
 
-def write_batch(frame: DataFrame, path: str, batch: str, time: str | None) -> None:
+def write_batch(
+    frame: DataFrame, path: str, batch: str, time: str | None = None, by_day: bool = False
+) -> None:
     """Write one batch so that repeating it leaves the table unchanged.
 
     A batch owns its partitions (``event_date`` and ``batch``) and replaces them.
     ``batch`` has to name the run as well as the number of the batch, or a new
     stream over the same table would replace the batches of an old one.
+    ``by_day`` gathers the rows of a day first; without it every task writes a
+    file for every day it holds.
     """
     tagged = frame.withColumn("batch", F.lit(batch))
     keys = ["batch"]
     if time is not None:
         tagged = with_event_date(tagged, time)
         keys = ["event_date", "batch"]
+        if by_day:
+            tagged = tagged.hint("rebalance", "event_date")
     _replace(tagged, path, *keys)
 
 

@@ -67,33 +67,40 @@ class SpeedLayer:
         """
         decoded = decode(messages).persist()
         try:
-            # The count fills the cache with all tasks; the writes below read it
-            # with as many tasks as the rows deserve files.
-            total, wrong = decoded.agg(
-                F.count("*"), F.count_if(F.col("problem").isNotNull())
+            # Filling the cache takes all tasks; the writes below read it.
+            day = F.to_date("messagedate")
+            total, wrong, first, last = decoded.agg(
+                F.count("*"),
+                F.count_if(F.col("problem").isNotNull()),
+                F.min(day),
+                F.max(day),
             ).first()
             if total == 0:
                 return
             if wrong and self.on_bad == "fail":
                 raise BadMessages(f"batch {batch}: {wrong} of {total} messages unreadable")
+
             files = -(-total // self.rows_per_file)
-            readings = good(decoded).coalesce(files)
+            # A batch of one day is written as it lies, in as many files as it
+            # deserves. A catch-up over many days is gathered by day first.
+            by_day = first != last
+            readings = good(decoded) if by_day else good(decoded).coalesce(files)
             if self.peek_rows:
                 readings.show(self.peek_rows, truncate=False)
             for path in (self.history_path, self.copy_path):
                 if path is not None:
-                    write_batch(readings, path, batch, "messagedate")
+                    write_batch(readings, path, batch, "messagedate", by_day)
             rules = self.rules() if callable(self.rules) else self.rules
             if self.alerts_path is not None:
                 found = alert_details(readings, rules)
-                write_batch(found, self.alerts_path, batch, "messagedate")
+                write_batch(found, self.alerts_path, batch, "messagedate", by_day)
             if self.rule_text is not None:
-                write_batch(self._own_rule(readings, rules), self.rule_text_path, batch, None)
+                write_batch(self._own_rule(readings, rules), self.rule_text_path, batch)
             if self.cells_path is not None:
                 cells = to_cells(readings, self.cell_stamp, self.cell_metric)
-                write_batch(cells, self.cells_path, batch, "version")
+                write_batch(cells, self.cells_path, batch, "version", by_day)
             if wrong:
-                write_batch(bad(decoded).coalesce(files), self.quarantine_path, batch, None)
+                write_batch(bad(decoded).coalesce(files), self.quarantine_path, batch)
         finally:
             decoded.unpersist()
 
