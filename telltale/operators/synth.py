@@ -62,17 +62,18 @@ def synth_readings(
             for metrics, value, ent, _ in rules
         ]
     )
-    per_tick = tick_frame.select(
+    # What is the same for all rules of a tick is computed below the expansion.
+    named = tick_frame.select(
         "tick",
         "messagedate",
         F.element_at(F.array(*[F.lit(n) for n in names]), pick + 1).alias("name"),
         F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tick").cast("string"))).alias("messageid"),
-        F.explode(literal_rules).alias("rule"),
     )
+    per_rule = named.select("*", F.explode(literal_rules).alias("rule"))
     step = F.pmod(_draw(seed, F.col("tick"), F.col("rule.metrics")), F.lit(_STEPS))
     share = (step * 2 - _STEPS).cast("decimal(11,0)") * F.lit("0.000000001").cast("decimal(9,9)")
     share = share.cast("decimal(10,9)")  # in [-1, 1), so the product below stays exact
     value = (F.col("rule.base") + F.col("rule.ent") * share).cast("decimal(30,12)")
-    return per_tick.withColumn("metrics", F.col("rule.metrics")).withColumn(
+    return per_rule.withColumn("metrics", F.col("rule.metrics")).withColumn(
         "value", value.cast("string")
     ).select(*READING_FIELDS)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +46,10 @@ class Spine:
         in the scan. All other readings would match no window.
         """
         kind = readings.schema["messagedate"].dataType
-        time = F.col("messagedate")
+        sent = F.col("messagedate")
         return readings.where(
-            (time >= self.first.cast(kind)) & (time < self.end.cast(kind))
-        ).withColumn("window_start", bucket_start(time, self.seconds))
+            (sent >= self.first.cast(kind)) & (sent < self.end.cast(kind))
+        ).withColumn("window_start", bucket_start(sent, self.seconds))
 
 
 def spine_for(
@@ -60,13 +60,22 @@ def spine_for(
     return Spine(F.date_sub(day, 1).cast("timestamp"), windows, seconds)
 
 
+def spine_days(
+    as_of: date, windows: int = WINDOW_COUNT, seconds: int = WINDOW_SECONDS
+) -> tuple[date, date]:
+    """First and last event date of the spine of a batch run, for partition pruning."""
+    first = as_of - timedelta(days=1)
+    length = timedelta(seconds=max(windows * seconds - 1, 0))
+    return first, (datetime.combine(first, time()) + length).date()
+
+
 def spine_over(readings: DataFrame, seconds: int = WINDOW_SECONDS) -> Spine:
     """The spine from the first to the last reading; without readings it is empty.
 
     Only the two ends come to the driver.
     """
-    time = F.unix_seconds(F.col("messagedate").cast("timestamp"))
-    low, high = readings.agg(F.min(time), F.max(time)).first()
+    sent = F.unix_seconds(F.col("messagedate").cast("timestamp"))
+    low, high = readings.agg(F.min(sent), F.max(sent)).first()
     if low is None:
         return Spine(F.timestamp_seconds(F.lit(0)), 0, seconds)
     windows = high // seconds - low // seconds + 1

@@ -66,7 +66,7 @@ def history(
     spark: SparkSession, path: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Stored readings, restricted to whole event dates by partition pruning."""
-    stored = spark.read.schema(STORED_READING).parquet(path)
+    stored = spark.read.schema(STORED_READING).parquet(path).select(*STORED_READING.names)
     if first is not None:
         stored = stored.where(F.col("event_date") >= F.lit(first))
     if last is not None:

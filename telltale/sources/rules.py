@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telltale.schema import RULE
@@ -57,14 +57,19 @@ def csv_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def delimited_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Rules from comma-separated text without header or quotes, ``\\`` escapes."""
-    return (
-        spark.read.schema(RULE)
-        .option("sep", ",")
-        .option("quote", "")
-        .option("escape", "\\")
-        .csv(path)
-    )
+    """Rules from comma-separated text without header or quotes.
+
+    A backslash takes the next character as it is, a comma too, and ``\\N`` is
+    NULL. The CSV reader knows escapes inside quotes only, so lines are cut here.
+    """
+    fields = F.regexp_extract_all("value", F.lit(r"((?:[^\\,]|\\.)*)(?:,|$)"), F.lit(1))
+
+    def field(i: int) -> Column:
+        raw = F.get(F.col("fields"), F.lit(i))
+        return F.when(raw != r"\N", F.regexp_replace(raw, r"\\(.)", "$1"))
+
+    lines = spark.read.text(path).select(fields.alias("fields"))
+    return lines.select(*[field(i).alias(n) for i, n in enumerate(RULE.names)])
 
 
 def check_rules(rules: DataFrame, unique: Sequence[str] = ("metrics", "mod")) -> RuleSet:
