@@ -300,7 +300,7 @@ def csv_quoted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id", "event_type", "value", "props"
     )
     write_quoted_csv(events, path)
-    return read_quoted_csv(events.schema, spark, path)
+    return read_quoted_csv(spark, path, events.schema)
 
 
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

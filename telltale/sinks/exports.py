@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -15,15 +15,21 @@ def write_quoted_csv(frame: DataFrame, path: str) -> None:
         frame.write.option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
-def read_quoted_csv(frame_schema: StructType, spark, path: str, multiline: bool = False) -> DataFrame:
-    """Read it back. Fields with line breaks need ``multiline``, which reads
-    every file in one piece."""
+def read_quoted_csv(
+    spark: SparkSession, path: str, schema: StructType, multiline: bool = False
+) -> DataFrame:
+    """Read it back; an empty field is NULL, as CSV does not tell the two apart.
+
+    Fields with line breaks need ``multiline``, which reads a file in one piece.
+    """
     return (
-        spark.read.schema(frame_schema)
+        spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multiline)

@@ -95,7 +95,7 @@ class SpeedLayer:
                 found = alert_details(readings, rules)
                 write_batch(found, self.alerts_path, batch, "messagedate", by_day)
             if self.rule_text is not None:
-                write_batch(self._own_rule(readings, rules), self.rule_text_path, batch)
+                self._write_own_rule(readings, rules, batch)
             if self.cells_path is not None:
                 cells = to_cells(readings, self.cell_stamp, self.cell_metric)
                 write_batch(cells, self.cells_path, batch, "version", by_day)
@@ -104,12 +104,19 @@ class SpeedLayer:
         finally:
             decoded.unpersist()
 
-    def _own_rule(self, readings: DataFrame, rules: RuleSet) -> DataFrame:
-        # The views have to be in the batch's own session.
+    def _write_own_rule(self, readings: DataFrame, rules: RuleSet, batch: str) -> None:
+        # A stream works in a session of its own; a view of the rules reaches it
+        # as a global one.
         session = readings.sparkSession
+        shared = f"rules_{uuid.uuid4().hex}"
+        rules.frame.createOrReplaceGlobalTempView(shared)
+        session.table(f"global_temp.{shared}").createOrReplaceTempView(self.rules_view)
         readings.createOrReplaceTempView(self.inbox_view)
-        rules.frame.createOrReplaceTempView(self.rules_view)
-        return run_rule_text(session, self.rule_text)
+        try:
+            found = run_rule_text(session, self.rule_text)
+            write_batch(found, self.rule_text_path, batch)
+        finally:
+            session.catalog.dropGlobalTempView(shared)
 
     def start(
         self, messages: DataFrame, checkpoint: str, interval: str | None = "1 second"

@@ -1,0 +1,209 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from telltale.operators.cells import latest_cells
+from telltale.plans.queries import RULE_TEXT
+from telltale.sources.readings import history, text_messages, text_stream
+from telltale.sources.rules import check_rules, csv_rules, literal_rules
+from telltale.streaming.dashboard import read_window_max, start_window_max
+from telltale.streaming.speed import BadMessages, SpeedLayer, read_output, run_once
+
+
+def _message(i, value, time="20180629170000", metrics="speed"):
+    return json.dumps(
+        {
+            "name": "AB-C 1234",
+            "messageid": str(i),
+            "messagedate": time,
+            "metrics": metrics,
+            "value": str(value),
+        }
+    )
+
+
+@pytest.fixture
+def inbox(tmp_path):
+    """Write text files of messages into a folder that a stream reads."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def put(name, *messages):
+        (folder / name).write_text("\n".join(messages) + "\n")
+        return str(folder)
+
+    return put
+
+
+@pytest.fixture
+def layer(spark, tmp_path):
+    def make(**changes):
+        rules = check_rules(literal_rules(spark, [("speed", "130", "50", "gt")]))
+        settings = {
+            "rules": rules,
+            "history_path": str(tmp_path / "history"),
+            "alerts_path": str(tmp_path / "alerts"),
+            "cells_path": str(tmp_path / "cells"),
+        }
+        settings.update(changes)
+        return SpeedLayer(**settings)
+
+    return make
+
+
+def _drain(layer, stream, tmp_path, state="state"):
+    layer.start(stream, str(tmp_path / state), interval=None).awaitTermination()
+
+
+def test_stream_equals_batch_and_a_restart_adds_nothing(spark, inbox, layer, rows, tmp_path):
+    folder = inbox("1.txt", *[_message(i, 120 + i) for i in range(20)])
+    inbox("2.txt", *[_message(i, 120 + i, "20180630000000") for i in range(20, 40)])
+    work = layer()
+    for _ in range(2):
+        _drain(work, text_stream(spark, folder, files_per_batch=1), tmp_path)
+
+    alone = layer(
+        history_path=str(tmp_path / "h1"),
+        alerts_path=str(tmp_path / "a1"),
+        cells_path=str(tmp_path / "c1"),
+    )
+    run_once(alone, text_messages(spark, folder))
+    for streamed, batch in (("history", "h1"), ("alerts", "a1"), ("cells", "c1")):
+        found = rows(read_output(spark, str(tmp_path / streamed)))
+        assert found == rows(read_output(spark, str(tmp_path / batch)))
+        assert len(found) == (29 if streamed == "alerts" else 40)
+
+    inbox("3.txt", _message(99, 150))
+    _drain(work, text_stream(spark, folder, files_per_batch=1), tmp_path)
+    assert history(spark, str(tmp_path / "history")).count() == 41
+
+
+def test_a_new_stream_does_not_replace_an_old_one(spark, inbox, layer, tmp_path):
+    folder = inbox("1.txt", _message(1, 150))
+    _drain(layer(), text_stream(spark, folder), tmp_path, "first")
+    _drain(layer(), text_stream(spark, folder), tmp_path, "second")
+    assert history(spark, str(tmp_path / "history")).count() == 2
+
+
+def test_a_named_run_replaces_itself(spark, inbox, layer, tmp_path):
+    messages = text_messages(spark, inbox("1.txt", _message(1, 150), _message(2, 1)))
+    for _ in range(2):
+        run_once(layer(), messages, run="monday")
+    assert history(spark, str(tmp_path / "history")).count() == 2
+    run_once(layer(), messages)
+    assert history(spark, str(tmp_path / "history")).count() == 4
+
+
+def test_an_empty_batch_writes_nothing(spark, layer, tmp_path):
+    run_once(layer(), spark.createDataFrame([], "value string"))
+    assert not (tmp_path / "history").exists()
+
+
+def test_a_bad_message_stops_the_stream_before_anything_is_written(
+    spark, inbox, layer, tmp_path
+):
+    folder = inbox("1.txt", _message(1, 150), "{bad")
+    with pytest.raises(StreamingQueryException, match="1 of 2 messages unreadable"):
+        _drain(layer(), text_stream(spark, folder), tmp_path)
+    with pytest.raises(BadMessages):
+        run_once(layer(), text_messages(spark, folder))
+    assert not (tmp_path / "history").exists()
+
+
+def test_bad_messages_in_quarantine(spark, inbox, layer, rows, tmp_path):
+    folder = inbox("1.txt", _message(1, 150), "{bad", _message(2, 1, "2018-06"))
+    work = layer(on_bad="quarantine", quarantine_path=str(tmp_path / "bad"))
+    _drain(work, text_stream(spark, folder), tmp_path)
+    assert history(spark, str(tmp_path / "history")).count() == 1
+    assert rows(read_output(spark, str(tmp_path / "bad")), "problem") == [
+        ("not a JSON object",),
+        ("time unreadable",),
+    ]
+
+
+def test_own_rule_and_copy(spark, inbox, layer, rows, tmp_path):
+    folder = inbox("1.txt", _message(1, 150.9), _message(2, "abc"))
+    work = layer(
+        rule_text=RULE_TEXT,
+        rule_text_path=str(tmp_path / "own"),
+        copy_path=str(tmp_path / "copy"),
+        peek_rows=1,
+    )
+    _drain(work, text_stream(spark, folder), tmp_path)
+    assert rows(read_output(spark, str(tmp_path / "own"))) == [("AB-C 1234", "speed", "130")]
+    assert history(spark, str(tmp_path / "copy")).count() == 2
+
+
+def test_rules_loaded_for_every_batch(spark, inbox, layer, rows, tmp_path):
+    csv = tmp_path / "rules.csv"
+    csv.write_text('"metrics","value","ent","mod"\n"speed","130","1","gt"\n')
+    work = layer(rules=lambda: check_rules(csv_rules(spark, str(csv))))
+    folder = inbox("1.txt", _message(1, 150))
+    _drain(work, text_stream(spark, folder), tmp_path)
+    csv.write_text('"metrics","value","ent","mod"\n"speed","140","1","gt"\n')
+    inbox("2.txt", _message(2, 150))
+    _drain(work, text_stream(spark, folder), tmp_path)
+    found = read_output(spark, str(tmp_path / "alerts"))
+    assert rows(found, "messageid", "threshold") == [("1", "130"), ("2", "140")]
+
+
+def test_cells_of_later_batches_win(spark, inbox, layer, rows, tmp_path):
+    folder = inbox("1.txt", _message(1, 5))
+    stream = text_stream(spark, folder, files_per_batch=1)
+    _drain(layer(), stream, tmp_path)
+    inbox("2.txt", _message(2, 6))
+    _drain(layer(), stream, tmp_path)
+    latest = latest_cells(read_output(spark, str(tmp_path / "cells")))
+    assert rows(latest) == [("AB-C 1234-20180629170000", "car", "speed", "6")]
+
+
+def test_settings_are_checked(layer):
+    for wrong in (
+        {"on_bad": "ignore"},
+        {"on_bad": "quarantine"},
+        {"rule_text": "SELECT 1"},
+    ):
+        with pytest.raises(ValueError):
+            layer(**wrong)
+
+
+def test_files_follow_the_number_of_rows(spark, layer, tmp_path):
+    messages = spark.range(1000).repartition(8).select(
+        F.lit(_message(1, 150)).alias("value"), F.col("id")
+    )
+    run_once(layer(rows_per_file=400), messages.select("value"))
+    day = tmp_path / "history" / "event_date=2018-06-29"
+    assert 1 <= len(list(day.glob("batch=*/*.parquet"))) <= 3
+    assert history(spark, str(tmp_path / "history")).count() == 1000
+
+
+def test_window_max_on_a_stream(spark, rows, tmp_path):
+    source = tmp_path / "measures"
+
+    def put(*rows_):
+        spark.createDataFrame(
+            [(n, datetime.fromisoformat(t), s) for n, t, s in rows_],
+            "name string, messagedate timestamp, sugar double",
+        ).coalesce(1).write.mode("append").parquet(str(source))
+
+    def drain():
+        schema = "name string, messagedate timestamp, sugar double"
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        start_window_max(
+            stream, str(tmp_path / "out"), str(tmp_path / "state"), interval=None
+        ).awaitTermination()
+        return rows(read_window_max(spark, str(tmp_path / "out")))
+
+    put(("a", "2018-06-29 13:45:01", 5.0), ("a", "2018-06-29 13:49:59", 7.0))
+    assert drain() == [("a", "2018-06-29 13:45:00", 7.0)]
+    put(("a", "2018-06-29 13:46:00", 6.0), ("a", "2018-06-29 13:50:00", 1.0))
+    put(("a", "2018-06-29 13:47:00", 9.0), ("b", "2018-06-29 13:47:00", 2.0))
+    assert drain() == [
+        ("a", "2018-06-29 13:45:00", 9.0),
+        ("a", "2018-06-29 13:50:00", 1.0),
+        ("b", "2018-06-29 13:45:00", 2.0),
+    ]
+    assert drain() == drain()

@@ -1,0 +1,91 @@
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from telltale.fixed import CAR_NAMES, CAR_RULES
+from telltale.operators.alerts import alert_details
+from telltale.operators.decode import decode, encode, good
+from telltale.operators.synth import synth_readings, tick_stream, ticks
+from telltale.sources.rules import check_rules, literal_rules
+
+TICKS = 4000
+
+
+def _made(spark, **options):
+    return synth_readings(ticks(spark, TICKS, "2024-01-01 00:00:00"), **options)
+
+
+def test_every_tick_has_one_reading_per_rule(spark):
+    made = _made(spark)
+    per_id = made.groupBy("messageid").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("metrics").alias("metrics"),
+        F.countDistinct("name").alias("names"),
+        F.countDistinct("messagedate").alias("times"),
+    )
+    shapes = per_id.select("n", "metrics", "names", "times").distinct().collect()
+    assert [tuple(s) for s in shapes] == [(7, 7, 1, 1)]
+    assert per_id.count() == TICKS
+
+
+def test_names_are_drawn_evenly(spark):
+    counts = dict(_made(spark).groupBy("name").count().collect())
+    assert set(counts) == set(CAR_NAMES)
+    expected = TICKS * len(CAR_RULES) / len(CAR_NAMES)
+    assert all(abs(n - expected) < 0.25 * expected for n in counts.values())
+
+
+def test_values_stay_within_the_entropy(spark):
+    bounds = {m: (Decimal(v) - Decimal(e), Decimal(v) + Decimal(e)) for m, v, e, _ in CAR_RULES}
+    value = F.col("value").cast("decimal(30,12)")
+    for metrics, low, high, n in (
+        _made(spark)
+        .groupBy("metrics")
+        .agg(F.min(value), F.max(value), F.countDistinct("value"))
+        .collect()
+    ):
+        least, most = bounds[metrics]
+        assert least <= low and high < most
+        assert high - low > (most - least) * Decimal("0.99")
+        assert n > TICKS * 0.9
+
+
+def test_alert_shares_follow_from_the_rules(spark):
+    rules = check_rules(literal_rules(spark, CAR_RULES))
+    raised = dict(alert_details(_made(spark), rules).groupBy("metrics").count().collect())
+    share = {m: raised.get(m, 0) / TICKS for m, *_ in CAR_RULES}
+    assert abs(share["tire-pressure"] - 0.5) < 0.03
+    assert abs(share["ultrasonic-sensor-back"] - 0.875) < 0.03
+    assert share["driver-blood-pressure"] > 0.985
+    assert share["current-speed"] > 0.97
+    assert share["current-location-long"] > 0.97
+    assert share["ultrasonic-sensor-front"] == share["current-location-lat"] == 0
+
+
+def test_a_run_can_be_repeated_on_other_partitions(spark):
+    one, other = _made(spark), _made(spark)
+    spread = synth_readings(ticks(spark, TICKS, "2024-01-01 00:00:00").repartition(7))
+    assert one.exceptAll(other).isEmpty() and one.exceptAll(spread).isEmpty()
+    assert _made(spark, seed=1).select("value").intersect(one.select("value")).count() < TICKS / 10
+
+
+def test_messages_can_be_read_back(spark):
+    made = _made(spark)
+    assert good(decode(encode(made))).exceptAll(made).isEmpty()
+
+
+def test_rules_with_blanks_and_other_names(spark):
+    made = synth_readings(
+        ticks(spark, 10, "2024-01-01 00:00:00"), [("x", " 3", " 0.5", "gt")], ["only"]
+    )
+    assert {r["name"] for r in made.collect()} == {"only"} and made.count() == 10
+
+
+def test_no_join_and_no_shuffle(spark, plan):
+    shown = plan(_made(spark))
+    assert "Join" not in shown and "Exchange" not in shown
+
+
+def test_tick_stream(spark):
+    made = synth_readings(tick_stream(spark, 5))
+    assert made.isStreaming and made.columns[0] == "messageid"
