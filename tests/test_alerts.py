@@ -130,14 +130,24 @@ def test_plans(spark, readings, plan):
     assert "BroadcastHashJoin" in small and "LeftOuter" not in small
     assert "Exchange" not in small.replace("BroadcastExchange", "")
     assert "PythonUDF" not in small and "BatchEvalPython" not in small
-    spread = plan(alerts(made, RuleSet(csv_like(spark), small=False)))
-    assert "salt" in spread
 
 
-def csv_like(spark):
-    return spark.range(10).selectExpr(
-        "CAST(id AS string) metrics", "'1' value", "'1' ent", "'gt' mod"
+def test_large_rules_shuffle_by_metric_and_salt(spark, readings, plan, rows):
+    made = [(str(i), TIME, "car", "hot" if i % 3 else str(i), "150") for i in range(300)]
+    rules = spark.range(300).selectExpr(
+        "IF(id = 0, 'hot', CAST(id AS string)) metrics", "'1' value", "'1' ent", "'gt' mod"
     )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = alert_details(readings(*made), RuleSet(rules, small=False), salts=8)
+        shown = plan(found)
+        assert "SortMergeJoin" in shown and "Broadcast" not in shown
+        assert "hashpartitioning(metrics" in shown and "salt" in shown
+        assert rows(found) == rows(alert_details(readings(*made), check_rules(rules)))
+        assert found.count() == 299  # reading 0 has a metric without a rule
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_rule_text_with_old_casts(spark, readings, rows):
