@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 from telltale.fixed import WINDOW_SECONDS
 from telltale.functions.keys import key_name, key_time
+from telltale.functions.numbers import number
 from telltale.functions.times import bucket_start, label
 
 
+def keyed_measures(cells: DataFrame, metric: str) -> DataFrame:
+    """The cells of one metric as a table of composite keys and numbers."""
+    return cells.where(F.col("qualifier") == metric).select(
+        F.col("row_key").alias("name"), number(F.col("value")).alias("sugar")
+    )
+
+
 def dashboard_strict(keyed: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
     """Name, window and measure, grouped by the whole key and the measure itself.
 

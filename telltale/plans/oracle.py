@@ -143,8 +143,11 @@ SELECT substr(name, 1, length(name) - 15) AS name,
        max(sugar) AS sugar
 FROM keyed"""
 _DASHBOARD_STRICT = f"WITH {_KEYED} {_PEELED} GROUP BY keyed.name, keyed.sugar ORDER BY 2, 1 DESC"
-_DASHBOARD_MAX = f"""
-WITH {_KEYED}
+
+
+def _dashboard_max(tables: str) -> str:
+    return f"""
+WITH {tables}
 SELECT substr(k.name, 1, length(k.name) - 15) AS name,
        strftime(time_bucket(INTERVAL 300 SECOND,
                             strptime(right(k.name, 14), '{_SECONDS}')), '{_LABEL}') AS swdate,
@@ -152,6 +155,16 @@ SELECT substr(k.name, 1, length(k.name) - 15) AS name,
 FROM keyed k GROUP BY ALL"""
 
 
+_KEYED_CELLS = f"""
+{_READINGS}, {_cells('ts')},
+keyed AS (
+    SELECT row_key AS name, CAST(value AS DOUBLE) AS sugar
+    FROM (SELECT * FROM cells WHERE qualifier = 'purchase'
+          QUALIFY row_number() OVER (PARTITION BY row_key
+                                     ORDER BY version DESC, messageid DESC, value DESC) = 1)
+)"""
+
+
 def _draw(tick: str, metrics: str | None = None) -> str:
     parts = f"'42|' || {tick} || '|' || {metrics}"
     return f"CAST(('0x' || substr(md5({parts}), 1, 12)) AS BIGINT)"
@@ -223,8 +236,9 @@ WITH {_READINGS}, {_cells('ts')} SELECT {_CELL_COLUMNS} FROM cells WHERE qualifi
     "cells_wide": _wide(EVENT_WIDE_COLUMNS, f"{_READINGS}, {_cells(_BUCKET)}"),
     "cells_stream": _latest("ts"),
     "dashboard_strict": _DASHBOARD_STRICT,
-    "dashboard_max": _DASHBOARD_MAX,
-    "dashboard_max_stream": _DASHBOARD_MAX,
+    "dashboard_max": _dashboard_max(_KEYED),
+    "dashboard_cells": _dashboard_max(_KEYED_CELLS),
+    "dashboard_max_stream": _dashboard_max(_KEYED),
     "reading_count": "SELECT count(*) AS n FROM events",
     "peek": f"""
 WITH {_READINGS}

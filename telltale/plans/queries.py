@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telltale.fixed import CAR_RULES, MINUTES_FORMAT, SECONDS_FORMAT
+from telltale.functions.numbers import number
 from telltale.functions.times import bucket_start, label
 from telltale.operators import serving
 from telltale.operators.alerts import alert_details, alerts, run_rule_text
@@ -274,10 +275,16 @@ def dashboard_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.dashboard_max(event_measures(spark, sf_dir))
 
 
+def dashboard_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up over the latest cells of one metric."""
+    latest = latest_cells(to_cells(event_readings(spark, sf_dir)))
+    return serving.dashboard_max(serving.keyed_measures(latest, "purchase"))
+
+
 def dashboard_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_dir(spark, "dashboard")
     measures = event_reading_stream(spark, sf_dir).select(
-        "name", "messagedate", F.col("value").cast("double").alias("sugar")
+        "name", "messagedate", number(F.col("value")).alias("sugar")
     )
     start_window_max(measures, f"{out}/maxima", f"{out}/state", interval=None).awaitTermination()
     return read_window_max(spark, f"{out}/maxima")
@@ -438,6 +445,7 @@ _QUERIES: dict[str, Query] = {
     "cells_stream": cells_stream,
     "dashboard_strict": dashboard_strict,
     "dashboard_max": dashboard_max,
+    "dashboard_cells": dashboard_cells,
     "dashboard_max_stream": dashboard_max_stream,
     "reading_count": reading_count,
     "peek": peek,

@@ -12,6 +12,9 @@ from pyspark.sql.types import StructType
 from telltale.sources.readings import history
 from telltale.sources.rules import values_clause
 
+# Tasks that share a day where Spark cannot split it at run time.
+TASKS_PER_DAY = 8
+
 
 def with_event_date(frame: DataFrame, time: str = "messagedate") -> DataFrame:
     """Add the partition column: one folder per day, not one per second."""
@@ -45,7 +48,7 @@ def insert_rows(spark: SparkSession, name: str, rows: Iterable[Sequence[str]]) -
 
 def append_by_date(frame: DataFrame, path: str) -> None:
     """Append readings to files by event date, each date in files of a good size."""
-    dated = with_event_date(frame).hint("rebalance", "event_date")
+    dated = _gathered(with_event_date(frame), "event_date")
     dated.write.mode("append").partitionBy("event_date").parquet(path)
 
 
@@ -66,7 +69,7 @@ def write_batch(
         tagged = with_event_date(tagged, time)
         keys = ["event_date", "batch"]
         if by_day:
-            tagged = tagged.hint("rebalance", "event_date")
+            tagged = _gathered(tagged, "event_date")
     _replace(tagged, path, *keys)
 
 
@@ -82,7 +85,7 @@ def write_mart(filled: DataFrame, path: str, as_of: date) -> None:
         .withColumn("run_date", F.lit(as_of))
         .withColumn("window_date", F.to_date(F.substring("datewindows", 1, 10)))
     )
-    _replace(mart.hint("rebalance", "window_date"), path, "run_date", "window_date")
+    _replace(_gathered(mart, "window_date"), path, "run_date", "window_date")
 
 
 def archive_dates(
@@ -90,11 +93,10 @@ def archive_dates(
 ) -> None:
     """Rewrite the many small files of finished days into few large ones.
 
-    Rebalancing by date gives a day its own files and splits a day that is much
-    larger than the rest. The live files stay, so the step can be repeated.
+    The live files stay, so the step can be repeated.
     """
     days = history(spark, live, first, last)
-    _replace(days.hint("rebalance", "event_date"), archive, "event_date")
+    _replace(_gathered(days, "event_date"), archive, "event_date")
 
 
 def archived_history(spark: SparkSession, live: str, archive: str, cutoff: date) -> DataFrame:
@@ -105,6 +107,19 @@ def archived_history(spark: SparkSession, live: str, archive: str, cutoff: date)
     )
 
 
+def _gathered(frame: DataFrame, day: str) -> DataFrame:
+    """Bring the rows of a day together before they are written by day.
+
+    Rebalancing merges small days and splits a day that is much larger than the
+    rest, at run time. It needs adaptive execution, which a stateful stream does
+    not have; there a day is spread over a fixed number of tasks.
+    """
+    if frame.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return frame.hint("rebalance", day)
+    part = F.pmod(F.xxhash64(*frame.columns), F.lit(TASKS_PER_DAY))
+    return frame.repartition(F.col(day), part)
+
+
 def _replace(frame: DataFrame, path: str, *keys: str) -> None:
     (
         frame.write.mode("overwrite")

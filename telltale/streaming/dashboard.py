@@ -31,16 +31,11 @@ def start_window_max(
     checkpoint: str,
     lateness: str = "1 hour",
     interval: str | None = "1 minute",
-    files_per_day: int = 2,
 ) -> StreamingQuery:
     """Write the windows that changed in every micro-batch."""
 
     def write(changed: DataFrame, batch: str) -> None:
-        # A stateful stream runs without adaptive execution, so the rows of a day
-        # are gathered by hand, and a day is spread over several tasks.
-        part = F.pmod(F.xxhash64("name"), F.lit(files_per_day))
-        by_day = changed.repartition(F.to_date("window_start"), part)
-        write_batch(by_day, path, batch, "window_start")
+        write_batch(changed, path, batch, "window_start", by_day=True)
 
     writer = window_max(measures, lateness).writeStream.outputMode("update")
     return start_batches(writer, write, checkpoint, interval)

@@ -5,7 +5,9 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from telltale.operators.alerts import alert_details
 from telltale.operators.cells import latest_cells
+from telltale.operators.decode import decode, good
 from telltale.plans.queries import RULE_TEXT
 from telltale.sources.readings import history, text_messages, text_stream
 from telltale.sources.rules import check_rules, csv_rules, literal_rules
@@ -81,6 +83,22 @@ def test_stream_equals_batch_and_a_restart_adds_nothing(spark, inbox, layer, row
     assert history(spark, str(tmp_path / "history")).count() == 41
 
 
+def test_alerts_as_a_plain_streaming_join(spark, inbox, rows, tmp_path):
+    """Without a micro-batch function; the file sink keeps its own log."""
+    folder = inbox("1.txt", *[_message(i, 120 + i) for i in range(20)])
+    rules = check_rules(literal_rules(spark, [("speed", "130", "50", "gt")]))
+    found = alert_details(good(decode(text_stream(spark, folder))), rules)
+    assert found.isStreaming
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        found.writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", str(tmp_path / "state")
+        ).trigger(availableNow=True).start().awaitTermination()
+    batch = alert_details(good(decode(text_messages(spark, folder))), rules)
+    assert rows(spark.read.parquet(out)) == rows(batch)
+    assert batch.count() == 9
+
+
 def test_a_new_stream_does_not_replace_an_old_one(spark, inbox, layer, tmp_path):
     folder = inbox("1.txt", _message(1, 150))
     _drain(layer(), text_stream(spark, folder), tmp_path, "first")
