@@ -44,6 +44,7 @@ from telltale.sources.readings import (
     event_measures,
     event_reading_stream,
     event_readings,
+    events,
     history,
     message_values,
     text_messages,
@@ -151,9 +152,8 @@ def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     props = F.from_json("props", "k bigint")
-    return events.select("event_id", props["k"].alias("k"))
+    return events(spark, sf_dir).select("event_id", props["k"].alias("k"))
 
 
 # Alerts
@@ -303,11 +303,9 @@ def peek(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_quoted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "csv")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "user_id", "event_type", "value", "props"
-    )
-    write_quoted_csv(events, path)
-    return read_quoted_csv(spark, path, events.schema)
+    table = events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props")
+    write_quoted_csv(table, path)
+    return read_quoted_csv(spark, path, table.schema)
 
 
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,8 +388,9 @@ def alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.select(F.col("event_id").alias("tick"), F.col("ts").alias("messagedate"))
+    return events(spark, sf_dir).select(
+        F.col("event_id").alias("tick"), F.col("ts").alias("messagedate")
+    )
 
 
 def synth(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,15 @@
 """Schemas of the tables the jobs read and write."""
 
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 MESSAGE_FIELDS = ("name", "messageid", "messagedate", "metrics", "value")
 READING_FIELDS = ("messageid", "messagedate", "name", "metrics", "value")
@@ -36,3 +45,15 @@ CELL = StructType(
         StructField("messageid", StringType()),
     ]
 )
+
+# The table the registered queries read.
+EVENT = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("ts", TimestampNTZType()),
+        StructField("user_id", LongType()),
+        StructField("event_type", StringType()),
+        StructField("value", DoubleType()),
+        StructField("props", StringType()),
+    ]
+)

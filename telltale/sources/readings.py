@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from telltale.functions.keys import row_key
-from telltale.schema import STORED_READING
+from telltale.schema import EVENT, STORED_READING
 
 TEXT = StructType([StructField("value", StringType())])
 
@@ -74,24 +74,27 @@ def history(
     return stored
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENT).parquet(f"{sf_dir}/events.parquet")
+
+
 def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as readings.
 
     ``messagedate`` keeps the zone-less type of the file, so that range filters
     on it reach the parquet scan.
     """
-    return as_readings(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return as_readings(events(spark, sf_dir))
 
 
 def event_reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as a stream. The pattern makes it work for one file and a folder."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    stream = spark.readStream.schema(EVENT).parquet(f"{sf_dir}/events.parque[t]")
     return as_readings(stream).withColumn("messagedate", F.col("messagedate").cast("timestamp"))
 
 
-def as_readings(events: DataFrame) -> DataFrame:
-    return events.select(
+def as_readings(table: DataFrame) -> DataFrame:
+    return table.select(
         F.col("event_id").cast("string").alias("messageid"),
         F.col("ts").alias("messagedate"),
         F.concat(F.lit("U-"), F.col("user_id").cast("string")).alias("name"),
@@ -102,6 +105,7 @@ def as_readings(events: DataFrame) -> DataFrame:
 
 def event_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a table of composite keys and one measure."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     name = F.concat(F.lit("U-"), F.col("user_id").cast("string"))
-    return events.select(row_key(name, F.col("ts")).alias("name"), F.col("value").alias("sugar"))
+    return events(spark, sf_dir).select(
+        row_key(name, F.col("ts")).alias("name"), F.col("value").alias("sugar")
+    )
