@@ -48,7 +48,8 @@ def _alerts(where: str = "TRUE") -> str:
     return f"WITH {_READINGS}, {_RULES} SELECT s.name, m.metrics, m.value {_matched(where)}"
 
 
-_DETAIL_COLUMNS = "s.messageid, s.messagedate, s.name, s.metrics, s.value, m.value AS threshold, m.mod"
+_DETAIL_COLUMNS = """
+s.messageid, s.messagedate, s.name, s.metrics, s.value, m.value AS threshold, m.mod"""
 _DETAIL = f"WITH {_READINGS}, {_RULES} SELECT {_DETAIL_COLUMNS} {_matched()}"
 
 _READING_COLUMNS = "messageid, messagedate, name, metrics, value"

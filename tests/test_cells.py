@@ -76,7 +76,8 @@ def test_wide_car_view(readings):
 
 def test_same_qualifier_in_another_family_is_another_cell(spark, rows):
     cells = _cells(spark, ("r", "driver-x", "1", 1, "x")).withColumn("family", F.lit("driver"))
-    both = cells.unionByName(cells.withColumn("family", F.lit("car")).withColumn("value", F.lit("2")))
+    other = cells.withColumn("family", F.lit("car")).withColumn("value", F.lit("2"))
+    both = cells.unionByName(other)
     assert latest_cells(both).count() == 2
     wide = wide_cells(both, [("d", "driver", "driver-x"), ("c", "car", "driver-x")])
     assert rows(wide) == [("r", "1", "2")]

@@ -47,7 +47,7 @@ def test_a_job_has_to_be_named():
 
 
 def test_day_of_a_batch_run():
-    options = parser().parse_args(["batch", "--history", "h", "--mart", "m"])
-    assert options.as_of is None
-    options = parser().parse_args(["batch", "--history", "h", "--mart", "m", "--as-of", "2018-06-30"])
-    assert options.as_of == date(2018, 6, 30)
+    job = ["batch", "--history", "h", "--mart", "m"]
+    assert parser().parse_args(job).as_of is None
+    dated = parser().parse_args([*job, "--as-of", "2018-06-30"])
+    assert dated.as_of == date(2018, 6, 30)

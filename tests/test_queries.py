@@ -49,3 +49,12 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns[0] == "messageid" and frame.count() > 0
+
+
+def test_table_in_many_files(spark, rows, tmp_path):
+    """On a cluster a table is a folder of files; batch and stream read both."""
+    table = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    table.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("alerts_detail", "alerts_stream", "history_stream", "window_fill_history"):
+        query = contract.queries()[name]
+        assert rows(query(spark, str(tmp_path))) == rows(query(spark, SF_DIR))
