@@ -37,7 +37,7 @@ def _fence(groups: str, source: str) -> str:
 
 
 def quality_rules() -> str:
-    words = r"list_filter(string_split_regex(body, '[\x20\x09-\x0D]+'), x -> x <> '')"
+    words = r"[x FOR x IN string_split_regex(body, '[\x20\x09-\x0D]+') IF x <> '']"
     values = " UNION ALL ".join(
         f"SELECT lang, source, '{name}' AS metric,"
         f" CASE WHEN {b} > 0 THEN (1000 * {a}) // {b} ELSE 0 END AS value FROM facts WHERE NOT failed"
@@ -59,7 +59,7 @@ def quality_rules() -> str:
              coalesce(source, '') AS source, coalesce(text, '') AS body FROM documents),
     cut AS (
       SELECT row_id, doc_id, lang, source, body, {words} AS words,
-             list_filter(string_split(body, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))
+             [x FOR x IN string_split(body, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')]
                AS lines FROM docs),
     places AS (
       SELECT row_id, words[i] AS w1, words[i + 1] AS w2, words[i + 2] AS w3, i FROM (

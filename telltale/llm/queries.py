@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telltale.llm import bpe, compression_quality, quality_rules, sequence_files, token_counts
-from telltale.llm import url_reputation
+from telltale.llm import simhash, url_reputation
 from telltale.llm.tasks import stored
 from telltale.session import run_dir
 
@@ -36,6 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components_of(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode_texts(docs, TOKENIZER).drop("text")
@@ -94,6 +98,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op3_bpe": op3_bpe,
     "op5_token_counts": op5_token_counts,
     "op7_quality_rules": op7_quality_rules,
