@@ -14,7 +14,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
+from itertools import chain
 from unicodedata import category
 
 import ahocorasick
@@ -31,10 +33,11 @@ from telltale.llm.tasks import chunks, ship
 # The pattern that cuts text before merging, as the vocabulary was made with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHE_ENTRIES = 500_000
-PAIR_ENTRIES = 1_000_000
+CACHE_ENTRIES = 200_000
+PAIR_ENTRIES = 400_000
 
 _LOOSE_SPACE = re.compile(r" \s|\s ")
+_ANY_SPACE = re.compile(r"\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -238,7 +241,7 @@ class Encoder:
 
 
 def id_bytes(ids) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Known(dict):
@@ -277,7 +280,7 @@ class Units:
     def encode(self, text: str) -> bytes:
         """The ids of a text, four little-endian bytes each."""
         for cache in (self._first, self._spaced):
-            if len(cache) > CACHE_ENTRIES:
+            if len(cache) > 2 * CACHE_ENTRIES:
                 cache.clear()
         units = self.cut(text)
         first = self._first[units[0]]
@@ -294,29 +297,44 @@ def tokenizer_spec(path: str) -> str:
 class LibraryUnits(Units):
     """The same with units encoded by the ``tokenizers`` library.
 
-    Its model takes pieces in the letters of the byte alphabet.
+    New units of many texts are encoded as the lines of one text: a line end
+    between two units is always a piece of its own.
     """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(spec)
-        added = {t["content"]: t["id"] for t in json.loads(spec).get("added_tokens") or []}
-        letter = {b: c for c, b in byte_letters().items()}
-        pieces, tokenize = Pieces(), tokenizer.model.tokenize
-
-        def encode(unit: str) -> bytes:
-            out: list[int] = []
-            for part in self.around_added(unit):
-                if part in added:
-                    out.append(added[part])
-                    continue
-                for piece in pieces(part):
-                    out += [t.id for t in tokenize("".join(map(letter.get, piece.encode())))]
-            return id_bytes(out)
-
-        super().__init__(encode, list(added))
+        self._tokenizer = Tokenizer.from_str(spec)
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
+        added = [t["content"] for t in json.loads(spec).get("added_tokens") or []]
+        ends = self._ids("\n")
+        self._end = ends[0] if len(ends) == 1 else None
+        super().__init__(lambda unit: id_bytes(self._ids(unit)), added)
+
+    def _ids(self, text: str) -> list[int]:
+        return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts, four little-endian bytes each."""
+        units = set(chain.from_iterable(self.cut(t)[1:] for t in texts))
+        if len(self._spaced) > CACHE_ENTRIES:
+            self._spaced.clear()
+        new = [u for u in units if u and u not in self._spaced and not _ANY_SPACE.search(u)]
+        if self._end is not None and new:
+            self._learn(new)
+        return [self.encode(t) for t in texts]
+
+    def _learn(self, units: list[str]) -> None:
+        lines = "".join([f" {u}\n" for u in units])
+        ids = np.array(self._ids(lines), "<u4")
+        ends = np.flatnonzero(ids == self._end)
+        if len(ends) != len(units):
+            return
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        starts = [0, *[e + 4 for e in ends]]
+        self._spaced.update(zip(units, map(raw.__getitem__, map(slice, starts, ends))))
 
 
 _made: dict[tuple[str, int], object] = {}
@@ -398,7 +416,7 @@ def count_ids(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
         for batch in chunks(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([len(units.encode(t)) // 4 for t in texts], pa.int64())],
+                [pa.array([len(ids) // 4 for ids in units.many(texts)], pa.int64())],
                 names=["n_tokens"],
             )
 

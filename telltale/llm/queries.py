@@ -8,8 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telltale.llm import bpe, compression_quality, quality_rules, sequence_files, token_counts
-from telltale.llm import simhash, url_reputation
+from telltale.llm import (
+    bpe,
+    compression_quality,
+    decontaminate,
+    quality_rules,
+    sequence_files,
+    simhash,
+    token_counts,
+    url_reputation,
+)
 from telltale.llm.tasks import stored
 from telltale.session import run_dir
 
@@ -51,6 +59,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     histogram = stored(token_counts.length_histogram(docs, TOKENIZER), "lengths")
@@ -100,6 +113,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op3_bpe": op3_bpe,
+    "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_sequence_files": op8_sequence_files,
