@@ -35,6 +35,8 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 
 CACHE_ENTRIES = 200_000
 PAIR_ENTRIES = 400_000
+# Units that the library encodes as one text.
+LOT = 2000
 
 _LOOSE_SPACE = re.compile(r" \s|\s ")
 _ANY_SPACE = re.compile(r"\s")
@@ -327,14 +329,16 @@ class LibraryUnits(Units):
         return [self.encode(t) for t in texts]
 
     def _learn(self, units: list[str]) -> None:
-        lines = "".join([f" {u}\n" for u in units])
-        ids = np.array(self._ids(lines), "<u4")
-        ends = np.flatnonzero(ids == self._end)
-        if len(ends) != len(units):
-            return
-        raw, ends = ids.tobytes(), (4 * ends).tolist()
-        starts = [0, *[e + 4 for e in ends]]
-        self._spaced.update(zip(units, map(raw.__getitem__, map(slice, starts, ends))))
+        lots = [units[i : i + LOT] for i in range(0, len(units), LOT)]
+        lines = ["".join([f" {u}\n" for u in lot]) for lot in lots]
+        found = self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        for lot, encoded in zip(lots, found):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.flatnonzero(ids == self._end)
+            if len(ends) == len(lot):
+                raw, stops = ids.tobytes(), (4 * ends).tolist()
+                starts = [0, *[e + 4 for e in stops]]
+                self._spaced.update(zip(lot, map(raw.__getitem__, map(slice, starts, stops))))
 
 
 _made: dict[tuple[str, int], object] = {}

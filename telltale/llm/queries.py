@@ -15,6 +15,7 @@ from telltale.llm import (
     quality_rules,
     sequence_files,
     simhash,
+    substrings,
     token_counts,
     url_reputation,
 )
@@ -70,6 +71,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_sums(histogram)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.cut_repeats(docs, window=20).select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(substrings.plain_words(), 256).alias("kept_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -115,6 +126,7 @@ _QUERIES: dict[str, Query] = {
     "op3_bpe": op3_bpe,
     "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_sequence_files": op8_sequence_files,
     "op9_url_filters": op9_url_filters,
