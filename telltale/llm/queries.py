@@ -12,6 +12,7 @@ from telltale.llm import (
     bpe,
     compression_quality,
     decontaminate,
+    kneser_ney,
     quality_rules,
     sequence_files,
     simhash,
@@ -49,6 +50,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components_of(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = compression_quality.held_out(parts=7, part=2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs.where(~held_out), run_dir(spark, "language-model"))
+    return kneser_ney.score_texts(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode_texts(docs, TOKENIZER).drop("text")
@@ -123,6 +139,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_bpe": op3_bpe,
     "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
