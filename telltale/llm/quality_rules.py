@@ -17,8 +17,8 @@ SYMBOLS = "#*$%&|<>"
 METRICS = (
     ("word_length", "word_chars", "n_words", 1000, True),
     ("symbols", "n_symbols", "n_words", 100, False),
-    ("dup_lines", "n_dup_lines", "n_lines", 100, False),
-    ("repeat_words", "n_repeat_words", "n_words", 100, False),
+    ("dup_lines", "n_dup_lines", "n_lines", 500, False),
+    ("repeat_words", "n_repeat_words", "n_words", 400, False),
 )
 FENCE = 6
 MIN_DOCS = 200
