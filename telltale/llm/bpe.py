@@ -33,13 +33,14 @@ from telltale.llm.tasks import chunks, ship
 # The pattern that cuts text before merging, as the vocabulary was made with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHE_ENTRIES = 200_000
-PAIR_ENTRIES = 400_000
+CACHE_ENTRIES = 400_000
+PAIR_ENTRIES = 300_000
 # Units that the library encodes as one text.
 LOT = 2000
 
-_LOOSE_SPACE = re.compile(r" \s|\s ")
-_ANY_SPACE = re.compile(r"\s")
+# White space other than lone spaces and lone line ends.
+_LOOSE_SPACE = re.compile(r"\s\s|[^\S \n]")
+_MARKS = ",.;:!?"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -149,7 +150,7 @@ class Encoder:
             for piece in self._pieces(part):
                 found = self._piece_ids.get(piece)
                 if found is None:
-                    if len(self._piece_ids) >= CACHE_ENTRIES:
+                    if len(self._piece_ids) >= CACHE_ENTRIES // 2:
                         self._piece_ids.clear()
                     found = self._piece_ids[piece] = self.encode_piece(piece.encode())
                 out += found
@@ -247,14 +248,14 @@ def id_bytes(ids) -> bytes:
 
 
 class _Known(dict):
-    """Ids of units as bytes, found once."""
+    """Ids of units as bytes, found once. A unit follows a space, or is led by a line end."""
 
-    def __init__(self, encode, lead: str):
+    def __init__(self, encode):
         super().__init__()
-        self._encode, self._lead = encode, lead
+        self._encode = encode
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self[unit] = self._encode(self._lead + unit)
+        ids = self[unit] = self._encode(unit if unit[:1] == "\n" else " " + unit)
         return ids
 
 
@@ -262,32 +263,35 @@ class Units:
     """Cuts a text where no token can cross and remembers the ids of every unit.
 
     A single space between two characters that are not white space always begins
-    a piece, so the text can be cut before it. White space in any other form
-    stays inside a unit. Added tokens hold no spaces, so they stay inside too.
+    a piece, and a single line end is a piece of its own, so the text can be cut
+    before them. White space in any other form stays inside a unit. Added tokens
+    hold no spaces, so they stay inside too.
     """
 
     def __init__(self, encode, added: list[str]):
-        self._first, self._spaced = _Known(encode, ""), _Known(encode, " ")
+        self._encode, self._known = encode, _Known(encode)
         self._added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self._whole = any(re.search(r"\s", a) for a in added)
 
     def around_added(self, text: str) -> list[str]:
         return [p for p in self._added.split(text) if p] if self._added else [text]
 
-    def cut(self, text: str) -> list[str]:
-        if self._whole:
-            return [text]
-        return _LONE_SPACE.split(text) if _LOOSE_SPACE.search(text) else text.split(" ")
+    def is_plain(self, text: str) -> bool:
+        return not self._whole and not _LOOSE_SPACE.search(text)
+
+    def cut(self, text: str, plain: bool) -> list[str]:
+        if plain:
+            return text.replace("\n", " \n").split(" ")
+        return [text] if self._whole else _LONE_SPACE.split(text)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, four little-endian bytes each."""
-        for cache in (self._first, self._spaced):
-            if len(cache) > 2 * CACHE_ENTRIES:
-                cache.clear()
-        units = self.cut(text)
-        first = self._first[units[0]]
-        del units[0]
-        return first + b"".join(map(self._spaced.__getitem__, units))
+        return self._ids_of(self.cut(text, self.is_plain(text)))
+
+    def _ids_of(self, units: list[str]) -> bytes:
+        if len(self._known) > CACHE_ENTRIES:
+            self._known.clear()
+        return self._encode(units[0]) + b"".join(map(self._known.__getitem__, units[1:]))
 
 
 def tokenizer_spec(path: str) -> str:
@@ -311,34 +315,52 @@ class LibraryUnits(Units):
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         added = [t["content"] for t in json.loads(spec).get("added_tokens") or []]
+        super().__init__(lambda unit: id_bytes(self._ids(unit)), added)
         ends = self._ids("\n")
         self._end = ends[0] if len(ends) == 1 else None
-        super().__init__(lambda unit: id_bytes(self._ids(unit)), added)
+        self._marks = {m: id_bytes(self._ids(m)) for m in _MARKS}
 
     def _ids(self, text: str) -> list[int]:
         return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of texts, four little-endian bytes each."""
-        units = set(chain.from_iterable(self.cut(t)[1:] for t in texts))
-        if len(self._spaced) > CACHE_ENTRIES:
-            self._spaced.clear()
-        new = [u for u in units if u and u not in self._spaced and not _ANY_SPACE.search(u)]
-        if self._end is not None and new:
-            self._learn(new)
-        return [self.encode(t) for t in texts]
+        plain = [self.is_plain(t) for t in texts]
+        cut = list(map(self.cut, texts, plain))
+        if len(self._known) > CACHE_ENTRIES:
+            self._known.clear()
+        if self._end is not None:
+            seen = set(chain.from_iterable(u[1:] for u, p in zip(cut, plain) if p))
+            self._learn([u for u in seen if u and u != "\n" and u not in self._known])
+        return [self._encode(u[0]) + b"".join(map(self._known.__getitem__, u[1:])) for u in cut]
 
     def _learn(self, units: list[str]) -> None:
+        """Units without white space but for a line end in front.
+
+        A mark behind a letter is a piece of its own, so the rest is encoded once.
+        """
+        marked = [u for u in units if u[-1] in self._marks and u[-2:-1].isalpha()]
+        apart = set(marked)
+        stems = {u[:-1] for u in marked}
+        wanted = [u for u in {*stems, *(u for u in units if u not in apart)} if u not in self._known]
+        for led in (True, False):
+            self._lines([u for u in wanted if (u[0] == "\n") == led], led)
+        for u in marked:
+            self._known[u] = self._known[u[:-1]] + self._marks[u[-1]]
+
+    def _lines(self, units: list[str], led: bool) -> None:
+        """Encode units in lots. A unit led by a line end has it in the line before."""
+        lead = id_bytes([self._end]) if led else b""
         lots = [units[i : i + LOT] for i in range(0, len(units), LOT)]
-        lines = ["".join([f" {u}\n" for u in lot]) for lot in lots]
+        lines = ["".join([f"{u[1:]}\n" if led else f" {u}\n" for u in lot]) for lot in lots]
         found = self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         for lot, encoded in zip(lots, found):
             ids = np.array(encoded.ids, "<u4")
             ends = np.flatnonzero(ids == self._end)
             if len(ends) == len(lot):
                 raw, stops = ids.tobytes(), (4 * ends).tolist()
-                starts = [0, *[e + 4 for e in stops]]
-                self._spaced.update(zip(lot, map(raw.__getitem__, map(slice, starts, stops))))
+                cuts = map(raw.__getitem__, map(slice, [0, *[e + 4 for e in stops]], stops))
+                self._known.update(zip(lot, map(lead.__add__, cuts) if led else cuts))
 
 
 _made: dict[tuple[str, int], object] = {}

@@ -83,19 +83,21 @@ class SequenceFile:
         self._map = pa.memory_map(path)
         reader = pa.ipc.open_file(self._map)
         batches = [reader.get_batch(i) for i in range(reader.num_record_batches)]
+        # All batches but the last have as many rows as the first.
+        self._rows = batches[0].num_rows if batches else 1
         self.length = reader.schema.field("ids").type.list_size
         self._flat = [b.column("ids").flatten().to_numpy(zero_copy_only=True) for b in batches]
         self._masks = [b.column("mask") for b in batches]
 
     def sequence(self, i: int) -> tuple[np.ndarray, pa.Array]:
         """Ids and mask of a sequence."""
-        batch, row = divmod(i, ROWS_PER_BATCH)
+        batch, row = divmod(i, self._rows)
         at = row * self.length
         return self._flat[batch][at : at + self.length], self._masks[batch][row].values
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """So many ids from a place of the stream on; a copy only across batches."""
-        size = ROWS_PER_BATCH * self.length
+        size = self._rows * self.length
         parts = []
         while n > 0:
             batch, at = divmod(start, size)

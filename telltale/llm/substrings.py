@@ -182,7 +182,10 @@ class WaveletMatrix:
 
 
 class FmIndex:
-    """Backward search in a text of symbols, for patterns of up to ``longest``."""
+    """Backward search in a text of symbols, for patterns of up to ``longest`` without 0.
+
+    The text ends in symbol 0.
+    """
 
     def __init__(self, text: np.ndarray, n_symbols: int, longest: int):
         rank, step = text.astype(np.int64), 1

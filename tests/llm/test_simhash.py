@@ -1,0 +1,108 @@
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from telltale.llm import simhash
+from tests_support import brute_components
+
+
+def slow_print(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    digests = [xxhash.xxh64_intdigest(r, 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(d >> b & 1 for d in digests) > len(digests))
+
+
+def test_fingerprints(odd_rows):
+    for _, text in odd_rows:
+        if len(text or "") < 5000:
+            assert simhash.fingerprint((text or "").encode()) == slow_print(text)
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3, 4, 7])
+def test_anchors_meet(distance):
+    """Whatever bits are changed, some part has the home of one among the anchors of the other."""
+    draw = np.random.default_rng(5)
+    for _ in range(200):
+        a = draw.integers(0, 1 << 63, dtype=np.uint64)
+        flips = draw.choice(64, size=draw.integers(0, distance + 1), replace=False)
+        b = a ^ np.uint64(sum(1 << int(f) for f in flips))
+        met = False
+        for shift, checks in simhash.parts_of(distance):
+            home, visited = simhash.anchors(np.array([a, b], np.uint64), shift, checks)
+            met |= home[0] in visited[1] and home[1] in visited[0]
+        assert met
+
+
+def test_anchor_is_a_covering():
+    values = np.random.default_rng(1).integers(0, 1 << 63, size=500, dtype=np.uint64)
+    for shift, checks in simhash.parts_of(3):
+        home, visited = simhash.anchors(values, shift, checks)
+        part = (values >> np.uint64(shift)) & np.uint64((1 << ((1 << checks) - 1)) - 1)
+        assert np.bitwise_count(home ^ part).max() <= 1
+        assert np.bitwise_count(visited ^ part[:, None]).max() <= 2
+        assert (visited == home[:, None]).any(axis=1).all()
+
+
+def near_prints(n_groups=6, size=40):
+    draw = np.random.default_rng(3)
+    values = []
+    for _ in range(n_groups):
+        at = draw.integers(0, 1 << 63, dtype=np.uint64)
+        for _ in range(size):
+            at ^= np.uint64(1) << draw.integers(0, 64, dtype=np.uint64)
+            values.append(at)
+    return values
+
+
+@pytest.mark.parametrize("block, small", [(4096, 16), (8, 3)])
+def test_links_against_all_pairs(spark, monkeypatch, block, small):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "SMALL", small)
+    values = near_prints()
+    rows = [(i, int(np.uint64(v).view(np.int64))) for i, v in enumerate(values)]
+    prints = spark.createDataFrame(rows, "doc_id long, simhash long")
+    found = {
+        r["simhash"]: r["component_id"] for r in simhash.near_copies(prints, 3).collect()
+    }
+    expected = brute_components(values, 3)
+    assert [found[p] for _, p in rows] == expected
+
+
+def test_odd_rows(spark, make_docs, odd_rows, rows):
+    found = simhash.components_of(make_docs(odd_rows)).collect()
+    assert len(found) == len(odd_rows)
+    by_print = {}
+    for r in found:
+        by_print.setdefault(r["fingerprint"], set()).add(r["component_id"])
+    assert all(len(ids) == 1 for ids in by_print.values())
+    assert by_print["0" * 16] == {4}
+    kept = simhash.first_of_each(make_docs(odd_rows))
+    assert kept.columns == make_docs(odd_rows).columns
+    left = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    same_text = odd_rows[0][1]
+    assert [i for i, t in left if t == same_text] == [3]
+    assert [i for i, t in left if not (t or "").strip()] == [4]
+    assert (None, "only without an id") in left
+
+
+def test_empty(make_docs):
+    assert simhash.components_of(make_docs([])).collect() == []
+    assert simhash.first_of_each(make_docs([])).collect() == []
+
+
+def test_query(spark, sf_dir, documents):
+    from telltale.llm.queries import registered
+
+    found = {r["doc_id"]: r for r in registered()["op1_simhash"](spark, sf_dir).collect()}
+    values = [slow_print(t) for _, t in documents]
+    groups = brute_components([np.uint64(v) for v in values], 3, [i for i, _ in documents])
+    for (i, _), value, group in zip(documents, values, groups):
+        assert found[i]["fingerprint"] == f"{value:016x}"
+        assert found[i]["component_id"] == group
+    assert len(set(groups)) < len(groups)
