@@ -4,22 +4,35 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telltale.operators.decode import encode
-from telltale.operators.synth import synth_readings, tick_stream, ticks
+from telltale.operators.decode import decode, good
 from telltale.operators.windows import spine_days, spine_for, window_fill
 from telltale.session import build_session
-from telltale.sinks.exports import publish_stream
-from telltale.sinks.tables import write_mart
-from telltale.sources.readings import history, kafka_messages, text_messages, text_stream
-from telltale.sources.rules import check_rules, csv_rules, rule_rows
+from telltale.sinks.exports import show_stream
+from telltale.sinks.tables import pack_batches, read_packed, write_mart
+from telltale.sources.readings import (
+    FILES_PER_BATCH,
+    history,
+    kafka_messages,
+    text_messages,
+    text_stream,
+)
+from telltale.sources.rules import RuleSet, check_rules, csv_rules, reloaded
 from telltale.streaming.speed import SpeedLayer, run_once
 
 
+def _kafka_arguments(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--brokers")
+    job.add_argument("--topic")
+    job.add_argument("--starting", default="latest", help="latest, earliest or offsets as JSON")
+    job.add_argument("--min-partitions", type=int, help="splits a topic partition that is large")
+    job.add_argument("--max-per-batch", type=int, help="messages, or files with --text")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="telltale")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -33,9 +46,8 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--copy", help="second folder for the readings")
         job.add_argument("--on-bad", choices=("fail", "quarantine"), default="fail")
         if name == "speed":
-            job.add_argument("--brokers")
-            job.add_argument("--topic")
-            job.add_argument("--max-per-batch", type=int)
+            _kafka_arguments(job)
+            job.add_argument("--rules-every", type=float, default=60, help="seconds")
             job.add_argument("--checkpoint", required=True)
             job.add_argument("--interval", default="1 second")
             job.add_argument("--drain", action="store_true", help="handle what is there and end")
@@ -47,23 +59,28 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--mart", required=True)
     job.add_argument("--as-of", type=date.fromisoformat)
 
-    job = jobs.add_parser("produce", help="synthesise readings into a topic or text files")
-    job.add_argument("--rules", required=True)
-    job.add_argument("--brokers")
-    job.add_argument("--topic")
-    job.add_argument("--checkpoint")
-    job.add_argument("--per-second", type=int, default=1)
+    job.add_argument("--archive", help="folder of the packs of the history")
+
+    job = jobs.add_parser("archive", help="pack the small files of finished batches")
+    job.add_argument("--out", required=True, help="folder of the output tables")
+    job.add_argument("--archive", required=True, help="folder of the packs")
+    job.add_argument("--upto", type=date.fromisoformat, help="last day, yesterday if not given")
+
+    job = jobs.add_parser("show", help="print readings as they come, for debugging")
     job.add_argument("--text")
-    job.add_argument("--ticks", type=int, default=1000)
-    job.add_argument("--start", default="2024-01-01 00:00:00")
-    job.add_argument("--seed", type=int, default=42)
+    _kafka_arguments(job)
+    job.add_argument("--rows", type=int, default=10)
+    job.add_argument("--drain", action="store_true")
     return top
 
 
 def _layer(spark: SparkSession, options: argparse.Namespace) -> SpeedLayer:
+    def load() -> RuleSet:
+        return check_rules(csv_rules(spark, options.rules))
+
     text = Path(options.rule_sql).read_text() if options.rule_sql else None
     return SpeedLayer(
-        rules=lambda: check_rules(csv_rules(spark, options.rules)),
+        rules=reloaded(load, getattr(options, "rules_every", 0)),
         history_path=f"{options.out}/history",
         alerts_path=f"{options.out}/alerts",
         cells_path=f"{options.out}/cells",
@@ -75,12 +92,17 @@ def _layer(spark: SparkSession, options: argparse.Namespace) -> SpeedLayer:
     )
 
 
+def kafka_settings(options: argparse.Namespace) -> dict:
+    settings = {"starting": options.starting, "min_partitions": options.min_partitions}
+    if options.max_per_batch:
+        settings["max_per_batch"] = options.max_per_batch
+    return settings
+
+
 def _stream(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     if options.text:
-        return text_stream(spark, options.text)
-    return kafka_messages(
-        spark, options.brokers, options.topic, max_per_batch=options.max_per_batch
-    )
+        return text_stream(spark, options.text, options.max_per_batch or FILES_PER_BATCH)
+    return kafka_messages(spark, options.brokers, options.topic, **kafka_settings(options))
 
 
 def speed(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -95,24 +117,30 @@ def once(spark: SparkSession, options: argparse.Namespace) -> None:
 
 def batch(spark: SparkSession, options: argparse.Namespace) -> None:
     as_of = options.as_of or datetime.now(timezone.utc).date()
-    readings = history(spark, options.history, *spine_days(as_of))
+    days = spine_days(as_of)
+    if options.archive:
+        readings = read_packed(spark, options.history, options.archive, *days)
+    else:
+        readings = history(spark, options.history, *days)
     write_mart(window_fill(readings, spine_for(as_of)), options.mart, as_of)
 
 
-def produce(spark: SparkSession, options: argparse.Namespace) -> None:
-    rules = rule_rows(check_rules(csv_rules(spark, options.rules)))
-    if options.text:
-        made = ticks(spark, options.ticks, options.start)
-        encode(synth_readings(made, rules, seed=options.seed)).write.text(options.text)
-        return
-    made = synth_readings(tick_stream(spark, options.per_second), rules, seed=options.seed)
-    publish_stream(made, options.brokers, options.topic, options.checkpoint).awaitTermination()
+def archive(spark: SparkSession, options: argparse.Namespace) -> None:
+    upto = options.upto or datetime.now(timezone.utc).date() - timedelta(days=1)
+    for table in ("history", "alerts", "cells"):
+        pack_batches(spark, f"{options.out}/{table}", f"{options.archive}/{table}", upto)
+
+
+def show(spark: SparkSession, options: argparse.Namespace) -> None:
+    readings = good(decode(_stream(spark, options)))
+    show_stream(readings, options.rows, options.drain).awaitTermination()
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     options = parser().parse_args(argv)
     spark = build_session(f"telltale-{options.job}")
-    {"speed": speed, "once": once, "batch": batch, "produce": produce}[options.job](spark, options)
+    jobs = {"speed": speed, "once": once, "batch": batch, "archive": archive, "show": show}
+    jobs[options.job](spark, options)
 
 
 if __name__ == "__main__":

@@ -1,29 +1,5 @@
 """Fixed values of the connected-car example; they must stay exactly as they are."""
 
-# Names of the nine cars.
-CAR_NAMES = (
-    "AB-C 1234",
-    "B-AA 4567",
-    "M-GN 2018",
-    "FFB-AB 1234",
-    "GAP-YC 4567",
-    "KL-SM 8912",
-    "BD-AB 9876",
-    "NRW-8 1234",
-    "WES-VR 5432",
-)
-
-# The threshold rules as (metrics, value, ent, mod).
-CAR_RULES = (
-    ("tire-pressure", "3", "0.5", "ltgt"),
-    ("ultrasonic-sensor-front", "0.001", "0.00009", "ltgt"),
-    ("ultrasonic-sensor-back", "4.8", "4", "ltgt"),
-    ("driver-blood-pressure", "200", "200", "ltgt"),
-    ("current-speed", "130", "50", "ltgt"),
-    ("current-location-long", "53.0372285", "50", "ltgt"),
-    ("current-location-lat", "8.6004915", "0.000001", "ltgt"),
-)
-
 # Columns of the wide car view as (column, family, qualifier).
 CAR_WIDE_COLUMNS = (
     ("blood_pressure", "driver", "driver-blood-pressure"),

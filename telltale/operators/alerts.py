@@ -31,10 +31,11 @@ def match_rules(readings: DataFrame, rules: RuleSet, salts: int = SALTS) -> Data
     are computed below the join, once per reading and once per rule.
 
     Rules of a measured small size are broadcast, so readings are not shuffled
-    and the join works on streaming readings too. Larger ones take the shuffled
-    join; a metric with a large share of the readings is spread over ``salts``
-    keys there, each of which gets a copy of the metric's rules. Adaptive
-    execution splits what is still skewed.
+    and the join works on streaming readings too. Larger ones take a sort-merge
+    join, whatever the optimizer takes their size to be. A metric with more than
+    one in ``salts`` of the readings is measured as hot: its readings are spread
+    over ``salts`` keys, each of which gets a copy of its rules. All other rules
+    stay single. Adaptive execution splits what is still skewed.
     """
     observed = readings.withColumn("observed_int", truncated_int(F.col("value")))
     limits = rules.frame.select(
@@ -46,13 +47,27 @@ def match_rules(readings: DataFrame, rules: RuleSet, salts: int = SALTS) -> Data
     if rules.small:
         joined = observed.join(F.broadcast(limits), "metrics")
     else:
+        is_hot = F.col("metrics").isin(hot_metrics(readings, salts))
         # A hash of the row and not rand(): a recomputed task must salt alike.
-        salt = F.pmod(F.xxhash64("messageid", "name", "value"), F.lit(salts)).cast("int")
-        copies = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = observed.withColumn("salt", salt).join(copies, ["metrics", "salt"])
+        spread = F.pmod(F.xxhash64("messageid", "name", "value"), F.lit(salts)).cast("int")
+        own = F.when(is_hot, spread).otherwise(0)
+        top = F.when(is_hot, salts - 1).otherwise(0)
+        copies = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), top)))
+        joined = observed.withColumn("salt", own).join(copies.hint("merge"), ["metrics", "salt"])
     return joined.where(fires(F.col("observed_int"), F.col("threshold_int"), F.col("mod")))
 
 
+def hot_metrics(readings: DataFrame, salts: int) -> list[str]:
+    """Metrics with more than one in ``salts`` of the readings: fewer than ``salts``.
+
+    One pass over one column, combined before the shuffle.
+    """
+    counts = readings.groupBy("metrics").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    top = counts.where((F.col("n") * salts > total) & F.col("metrics").isNotNull())
+    return sorted(r["metrics"] for r in top.collect())
+
+
 def alerts(readings: DataFrame, rules: RuleSet, salts: int = SALTS) -> DataFrame:
     """The alert as it is published: ``value`` is the threshold that was broken."""
     return match_rules(readings, rules, salts).select(

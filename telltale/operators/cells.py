@@ -14,14 +14,20 @@ WideColumn = tuple[str, str, str]
 
 
 def to_cells(
-    readings: DataFrame, stamp: Column | None = None, metric: str | None = None
+    readings: DataFrame,
+    stamp: Column | None = None,
+    metric: str | None = None,
+    version: Column | None = None,
+    arrival: Column | None = None,
 ) -> DataFrame:
     """One cell per reading.
 
     ``stamp`` is the time in the row key. The event time is the default, so a
     repeated batch writes the same keys; pass ``current_timestamp()`` for the
     time of processing or a bucket start for coarser rows. ``metric`` keeps the
-    cells of one metric only.
+    cells of one metric only. ``version`` is the time a write counts as, the
+    event time if not given; of writes of one version the one with the larger
+    ``arrival`` counts, then the one further on in its source (``place``).
     """
     if metric is not None:
         readings = readings.where(F.col("metrics") == metric)
@@ -31,14 +37,17 @@ def to_cells(
         family(F.col("metrics")).alias("family"),
         F.col("metrics").alias("qualifier"),
         F.col("value").cast("string").alias("value"),
-        F.col("messagedate").alias("version"),
+        (F.col("messagedate") if version is None else version).alias("version"),
+        (F.lit(0) if arrival is None else arrival).cast("long").alias("arrival"),
+        (F.col("place") if "place" in readings.columns else F.lit(0).cast("long")).alias("place"),
         "messageid",
     )
 
 
 def _last() -> Column:
-    # The message id and the value settle ties, so a repeated run agrees.
-    return F.struct("version", "messageid", "value")
+    # A later put wins; the message id and the value settle what is left, so a
+    # repeated run agrees.
+    return F.struct("version", "arrival", "place", "messageid", "value")
 
 
 def _digest(*keys: str) -> Column:

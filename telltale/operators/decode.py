@@ -24,11 +24,14 @@ def decode(messages: DataFrame) -> DataFrame:
     Adds ``raw`` (the message) and ``problem`` (NULL for a good reading) to the
     five reading columns. Works on batch and streaming frames alike and keeps
     one output row per input row. A NULL ``value`` is a reading without a value.
+    ``place``, the offset of a message in its source, is kept if there is one.
 
     The parsed object goes through ``inline``: a filter on ``problem`` cannot be
     pushed below it, which would parse the text again for every member tested.
     """
+    place = [c for c in messages.columns if c == "place"]
     parsed = messages.select(
+        *place,
         F.col("value").alias("raw"),
         F.inline(F.array(F.from_json("value", _WIRE, _OPTIONS))),
     )
@@ -44,11 +47,16 @@ def decode(messages: DataFrame) -> DataFrame:
         .when(absent, "member missing")
         .when(F.col("messagedate").isNull(), "time unreadable")
     )
-    return timed.select(*READING_FIELDS, "raw", problem.alias("problem"))
+    return timed.select(*READING_FIELDS, *place, "raw", problem.alias("problem"))
 
 
 def good(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col("problem").isNull()).select(*READING_FIELDS)
+    return placed(decoded).select(*READING_FIELDS)
+
+
+def placed(decoded: DataFrame) -> DataFrame:
+    """Good readings with their place in the source, if that is known."""
+    return decoded.where(F.col("problem").isNull()).drop("raw", "problem")
 
 
 def bad(decoded: DataFrame) -> DataFrame:

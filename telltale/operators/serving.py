@@ -18,33 +18,43 @@ def keyed_measures(cells: DataFrame, metric: str) -> DataFrame:
     )
 
 
-def dashboard_strict(keyed: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
+def dashboard_strict(
+    keyed: DataFrame, seconds: int = WINDOW_SECONDS, ordered: bool = True
+) -> DataFrame:
     """Name, window and measure, grouped by the whole key and the measure itself.
 
     So the maximum is that of a single value: one row per distinct key and
-    measure. ``dashboard_max`` is the roll-up.
+    measure. ``dashboard_max`` is the roll-up. Readers want the order; a writer
+    does without it and its shuffle.
     """
     grouped = keyed.groupBy("name", "sugar").agg(F.max("sugar").alias("top"))
-    return grouped.select(
+    found = grouped.select(
         key_name(F.col("name")).alias("name"),
         label(bucket_start(key_time(F.col("name")), seconds)).alias("swdate"),
         F.col("top").alias("sugar"),
-    ).orderBy(F.col("swdate").asc(), F.col("name").desc())
+    )
+    return _in_order(found) if ordered else found
+
+
+def _in_order(found: DataFrame) -> DataFrame:
+    return found.orderBy(F.col("swdate").asc(), F.col("name").desc())
 
 
-def dashboard_max(keyed: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
+def dashboard_max(
+    keyed: DataFrame, seconds: int = WINDOW_SECONDS, ordered: bool = True
+) -> DataFrame:
     """Maximum of every name in every window, combined before the shuffle."""
     peeled = keyed.select(
         key_name(F.col("name")).alias("name"),
         bucket_start(key_time(F.col("name")), seconds).alias("window_start"),
         "sugar",
     )
-    return (
+    found = (
         peeled.groupBy("name", "window_start")
         .agg(F.max("sugar").alias("sugar"))
         .select("name", label(F.col("window_start")).alias("swdate"), "sugar")
-        .orderBy(F.col("swdate").asc(), F.col("name").desc())
     )
+    return _in_order(found) if ordered else found
 
 
 def reading_count(readings: DataFrame) -> DataFrame:
@@ -57,4 +67,14 @@ def peek(readings: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def mart_scan(mart: DataFrame) -> DataFrame:
-    return mart.select("messagedate", "metrics", "name", "value")
+    """Every window as the latest run that covers it has it.
+
+    Runs overlap and a run covers its windows whole, empty ones included, so the
+    latest one decides. The summary has one row per window and is made from two
+    columns; the rows of the mart are not shuffled for it unless it is large.
+    """
+    latest = mart.groupBy("messagedate").agg(F.max("run_date").alias("run_date"))
+    rows = mart.select("messagedate", "run_date", "metrics", "name", "value")
+    return rows.join(latest, ["messagedate", "run_date"]).select(
+        "messagedate", "metrics", "name", "value"
+    )

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from telltale.fixed import CAR_NAMES, CAR_RULES, CAR_WIDE_COLUMNS
-from telltale.plans.queries import AS_OF, EVENT_RULES, EVENT_WIDE_COLUMNS
+from telltale.fixed import CAR_WIDE_COLUMNS
+from telltale.plans.queries import AS_OF, CAR_METRICS, EVENT_RULES, EVENT_WIDE_COLUMNS
 
 _SECONDS = "%Y%m%d%H%M%S"
 _LABEL = "%Y-%m-%d %H:%M:%S"
@@ -34,23 +34,51 @@ def _int(text: str) -> str:
     return f"CAST(trunc(TRY_CAST({text} AS DOUBLE)) AS INTEGER)"
 
 
-def _matched(where: str = "TRUE", readings: str = "readings") -> str:
-    observed, limit = _int("s.value"), _int("m.value")
+_OUTCOMES = """
+outcomes AS (
+    SELECT * FROM (VALUES ('gt', 1), ('lt', -1), ('ltgt', 1), ('ltgt', -1), ('eq', 0)) AS o(mod, side)
+)"""
+
+
+def _matched(where: str = "TRUE", rules: str = "rules", metric: str = "metrics") -> str:
+    """Readings and rules whose comparison comes out on a side that the mode raises."""
     return f"""
-FROM {readings} s JOIN rules m ON s.metrics = m.metrics
-WHERE ({where}) AND (
-      (m.mod LIKE '%gt%' AND {observed} > {limit})
-   OR (m.mod LIKE '%lt%' AND {observed} < {limit})
-   OR (m.mod = 'eq' AND {observed} = {limit}))"""
+FROM (SELECT *, {_int("value")} AS seen, {metric} AS watched FROM readings) s
+JOIN (SELECT *, {_int("value")} AS bound FROM {rules}) m ON watched = m.metrics
+JOIN outcomes o ON o.mod = m.mod AND o.side = sign(seen - bound)
+WHERE {where}"""
 
 
 def _alerts(where: str = "TRUE") -> str:
-    return f"WITH {_READINGS}, {_RULES} SELECT s.name, m.metrics, m.value {_matched(where)}"
+    return f"""
+WITH {_READINGS}, {_RULES}, {_OUTCOMES}
+SELECT s.name, m.metrics, m.value {_matched(where)}"""
 
 
 _DETAIL_COLUMNS = """
-s.messageid, s.messagedate, s.name, s.metrics, s.value, m.value AS threshold, m.mod"""
-_DETAIL = f"WITH {_READINGS}, {_RULES} SELECT {_DETAIL_COLUMNS} {_matched()}"
+s.messageid, s.messagedate, s.name, watched AS metrics, s.value, m.value AS threshold, m.mod"""
+_DETAIL = f"WITH {_READINGS}, {_RULES}, {_OUTCOMES} SELECT {_DETAIL_COLUMNS} {_matched()}"
+_LARGE = f"""
+WITH {_READINGS}, {_OUTCOMES},
+large AS (
+    SELECT DISTINCT CAST(user_id AS VARCHAR) || '/' || event_type AS metrics,
+           CAST(user_id * 7 % 90 AS VARCHAR) AS value,
+           CASE user_id % 3 WHEN 0 THEN 'lt' WHEN 1 THEN 'gt' ELSE 'ltgt' END AS mod
+    FROM events
+)
+SELECT {_DETAIL_COLUMNS}
+{_matched(rules="large", metric="substr(name, 3) || '/' || metrics")}"""
+
+
+def _often(where: str = "TRUE") -> str:
+    """Names with several readings over the limit of their metric."""
+    return f"""
+WITH {_READINGS}, {_RULES}
+SELECT name, count(*) AS n, CAST(max(seen) AS BIGINT) AS top
+FROM (SELECT *, {_int("value")} AS seen FROM readings) s
+JOIN (SELECT metrics, {_int("value")} AS bound FROM rules) USING (metrics)
+WHERE seen > bound AND {where}
+GROUP BY name HAVING count(*) > 1"""
 
 _READING_COLUMNS = "messageid, messagedate, name, metrics, value"
 _DECODED = f"WITH {_READINGS} SELECT {_READING_COLUMNS} FROM readings"
@@ -137,13 +165,14 @@ keyed AS (
            value AS sugar
     FROM events
 )"""
-_PEELED = f"""
-SELECT substr(name, 1, length(name) - 15) AS name,
-       strftime(time_bucket(INTERVAL 300 SECOND,
-                            strptime(right(name, 14), '{_SECONDS}')), '{_LABEL}') AS swdate,
-       max(sugar) AS sugar
-FROM keyed"""
-_DASHBOARD_STRICT = f"WITH {_KEYED} {_PEELED} GROUP BY keyed.name, keyed.sugar ORDER BY 2, 1 DESC"
+# One row for each key and measure that differ.
+_DASHBOARD_STRICT = f"""
+WITH {_KEYED}
+SELECT substr(key, 1, length(key) - 15) AS name,
+       strftime(time_bucket(INTERVAL 300 SECOND, strptime(right(key, 14), '{_SECONDS}')),
+                '{_LABEL}') AS swdate,
+       sugar
+FROM (SELECT DISTINCT name AS key, sugar FROM keyed)"""
 
 
 def _dashboard_max(tables: str) -> str:
@@ -166,33 +195,42 @@ keyed AS (
 )"""
 
 
-def _draw(tick: str, metrics: str | None = None) -> str:
-    parts = f"'42|' || {tick} || '|' || {metrics}"
-    return f"CAST(('0x' || substr(md5({parts}), 1, 12)) AS BIGINT)"
+_ARRIVAL = f"""
+WITH {_READINGS}, puts AS (
+    SELECT 0 AS batch, 'z' || messageid AS id, * FROM readings
+    UNION ALL
+    SELECT 1, 'a' || messageid, * FROM readings WHERE CAST(messageid AS BIGINT) % 2 = 0
+)
+SELECT name || '-' || strftime({_BUCKET}, '{_SECONDS}') AS row_key,
+       CASE WHEN metrics LIKE '%driver%' THEN 'driver' ELSE 'car' END AS family,
+       metrics AS qualifier,
+       arg_max(value, (batch, id, value)) AS value
+FROM puts GROUP BY ALL"""
+
+_CARS = f"""
+{_READINGS},
+cars AS (
+    SELECT * REPLACE (CASE metrics {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in CAR_METRICS)} END AS metrics)
+    FROM readings
+)"""
 
+_TWO_RUNS = f"""
+WITH {_READINGS}, {_BUCKETED}, {_spine(f"(DATE '{AS_OF}' - INTERVAL 1 DAY)", "1288")}
+SELECT strftime(s.w, '{_LABEL}') AS messagedate, b.metrics, b.name, b.value
+FROM spine s LEFT JOIN bucketed b ON b.b = s.w"""
 
-_STEP = f"({_draw('event_id', 'm.metrics')} % 1000000000)"
-_SHARE = f"""
-CAST(CAST({_STEP} * 2 - 1000000000 AS DECIMAL(11, 0)) * CAST(0.000000001 AS DECIMAL(9, 9))
-     AS DECIMAL(10, 9))"""
-_CAR_RULES = f"""
-car_rules AS (
-    SELECT metrics, value, ent, mod
-    FROM (VALUES {_values(CAR_RULES)}) AS r(metrics, value, ent, mod)
-)"""
-_SYNTH = f"""
-{_CAR_RULES},
-synth AS (
-    SELECT md5('42|' || event_id) AS messageid,
-           ts,
-           strftime(ts, '{_LABEL}') AS messagedate,
-           list_extract([{", ".join(f"'{n}'" for n in CAR_NAMES)}],
-                        {_draw('event_id', "'name'")} % {len(CAR_NAMES)} + 1) AS name,
-           m.metrics,
-           CAST(CAST(CAST(m.value AS DECIMAL(18, 9)) + CAST(m.ent AS DECIMAL(18, 9)) * {_SHARE}
-                AS DECIMAL(30, 12)) AS VARCHAR) AS value
-    FROM events, car_rules m
-)"""
+_BROKEN = f"""
+WITH {_READINGS}
+SELECT CASE metrics
+         WHEN 'error' THEN '{{bad ' || value
+         WHEN 'signup' THEN CAST(json_object('name', name, 'messagedate', strftime(ts, '{_SECONDS}'),
+                                             'metrics', metrics, 'value', value) AS VARCHAR)
+         ELSE CAST(json_object('name', name, 'messageid', messageid, 'messagedate', '2024-01',
+                               'metrics', metrics, 'value', value) AS VARCHAR) END AS raw,
+       CASE metrics WHEN 'error' THEN 'not a JSON object'
+                    WHEN 'signup' THEN 'member missing'
+                    ELSE 'time unreadable' END AS problem
+FROM readings WHERE metrics IN ('error', 'signup', 'click')"""
 
 
 _ORACLE = {
@@ -201,13 +239,14 @@ _ORACLE = {
     "alerts_gt": _alerts("m.mod = 'gt'"),
     "alerts_lt": _alerts("m.mod = 'lt'"),
     "alerts_eq": _alerts("m.mod = 'eq'"),
-    "alerts_large_rules": _DETAIL,
-    "alerts_sql_rule": _alerts(),
+    "alerts_large_rules": _LARGE,
+    "alerts_sql_rule": _often(),
     "alerts_rules_csv": _alerts(),
     "alerts_rules_delimited": _alerts(),
     "alerts_rules_table": _alerts(),
     "alerts_stream": _DETAIL,
-    "alerts_once": _alerts("s.metrics NOT IN ('error', 'click', 'signup')"),
+    "alerts_once": _often("s.metrics NOT IN ('error', 'click', 'signup')"),
+    "once_quarantine": _BROKEN,
     "inbox_view": _DECODED,
     "decode_readings": _DECODED,
     "decode_minutes": f"""
@@ -215,12 +254,7 @@ WITH {_READINGS}
 SELECT messageid, strftime(date_trunc('minute', ts), '{_LABEL}') AS messagedate,
        name, metrics, value
 FROM readings""",
-    "decode_quarantine": """
-SELECT CASE event_type WHEN 'error' THEN 'not a JSON object'
-                       WHEN 'signup' THEN 'member missing'
-                       ELSE 'time unreadable' END AS problem,
-       count(*) AS n
-FROM events WHERE event_type IN ('error', 'signup', 'click') GROUP BY 1""",
+    "decode_quarantine": _BROKEN,
     "decode_text_files": _DECODED,
     "reading_messages": f"WITH {_READINGS} SELECT {_MESSAGE} AS value FROM readings",
     "event_props": """
@@ -230,11 +264,14 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM eve
     "window_fill_history": _FILL_HISTORY,
     "window_coverage": _COVERAGE,
     "mart_scan": _MART,
+    "mart_two_runs": _TWO_RUNS,
     "cells": f"WITH {_READINGS}, {_cells('ts')} SELECT {_CELL_COLUMNS} FROM cells",
     "cells_one_metric": f"""
 WITH {_READINGS}, {_cells('ts')} SELECT {_CELL_COLUMNS} FROM cells WHERE qualifier = 'view'""",
     "cells_latest": _latest(_BUCKET),
     "cells_wide": _wide(EVENT_WIDE_COLUMNS, f"{_READINGS}, {_cells(_BUCKET)}"),
+    "cells_arrival": _ARRIVAL,
+    "cells_wide_cars": _wide(CAR_WIDE_COLUMNS, f"{_CARS}, {_cells(_BUCKET, 'cars')}"),
     "cells_stream": _latest("ts"),
     "dashboard_strict": _DASHBOARD_STRICT,
     "dashboard_max": _dashboard_max(_KEYED),
@@ -250,13 +287,8 @@ WITH {_READINGS}
 SELECT {_READING_COLUMNS}, strftime(ts, '%Y-%m-%d') AS event_date FROM readings""",
     "history_append": f"{_DECODED} UNION ALL SELECT {_READING_COLUMNS} FROM readings",
     "history_archive": _DECODED,
+    "history_archive_late": _DECODED,
     "history_stream": _DECODED,
-    "synth_readings": f"WITH {_SYNTH} SELECT {_READING_COLUMNS} FROM synth",
-    "synth_messages": f"WITH {_SYNTH} SELECT {_MESSAGE} AS value FROM synth",
-    "synth_alerts": f"""
-WITH {_SYNTH}, rules AS (SELECT * FROM car_rules)
-SELECT {_DETAIL_COLUMNS} {_matched(readings="synth")}""",
-    "synth_wide": _wide(CAR_WIDE_COLUMNS, f"{_SYNTH}, {_cells('ts', 'synth')}"),
 }
 
 

@@ -7,19 +7,18 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telltale.fixed import CAR_RULES, MINUTES_FORMAT, SECONDS_FORMAT
+from telltale.fixed import MINUTES_FORMAT, SECONDS_FORMAT
 from telltale.functions.numbers import number
 from telltale.functions.times import bucket_start, label
 from telltale.operators import serving
 from telltale.operators.alerts import alert_details, alerts, run_rule_text
 from telltale.operators.cells import latest_cells, to_cells, wide_cells
 from telltale.operators.decode import bad, decode, encode, good
-from telltale.operators.synth import synth_readings
 from telltale.operators.windows import (
     spine_for,
     spine_over,
@@ -33,11 +32,12 @@ from telltale.sinks.exports import read_quoted_csv, write_quoted_csv
 from telltale.sinks.tables import (
     append_by_date,
     append_table,
-    archive_dates,
-    archived_history,
     create_table,
     drop_table,
     insert_rows,
+    pack_batches,
+    read_packed,
+    write_batch,
     write_mart,
 )
 from telltale.sources.readings import (
@@ -79,15 +79,28 @@ EVENT_WIDE_COLUMNS = (
     ("errors", "car", "error"),
 )
 
-# A rule query as a user of the older casts writes it.
+# Event types as the metrics of the car example.
+CAR_METRICS = (
+    ("view", "driver-blood-pressure"),
+    ("click", "tire-pressure"),
+    ("purchase", "current-speed"),
+    ("signup", "current-location-lat"),
+    ("error", "engine-heat"),
+)
+
+# A rule query as a user of the older casts writes it: names with several
+# readings over the limit of their metric.
 RULE_TEXT = """
-SELECT i.name, r.metrics, r.value
-FROM inbox i JOIN rules r ON i.metrics = r.metrics
-WHERE r.mod LIKE "%gt%" AND int(i.value) > int(r.value)
-   OR r.mod LIKE "%lt%" AND int(i.value) < int(r.value)
-   OR r.mod == "eq" AND int(i.value) == int(r.value);
+SELECT name, count(1) AS n, bigint(max(int(value))) AS top
+FROM (SELECT {inbox}.name, {inbox}.value, int({rules}.value) AS bound
+      FROM {inbox}, {rules} WHERE {inbox}.metrics = {rules}.metrics)
+WHERE int(value) > bound
+GROUP BY name HAVING n > 1;
 """
 
+# Large rules: one per user and type, more than may be broadcast there.
+LARGE_RULES = 200
+
 
 def _rules(spark: SparkSession, mode: str | None = None) -> RuleSet:
     # Four literal rows: small and unique as they stand.
@@ -133,9 +146,8 @@ def _some_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bad messages by problem."""
-    found = bad(decode(_some_broken(spark, sf_dir)))
-    return found.groupBy("problem").agg(F.count("*").alias("n"))
+    """Bad messages as they came, each with its problem."""
+    return bad(decode(_some_broken(spark, sf_dir)))
 
 
 def decode_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,20 +184,45 @@ def alerts_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alerts_large_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The join for rules too large to broadcast."""
-    rules = RuleSet(literal_rules(spark, EVENT_RULES), small=False)
-    return _timed(alert_details(event_readings(spark, sf_dir), rules))
+    """Rules too many to broadcast: one per user and type, with a limit of its own."""
+    metric = F.concat_ws("/", F.substring("name", 3, 20), "metrics")
+    readings = event_readings(spark, sf_dir).withColumn("metrics", metric)
+    user, kind = F.col("user_id"), F.col("event_type")
+    rules = (
+        events(spark, sf_dir)
+        .select("user_id", "event_type")
+        .distinct()
+        .select(
+            F.concat_ws("/", user.cast("string"), kind).alias("metrics"),
+            F.pmod(user * 7, F.lit(90)).cast("string").alias("value"),
+            F.lit("1").alias("ent"),
+            F.when(user % 3 == 0, "lt").when(user % 3 == 1, "gt").otherwise("ltgt").alias("mod"),
+        )
+    )
+    checked = check_rules(rules, broadcast_rows=LARGE_RULES)
+    return _timed(alert_details(readings, checked))
+
+
+def _viewed(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+    """Run SQL over frames under names that nobody else has."""
+    names = {place: f"{place}_{uuid.uuid4().hex}" for place in frames}
+    for place, frame in frames.items():
+        frame.createOrReplaceTempView(names[place])
+    try:
+        return run_rule_text(spark, text.format(**names))
+    finally:
+        for name in names.values():
+            spark.catalog.dropTempView(name)
 
 
 def alerts_sql_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event_readings(spark, sf_dir).createOrReplaceTempView("inbox")
-    literal_rules(spark, EVENT_RULES).createOrReplaceTempView("rules")
-    return run_rule_text(spark, RULE_TEXT)
+    rules = literal_rules(spark, EVENT_RULES)
+    return _viewed(spark, RULE_TEXT, inbox=event_readings(spark, sf_dir), rules=rules)
 
 
 def inbox_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event_readings(spark, sf_dir).createOrReplaceTempView("inbox")
-    return _timed(spark.sql("SELECT * FROM inbox"))
+    inbox = event_readings(spark, sf_dir)
+    return _timed(_viewed(spark, "SELECT * FROM {inbox}", inbox=inbox))
 
 
 def alerts_rules_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,6 +273,15 @@ def mart_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.mart_scan(spark.read.parquet(path))
 
 
+def mart_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of two days that overlap, and the first one repeated."""
+    path = run_dir(spark, "mart")
+    for as_of in (AS_OF, AS_OF + timedelta(days=1), AS_OF):
+        readings = event_readings(spark, sf_dir)
+        write_mart(window_fill(readings, spine_for(as_of)), path, as_of)
+    return serving.mart_scan(spark.read.parquet(path))
+
+
 # Cells
 
 
@@ -244,6 +290,29 @@ def _bucket_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_cells(readings, stamp=bucket_start(F.col("messagedate"), 300))
 
 
+def cells_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of puts of equal versions; the later one's ids come first as text."""
+    path = run_dir(spark, "cells")
+    bucket = bucket_start(F.col("messagedate"), 300)
+    readings = event_readings(spark, sf_dir)
+    number = F.col("messageid").cast("long")
+    batches = (
+        readings.withColumn("messageid", F.concat(F.lit("z"), "messageid")),
+        readings.where(number % 2 == 0).withColumn("messageid", F.concat(F.lit("a"), "messageid")),
+    )
+    for k, batch in enumerate(batches):
+        puts = to_cells(batch, stamp=bucket, version=bucket, arrival=F.lit(k))
+        write_batch(puts, path, f"put-{k}", "version")
+    return latest_cells(read_output(spark, path))
+
+
+def cells_wide_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide car view, with event types as metrics of cars."""
+    names = F.create_map(*[F.lit(x) for pair in CAR_METRICS for x in pair])
+    readings = event_readings(spark, sf_dir).withColumn("metrics", names[F.col("metrics")])
+    return wide_cells(to_cells(readings, stamp=bucket_start(F.col("messagedate"), 300)))
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_cells(event_readings(spark, sf_dir)).select(
         "row_key", "family", "qualifier", "value"
@@ -282,11 +351,18 @@ def dashboard_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dashboard_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maxima of a stream whose batches come with the latest readings first."""
     out = run_dir(spark, "dashboard")
-    measures = event_reading_stream(spark, sf_dir).select(
-        "name", "messagedate", number(F.col("value")).alias("sugar")
+    measures = event_readings(spark, sf_dir).select(
+        "name",
+        F.col("messagedate").cast("timestamp").alias("messagedate"),
+        number(F.col("value")).alias("sugar"),
     )
-    start_window_max(measures, f"{out}/maxima", f"{out}/state", interval=None).awaitTermination()
+    files = max(4, spark.sparkContext.defaultParallelism)
+    measures.repartitionByRange(files, F.col("messagedate").desc()).write.parquet(f"{out}/in")
+    reader = spark.readStream.schema(measures.schema).option("maxFilesPerTrigger", files // 4)
+    stream = reader.parquet(f"{out}/in")
+    start_window_max(stream, f"{out}/maxima", f"{out}/state", interval=None).awaitTermination()
     return read_window_max(spark, f"{out}/maxima")
 
 
@@ -331,12 +407,23 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days before the cutoff from the archive, the others from the live files."""
+    """Days up to the cutoff from packs, the others from the live files."""
     live, archive = run_dir(spark, "live"), run_dir(spark, "archive")
     append_by_date(event_readings(spark, sf_dir), live)
-    cutoff = date(2024, 1, 16)
-    archive_dates(spark, live, archive, None, cutoff)
-    return _timed(archived_history(spark, live, archive, cutoff).select(*READING_FIELDS))
+    pack_batches(spark, live, archive, date(2024, 1, 15))
+    return _timed(read_packed(spark, live, archive).select(*READING_FIELDS))
+
+
+def history_archive_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the readings are packed; the other half of the same days comes after."""
+    live, archive = run_dir(spark, "live"), run_dir(spark, "archive")
+    readings = event_readings(spark, sf_dir)
+    half = F.col("messageid").cast("long") % 2 == 0
+    append_by_date(readings.where(half), live)
+    pack_batches(spark, live, archive)
+    append_by_date(readings.where(~half), live)
+    pack_batches(spark, live, archive, date(2024, 1, 10))
+    return _timed(read_packed(spark, live, archive).select(*READING_FIELDS))
 
 
 # The speed layer
@@ -370,46 +457,26 @@ def cells_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_cells(read_output(spark, f"{out}/cells"))
 
 
-def alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _once(spark: SparkSession, sf_dir: str) -> str:
     """The one-shot form, with bad messages in quarantine and a user's rule query."""
     out = run_dir(spark, "once")
     layer = SpeedLayer(
         rules=_rules(spark),
         quarantine_path=f"{out}/quarantine",
         on_bad="quarantine",
-        rule_text=RULE_TEXT,
+        rule_text=RULE_TEXT.format(inbox="inbox", rules="rules"),
         rule_text_path=f"{out}/found",
     )
     run_once(layer, _some_broken(spark, sf_dir))
-    return read_output(spark, f"{out}/found")
-
-
-# Synthesis; every event is a tick
-
-
-def _event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
-        F.col("event_id").alias("tick"), F.col("ts").alias("messagedate")
-    )
-
-
-def synth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _timed(synth_readings(_event_ticks(spark, sf_dir)))
-
-
-def synth_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(synth_readings(_event_ticks(spark, sf_dir)))
+    return out
 
 
-def synth_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts of synthesised readings under the rules they were made from."""
-    rules = RuleSet(literal_rules(spark, CAR_RULES), small=True)
-    return _timed(alert_details(synth_readings(_event_ticks(spark, sf_dir)), rules))
+def alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_output(spark, f"{_once(spark, sf_dir)}/found")
 
 
-def synth_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide car view over synthesised readings."""
-    return wide_cells(to_cells(synth_readings(_event_ticks(spark, sf_dir))))
+def once_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_output(spark, f"{_once(spark, sf_dir)}/quarantine")
 
 
 _QUERIES: dict[str, Query] = {
@@ -425,6 +492,7 @@ _QUERIES: dict[str, Query] = {
     "alerts_rules_table": alerts_rules_table,
     "alerts_stream": alerts_stream,
     "alerts_once": alerts_once,
+    "once_quarantine": once_quarantine,
     "inbox_view": inbox_view,
     "decode_readings": decode_readings,
     "decode_minutes": decode_minutes,
@@ -437,9 +505,12 @@ _QUERIES: dict[str, Query] = {
     "window_fill_history": window_fill_history,
     "window_coverage": window_coverage_run,
     "mart_scan": mart_scan,
+    "mart_two_runs": mart_two_runs,
     "cells": cells,
     "cells_one_metric": cells_one_metric,
     "cells_latest": cells_latest,
+    "cells_arrival": cells_arrival,
+    "cells_wide_cars": cells_wide_cars,
     "cells_wide": cells_wide,
     "cells_stream": cells_stream,
     "dashboard_strict": dashboard_strict,
@@ -452,11 +523,8 @@ _QUERIES: dict[str, Query] = {
     "partitioned_roundtrip": partitioned_roundtrip,
     "history_append": history_append,
     "history_archive": history_archive,
+    "history_archive_late": history_archive_late,
     "history_stream": history_stream,
-    "synth_readings": synth,
-    "synth_messages": synth_messages,
-    "synth_alerts": synth_alerts,
-    "synth_wide": synth_wide,
 }
 
 

@@ -42,6 +42,8 @@ CELL = StructType(
         StructField("qualifier", StringType()),
         StructField("value", StringType()),
         StructField("version", TimestampType()),
+        StructField("arrival", LongType()),
+        StructField("place", LongType()),
         StructField("messageid", StringType()),
     ]
 )

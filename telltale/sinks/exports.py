@@ -57,6 +57,7 @@ def publish_stream(
     )
 
 
-def show_stream(frame: DataFrame, rows: int = 10) -> StreamingQuery:
+def show_stream(frame: DataFrame, rows: int = 10, drain: bool = False) -> StreamingQuery:
     """Print the first rows of every micro-batch, for debugging."""
-    return frame.writeStream.format("console").option("numRows", rows).start()
+    writer = frame.writeStream.format("console").option("numRows", rows).option("truncate", False)
+    return (writer.trigger(availableNow=True) if drain else writer).start()

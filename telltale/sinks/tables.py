@@ -1,20 +1,18 @@
-"""Parquet tables: appends, repeatable micro-batches, the mart and the archive."""
+"""Parquet tables: appends, repeatable micro-batches, the mart and the archive of packs."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
-from datetime import date, timedelta
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from telltale.sources.readings import history
 from telltale.sources.rules import values_clause
 
-# Tasks that share a day where Spark cannot split it at run time.
-TASKS_PER_DAY = 8
-
 
 def with_event_date(frame: DataFrame, time: str = "messagedate") -> DataFrame:
     """Add the partition column: one folder per day, not one per second."""
@@ -24,8 +22,7 @@ def with_event_date(frame: DataFrame, time: str = "messagedate") -> DataFrame:
 def create_table(spark: SparkSession, name: str, schema: StructType, path: str) -> None:
     """Drop the table if there is one and create it over parquet files at ``path``."""
     drop_table(spark, name)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -47,38 +44,32 @@ def insert_rows(spark: SparkSession, name: str, rows: Iterable[Sequence[str]]) -
 
 
 def append_by_date(frame: DataFrame, path: str) -> None:
-    """Append readings to files by event date, each date in files of a good size."""
-    dated = _gathered(with_event_date(frame), "event_date")
-    dated.write.mode("append").partitionBy("event_date").parquet(path)
+    """Append readings to files by event date, as a batch of their own."""
+    write_batch(frame, path, f"append-{uuid.uuid4().hex}", "messagedate")
 
 
-def write_batch(
-    frame: DataFrame, path: str, batch: str, time: str | None = None, by_day: bool = False
-) -> None:
+def write_batch(frame: DataFrame, path: str, batch: str, time: str | None = None) -> None:
     """Write one batch so that repeating it leaves the table unchanged.
 
     A batch owns its partitions (``event_date`` and ``batch``) and replaces them.
     ``batch`` has to name the run as well as the number of the batch, or a new
-    stream over the same table would replace the batches of an old one.
-    ``by_day`` gathers the rows of a day first; without it every task writes a
-    file for every day it holds.
+    stream over the same table would replace the batches of an old one. Rows are
+    dealt out anew at the write only: small days are merged, a large one is split.
     """
     tagged = frame.withColumn("batch", F.lit(batch))
     keys = ["batch"]
     if time is not None:
         tagged = with_event_date(tagged, time)
         keys = ["event_date", "batch"]
-        if by_day:
-            tagged = _gathered(tagged, "event_date")
-    _replace(tagged, path, *keys)
+    _replace(_gathered(tagged, *keys[:-1]), path, *keys)
 
 
 def write_mart(filled: DataFrame, path: str, as_of: date) -> None:
     """Store the filled windows of one batch run.
 
     A run owns the partitions of its date, so repeating it replaces its own rows
-    and leaves the windows of other runs alone, which overlap it in part. The
-    mart names the window start twice, as its writer and as its reader call it.
+    and leaves those of other runs alone. Runs overlap in part; ``mart_scan``
+    takes every window from the latest run that covers it. The mart names the window start twice, as its writer and as its reader call it.
     """
     mart = (
         filled.withColumn("messagedate", F.col("datewindows"))
@@ -88,36 +79,96 @@ def write_mart(filled: DataFrame, path: str, as_of: date) -> None:
     _replace(_gathered(mart, "window_date"), path, "run_date", "window_date")
 
 
-def archive_dates(
-    spark: SparkSession, live: str, archive: str, first: date | None, last: date
-) -> None:
-    """Rewrite the many small files of finished days into few large ones.
+_MANIFEST = "event_date date, batch string, pack string"
+
+
+def packed_batches(spark: SparkSession, archive: str) -> DataFrame:
+    """``(event_date, batch, pack)`` of what the archive holds whole."""
+    path = f"{archive}/manifest"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], _MANIFEST)
+    return spark.read.schema(_MANIFEST).parquet(path)
 
-    The live files stay, so the step can be repeated.
-    """
-    days = history(spark, live, first, last)
-    _replace(_gathered(days, "event_date"), archive, "event_date")
 
+def pack_batches(
+    spark: SparkSession, live: str, archive: str, last: date | None = None
+) -> str | None:
+    """Rewrite the many small files of finished batches into few large ones.
 
-def archived_history(spark: SparkSession, live: str, archive: str, cutoff: date) -> DataFrame:
-    """Archived days before ``cutoff`` and live days from it on."""
-    last_archived = cutoff - timedelta(days=1)
-    return history(spark, archive, last=last_archived).unionByName(
-        history(spark, live, first=cutoff)
+    Takes the batches of days up to ``last`` that no pack holds yet, late ones of
+    old days included, and returns the name of the pack. The list of batches is
+    fixed first, and a pack counts only once the manifest names it, so a broken
+    run leaves nothing that is read, and rows that arrive meanwhile stay live.
+    The live files stay.
+    """
+    rows = spark.read.parquet(live)
+    here = rows.select("event_date", "batch").distinct()
+    if last is not None:
+        here = here.where(F.col("event_date") <= F.lit(last))
+    known = packed_batches(spark, archive).select("event_date", "batch")
+    pack = uuid.uuid4().hex
+    planned = f"{archive}/planned/{pack}"
+    new = here.join(known, ["event_date", "batch"], "left_anti")
+    new.withColumn("pack", F.lit(pack)).write.parquet(planned)
+    todo = spark.read.schema(_MANIFEST).parquet(planned)
+    if todo.isEmpty():
+        return None
+    taken = rows.join(todo, ["event_date", "batch"])
+    _gathered(taken.drop("pack"), "event_date").write.partitionBy("event_date").parquet(
+        f"{archive}/packs/pack={pack}"
     )
+    todo.write.mode("append").parquet(f"{archive}/manifest")
+    return pack
+
 
+def read_packed(
+    spark: SparkSession,
+    live: str,
+    archive: str,
+    first: date | None = None,
+    last: date | None = None,
+) -> DataFrame:
+    """Packs, and every live batch that no pack holds.
 
-def _gathered(frame: DataFrame, day: str) -> DataFrame:
-    """Bring the rows of a day together before they are written by day.
+    So a row is read once, whenever it arrived and whether its day was packed or
+    not. The bounds prune the days of both.
+    """
 
-    Rebalancing merges small days and splits a day that is much larger than the
-    rest, at run time. It needs adaptive execution, which a stateful stream does
-    not have; there a day is spread over a fixed number of tasks.
+    def within(frame: DataFrame) -> DataFrame:
+        if first is not None:
+            frame = frame.where(F.col("event_date") >= F.lit(first))
+        if last is not None:
+            frame = frame.where(F.col("event_date") <= F.lit(last))
+        return frame
+
+    rows = within(spark.read.parquet(live))
+    known = packed_batches(spark, archive)
+    found = rows.join(known.select("event_date", "batch"), ["event_date", "batch"], "left_anti")
+    names = [r["pack"] for r in known.select("pack").distinct().collect()]
+    if names:
+        schema = StructType([*rows.schema.fields, StructField("pack", StringType())])
+        paths = [f"{archive}/packs/pack={n}" for n in sorted(names)]
+        packs = spark.read.schema(schema).option("basePath", f"{archive}/packs").parquet(*paths)
+        found = found.unionByName(within(packs).select(*found.columns))
+    return found
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def _gathered(frame: DataFrame, *day: str) -> DataFrame:
+    """Deal rows out so that files get a good size.
+
+    Rebalancing merges what is small and splits what is much larger than the
+    rest, at run time.
     """
-    if frame.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return frame.hint("rebalance", day)
-    part = F.pmod(F.xxhash64(*frame.columns), F.lit(TASKS_PER_DAY))
-    return frame.repartition(F.col(day), part)
+    return frame.hint("rebalance", *day)
 
 
 def _replace(frame: DataFrame, path: str, *keys: str) -> None:

@@ -13,12 +13,17 @@ from telltale.schema import EVENT, STORED_READING
 
 TEXT = StructType([StructField("value", StringType())])
 
+# A micro-batch takes so much at most, so that a first start or a catch-up is
+# many batches and not one of unknown size.
+MESSAGES_PER_BATCH = 10_000_000
+FILES_PER_BATCH = 1000
+
 
 def kafka_options(
     brokers: str,
     topic: str,
     starting: str = "latest",
-    max_per_batch: int | None = None,
+    max_per_batch: int = MESSAGES_PER_BATCH,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source.
@@ -30,23 +35,23 @@ def kafka_options(
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "startingOffsets": starting,
+        "maxOffsetsPerTrigger": str(max_per_batch),
     }
-    if max_per_batch:
-        options["maxOffsetsPerTrigger"] = str(max_per_batch)
     if min_partitions:
         options["minPartitions"] = str(min_partitions)
     return options
 
 
 def kafka_messages(spark: SparkSession, brokers: str, topic: str, **options) -> DataFrame:
-    """The message values of a topic as an unbounded ``value STRING`` frame."""
+    """The messages of a topic as an unbounded frame of ``value STRING, place LONG``."""
     source = spark.readStream.format("kafka").options(**kafka_options(brokers, topic, **options))
     return message_values(source.load())
 
 
 def message_values(records: DataFrame) -> DataFrame:
-    """Keep the value of key-value records as text."""
-    return records.select(F.col("value").cast("string").alias("value"))
+    """Keep the value of key-value records as text, and the offset if there is one."""
+    place = [F.col("offset").alias("place")] if "offset" in records.columns else []
+    return records.select(F.col("value").cast("string").alias("value"), *place)
 
 
 def text_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -54,12 +59,11 @@ def text_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TEXT).text(path)
 
 
-def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def text_stream(
+    spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
     """The same as a stream; every file is read once."""
-    reader = spark.readStream.schema(TEXT)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+    return spark.readStream.schema(TEXT).option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
 def history(
@@ -89,7 +93,8 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as a stream. The pattern makes it work for one file and a folder."""
-    stream = spark.readStream.schema(EVENT).parquet(f"{sf_dir}/events.parque[t]")
+    reader = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    stream = reader.parquet(f"{sf_dir}/events.parque[t]")
     return as_readings(stream).withColumn("messagedate", F.col("messagedate").cast("timestamp"))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import time
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,12 +73,16 @@ def delimited_rules(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(*[field(i).alias(n) for i, n in enumerate(RULE.names)])
 
 
-def check_rules(rules: DataFrame, unique: Sequence[str] = ("metrics", "mod")) -> RuleSet:
+def check_rules(
+    rules: DataFrame,
+    unique: Sequence[str] = ("metrics", "mod"),
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> RuleSet:
     """Refuse rules that are loaded twice, and measure the rest.
 
     A duplicate would raise every alert of its metric twice. Rules with several
     thresholds for one metric and mode pass with ``unique`` widened by ``value``.
-    The check runs once per job, not once per micro-batch.
+    The check runs two small jobs; ``reloaded`` keeps them out of most batches.
     """
     twice = rules.groupBy(*unique).count().where("count > 1").take(1)
     if twice:
@@ -86,11 +91,17 @@ def check_rules(rules: DataFrame, unique: Sequence[str] = ("metrics", "mod")) ->
     for column in RULE.names:
         size = size + F.coalesce(F.octet_length(column), F.lit(0))
     rows, width = rules.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    return RuleSet(rules, rows <= BROADCAST_ROWS and width <= BROADCAST_BYTES)
+    return RuleSet(rules, rows <= broadcast_rows and width <= BROADCAST_BYTES)
 
 
-def rule_rows(rules: RuleSet) -> list[Rule]:
-    """Rules as Python rows, for a generator that takes them as its parameter."""
-    if not rules.small:
-        raise ValueError("too many rules to be a parameter of the generator")
-    return [tuple(r) for r in rules.frame.select(*RULE.names).collect()]
+def reloaded(load: Callable[[], RuleSet], seconds: float = 60) -> Callable[[], RuleSet]:
+    """Load rules when they are asked for, but not again for so many seconds."""
+    held: list = []
+
+    def current() -> RuleSet:
+        now = time.monotonic()
+        if not held or now - held[1] >= seconds:
+            held[:] = [load(), now]
+        return held[0]
+
+    return current

@@ -11,11 +11,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 def start_batches(
     writer: DataStreamWriter,
-    handle: Callable[[DataFrame, str], None],
+    handle: Callable[[DataFrame, str, int], None],
     checkpoint: str,
     interval: str | None,
 ) -> StreamingQuery:
-    """Hand every micro-batch to ``handle`` with a name that is its own.
+    """Hand every micro-batch to ``handle`` with a name of its own and its number.
 
     The name joins the query id, which lives as long as the checkpoint, and the
     number of the batch: a restarted stream repeats the name, a new stream does
@@ -24,7 +24,7 @@ def start_batches(
     query_id: Future[str] = Future()
 
     def each(batch: DataFrame, number: int) -> None:
-        handle(batch, f"{query_id.result()}-{number}")
+        handle(batch, f"{query_id.result()}-{number}", number)
 
     writer = writer.foreachBatch(each).option("checkpointLocation", checkpoint)
     if interval is None:

@@ -6,22 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telltale.functions.times import label
+from telltale.fixed import WINDOW_SECONDS
+from telltale.functions.times import bucket_start, label
 from telltale.sinks.tables import write_batch
 from telltale.streaming.batches import start_batches
 
 
-def window_max(measures: DataFrame, lateness: str, width: str = "5 minutes") -> DataFrame:
-    """Maximum per name and window of a stream of (name, messagedate, sugar).
-
-    State of a window is kept until the watermark passes its end; ``lateness``
-    is how far readings may arrive behind the newest one.
-    """
-    return (
-        measures.withWatermark("messagedate", lateness)
-        .groupBy("name", F.window("messagedate", width))
-        .agg(F.max("sugar").alias("sugar"))
-        .select("name", F.col("window.start").alias("window_start"), "sugar")
+def window_max(measures: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """Maximum per name and window of some (name, messagedate, sugar)."""
+    window = bucket_start(F.col("messagedate"), seconds)
+    return measures.groupBy("name", window.alias("window_start")).agg(
+        F.max("sugar").alias("sugar")
     )
 
 
@@ -29,20 +24,22 @@ def start_window_max(
     measures: DataFrame,
     path: str,
     checkpoint: str,
-    lateness: str = "1 hour",
     interval: str | None = "1 minute",
 ) -> StreamingQuery:
-    """Write the windows that changed in every micro-batch."""
+    """Append the maxima of every micro-batch.
+
+    A maximum of maxima is the maximum, so no state is kept between batches and a
+    reading counts however late it comes.
+    """
 
-    def write(changed: DataFrame, batch: str) -> None:
-        write_batch(changed, path, batch, "window_start", by_day=True)
+    def write(batch: DataFrame, name: str, number: int) -> None:
+        write_batch(window_max(batch), path, name, "window_start")
 
-    writer = window_max(measures, lateness).writeStream.outputMode("update")
-    return start_batches(writer, write, checkpoint, interval)
+    return start_batches(measures.writeStream, write, checkpoint, interval)
 
 
 def read_window_max(spark: SparkSession, path: str) -> DataFrame:
-    """Current maxima. A maximum only grows, so the largest update is the last."""
+    """Current maxima, merged from those of all batches."""
     return (
         spark.read.parquet(path)
         .groupBy("name", "window_start")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -12,7 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telltale.operators.alerts import alert_details, run_rule_text
 from telltale.operators.cells import to_cells
-from telltale.operators.decode import bad, decode, good
+from telltale.operators.decode import bad, decode, placed
+from telltale.schema import READING_FIELDS
+from telltale.session import run_dir
 from telltale.sinks.tables import write_batch
 from telltale.sources.rules import RuleSet
 from telltale.streaming.batches import start_batches
@@ -26,8 +29,9 @@ class BadMessages(ValueError):
 class SpeedLayer:
     """What happens to a batch of messages.
 
-    ``rules`` is checked once; give a function to load them anew for every batch.
-    An output without a path is left out. ``rule_text`` is a user's own rule
+    ``rules`` is checked once; give a function, ``reloaded`` for example, to have
+    them loaded again. They are loaded before anything of a batch is written. An
+    output without a path is left out. ``rule_text`` is a user's own rule
     query over the views ``inbox_view`` and ``rules_view``; its result goes to
     ``rule_text_path``. ``on_bad`` is ``"fail"`` (stop before anything of the
     batch is written) or ``"quarantine"``. ``copy_path`` is a second place for
@@ -47,7 +51,6 @@ class SpeedLayer:
     cell_stamp: Column | None = None
     cell_metric: str | None = None
     on_bad: str = "fail"
-    rows_per_file: int = 1_000_000
     peek_rows: int = 0
 
     def __post_init__(self) -> None:
@@ -58,52 +61,55 @@ class SpeedLayer:
         if (self.rule_text is None) != (self.rule_text_path is None):
             raise ValueError("rule_text and rule_text_path belong together")
 
-    def process(self, messages: DataFrame, batch: str) -> None:
-        """Write all outputs of one batch.
+    def process(self, messages: DataFrame, batch: str, number: int = 0) -> None:
+        """Write all outputs of one batch of a stream.
 
-        The batch is decoded once and held in memory or on disk for all outputs;
-        lost blocks are decoded again from the source. The outputs are not one
-        transaction, but each is replaced when the batch is repeated.
+        The batch is decoded once and held by the executors for all outputs; its
+        size is bounded by the source, and lost blocks are decoded again.
         """
         decoded = decode(messages).persist()
         try:
-            # Filling the cache takes all tasks; the writes below read it.
-            day = F.to_date("messagedate")
-            total, wrong, first, last = decoded.agg(
-                F.count("*"),
-                F.count_if(F.col("problem").isNotNull()),
-                F.min(day),
-                F.max(day),
-            ).first()
-            if total == 0:
-                return
-            if wrong and self.on_bad == "fail":
-                raise BadMessages(f"batch {batch}: {wrong} of {total} messages unreadable")
-
-            files = -(-total // self.rows_per_file)
-            # A batch of one day is written as it lies, in as many files as it
-            # deserves. A catch-up over many days is gathered by day first.
-            by_day = first != last
-            readings = good(decoded) if by_day else good(decoded).coalesce(files)
-            if self.peek_rows:
-                readings.show(self.peek_rows, truncate=False)
-            for path in (self.history_path, self.copy_path):
-                if path is not None:
-                    write_batch(readings, path, batch, "messagedate", by_day)
-            rules = self.rules() if callable(self.rules) else self.rules
-            if self.alerts_path is not None:
-                found = alert_details(readings, rules)
-                write_batch(found, self.alerts_path, batch, "messagedate", by_day)
-            if self.rule_text is not None:
-                self._write_own_rule(readings, rules, batch)
-            if self.cells_path is not None:
-                cells = to_cells(readings, self.cell_stamp, self.cell_metric)
-                write_batch(cells, self.cells_path, batch, "version", by_day)
-            if wrong:
-                write_batch(bad(decoded).coalesce(files), self.quarantine_path, batch)
+            self.write(decoded, batch)
         finally:
             decoded.unpersist()
 
+    def write(self, decoded: DataFrame, batch: str) -> None:
+        """Write all outputs of decoded messages.
+
+        The outputs are not one transaction, but each is replaced when the batch
+        is repeated. Work runs in as many tasks as the messages came in; rows are
+        gathered at each write only.
+        """
+        # Writes of one version count in the order of their batches.
+        arrival = F.lit(time.time_ns() // 1000)
+        total, wrong = decoded.agg(
+            F.count("*"), F.count_if(F.col("problem").isNotNull())
+        ).first()
+        if total == 0:
+            return
+        if wrong and self.on_bad == "fail":
+            raise BadMessages(f"batch {batch}: {wrong} of {total} messages unreadable")
+        rules = None
+        if self.alerts_path is not None or self.rule_text is not None:
+            rules = self.rules() if callable(self.rules) else self.rules
+
+        readings = placed(decoded)
+        if self.peek_rows:
+            readings.show(self.peek_rows, truncate=False)
+        for path in (self.history_path, self.copy_path):
+            if path is not None:
+                write_batch(readings.select(*READING_FIELDS), path, batch, "messagedate")
+        if self.alerts_path is not None:
+            found = alert_details(readings, rules)
+            write_batch(found, self.alerts_path, batch, "messagedate")
+        if self.rule_text is not None:
+            self._write_own_rule(readings.select(*READING_FIELDS), rules, batch)
+        if self.cells_path is not None:
+            cells = to_cells(readings, self.cell_stamp, self.cell_metric, arrival=arrival)
+            write_batch(cells, self.cells_path, batch, "version")
+        if wrong:
+            write_batch(bad(decoded), self.quarantine_path, batch)
+
     def _write_own_rule(self, readings: DataFrame, rules: RuleSet, batch: str) -> None:
         # A stream works in a session of its own; a view of the rules reaches it
         # as a global one.
@@ -129,8 +135,14 @@ def run_once(layer: SpeedLayer, messages: DataFrame, run: str | None = None) ->
     """The same work on a batch frame, without a stream.
 
     A named run replaces what it wrote before; an unnamed one adds to the tables.
+    What is there may be of any size, so the decoded messages are kept in the
+    shared folder and not by the executors.
     """
-    layer.process(messages, f"{run or uuid.uuid4()}-0")
+    path = run_dir(messages.sparkSession, "decoded")
+    decoded = decode(messages)
+    decoded.write.parquet(path)
+    stored = messages.sparkSession.read.schema(decoded.schema).parquet(path)
+    layer.write(stored, f"{run or uuid.uuid4()}-0")
 
 
 def read_output(spark: SparkSession, path: str) -> DataFrame:

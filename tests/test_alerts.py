@@ -2,8 +2,8 @@ import random
 
 import pytest
 
-from telltale.operators.alerts import alert_details, alerts, run_rule_text
-from telltale.plans.queries import RULE_TEXT
+from telltale.operators.alerts import alert_details, alerts, hot_metrics, run_rule_text
+from telltale.plans.queries import RULE_TEXT, registered
 from telltale.sources.rules import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
@@ -12,7 +12,7 @@ from telltale.sources.rules import (
     csv_rules,
     delimited_rules,
     literal_rules,
-    rule_rows,
+    reloaded,
 )
 
 TIME = "2018-06-29 17:00:00"
@@ -92,8 +92,7 @@ def test_size_of_rules_decides_about_the_broadcast(spark):
     )
     assert not check_rules(wide).small
     assert check_rules(many.limit(10)).small
-    with pytest.raises(ValueError, match="too many"):
-        rule_rows(check_rules(many))
+    assert not check_rules(many.limit(10), broadcast_rows=9).small
 
 
 def test_large_rules_agree_with_brute_force_on_a_hot_metric(spark, readings, rows):
@@ -133,35 +132,54 @@ def test_plans(spark, readings, plan):
 
 
 def test_large_rules_shuffle_by_metric_and_salt(spark, readings, plan, rows):
+    """No broadcast whatever the optimizer thinks of the size; copies for the hot metric only."""
     made = [(str(i), TIME, "car", "hot" if i % 3 else str(i), "150") for i in range(300)]
     rules = spark.range(300).selectExpr(
         "IF(id = 0, 'hot', CAST(id AS string)) metrics", "'1' value", "'1' ent", "'gt' mod"
     )
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        found = alert_details(readings(*made), RuleSet(rules, small=False), salts=8)
-        shown = plan(found)
-        assert "SortMergeJoin" in shown and "Broadcast" not in shown
-        assert "hashpartitioning(metrics" in shown and "salt" in shown
-        assert rows(found) == rows(alert_details(readings(*made), check_rules(rules)))
-        assert found.count() == 299  # reading 0 has a metric without a rule
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert hot_metrics(readings(*made), 8) == ["hot"]
+    found = alert_details(readings(*made), RuleSet(rules, small=False), salts=8)
+    shown = plan(found)
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown
+    assert "hashpartitioning(metrics" in shown and "salt" in shown
+    assert rows(found) == rows(alert_details(readings(*made), check_rules(rules)))
+    assert found.count() == 299  # reading 0 has a metric without a rule
+
+
+def test_registered_large_rules_are_shuffled(spark, plan):
+    query = registered()["alerts_large_rules"]
+    shown = plan(query(spark, "/root/testdata/sf0.01"))
+    assert "SortMergeJoin" in shown and "BroadcastHashJoin" not in shown
+
+
+def test_rules_are_loaded_now_and_then():
+    loads = []
+    current = reloaded(lambda: loads.append(1) or len(loads), seconds=3600)
+    assert [current() for _ in range(5)] == [1] * 5
+    always = reloaded(lambda: loads.append(1) or len(loads), seconds=0)
+    assert [always() for _ in range(2)] == [2, 3]
 
 
 def test_rule_text_with_old_casts(spark, readings, rows):
     made = readings(
         ("a", TIME, "car", "speed", "190.857"),
         ("b", TIME, "car", "speed", "abc"),
-        ("c", TIME, "car", "speed", "130.9"),
+        ("c", TIME, "car", "speed", "131.9"),
+        ("d", TIME, "bus", "speed", "150"),
     )
     made.createOrReplaceTempView("inbox")
     literal_rules(spark, [("speed", "130", "50", "ltgt")]).createOrReplaceTempView("rules")
     before = spark.conf.get("spark.sql.ansi.enabled")
-    found = run_rule_text(spark, RULE_TEXT)
+    found = run_rule_text(spark, RULE_TEXT.format(inbox="inbox", rules="rules"))
     assert spark.conf.get("spark.sql.ansi.enabled") == before
-    assert rows(found) == [("car", "speed", "130")]
+    assert rows(found) == [("car", 2, 190)]
+
+
+def test_queries_leave_no_views(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    for name in ("alerts_sql_rule", "inbox_view"):
+        assert registered()[name](spark, "/root/testdata/sf0.001").count() >= 0
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_rules_from_quoted_csv(spark, rows, tmp_path):

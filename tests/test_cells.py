@@ -32,12 +32,24 @@ def test_key_time_may_be_another(readings, rows):
     assert now.startswith("car-20") and now != KEY
 
 
-def _cells(spark, *rows):
+def _cells(spark, *rows, arrival=0):
     return spark.createDataFrame(
-        [(r, "car", q, v, datetime(2018, 1, 1, 0, 0, t), m) for r, q, v, t, m in rows], CELL
+        [(r, "car", q, v, datetime(2018, 1, 1, 0, 0, t), arrival, 0, m) for r, q, v, t, m in rows],
+        CELL,
     )
 
 
+def test_a_later_put_of_the_same_version_wins(spark, rows):
+    """Whatever its id is as text; 10 comes after 9."""
+    first = _cells(spark, ("r", "a", "first", 1, "9"))
+    later = _cells(spark, ("r", "a", "second", 1, "10"), arrival=1)
+    for both in (first.unionByName(later), later.unionByName(first)):
+        assert rows(latest_cells(both)) == [("r", "car", "a", "second")]
+        assert rows(wide_cells(both, [("a", "car", "a")])) == [("r", "second")]
+    further = later.withColumn("place", F.lit(5).cast("long")).withColumn("value", F.lit("third"))
+    assert rows(latest_cells(later.unionByName(further))) == [("r", "car", "a", "third")]
+
+
 def test_last_write_wins(spark, rows):
     cells = _cells(
         spark, ("r1", "a", "1", 1, "x"), ("r1", "a", "2", 2, "x"), ("r1", "b", "9", 1, "x")

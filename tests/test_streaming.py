@@ -1,10 +1,12 @@
 import json
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from telltale.__main__ import parser, show
 from telltale.operators.alerts import alert_details
 from telltale.operators.cells import latest_cells
 from telltale.operators.decode import decode, good
@@ -74,8 +76,9 @@ def test_stream_equals_batch_and_a_restart_adds_nothing(spark, inbox, layer, row
     )
     run_once(alone, text_messages(spark, folder))
     for streamed, batch in (("history", "h1"), ("alerts", "a1"), ("cells", "c1")):
-        found = rows(read_output(spark, str(tmp_path / streamed)))
-        assert found == rows(read_output(spark, str(tmp_path / batch)))
+        # The arrival is the time of the run.
+        found = rows(read_output(spark, str(tmp_path / streamed)).drop("arrival"))
+        assert found == rows(read_output(spark, str(tmp_path / batch)).drop("arrival"))
         assert len(found) == (29 if streamed == "alerts" else 40)
 
     inbox("3.txt", _message(99, 150))
@@ -143,16 +146,16 @@ def test_bad_messages_in_quarantine(spark, inbox, layer, rows, tmp_path):
 
 
 def test_own_rule_and_copy(spark, inbox, layer, rows, tmp_path):
-    folder = inbox("1.txt", _message(1, 150.9), _message(2, "abc"))
+    folder = inbox("1.txt", _message(1, 150.9), _message(2, "abc"), _message(3, 140))
     work = layer(
-        rule_text=RULE_TEXT,
+        rule_text=RULE_TEXT.format(inbox="inbox", rules="rules"),
         rule_text_path=str(tmp_path / "own"),
         copy_path=str(tmp_path / "copy"),
         peek_rows=1,
     )
     _drain(work, text_stream(spark, folder), tmp_path)
-    assert rows(read_output(spark, str(tmp_path / "own"))) == [("AB-C 1234", "speed", "130")]
-    assert history(spark, str(tmp_path / "copy")).count() == 2
+    assert rows(read_output(spark, str(tmp_path / "own"))) == [("AB-C 1234", 2, 150)]
+    assert history(spark, str(tmp_path / "copy")).count() == 3
 
 
 def test_rules_loaded_for_every_batch(spark, inbox, layer, rows, tmp_path):
@@ -178,6 +181,46 @@ def test_cells_of_later_batches_win(spark, inbox, layer, rows, tmp_path):
     assert rows(latest) == [("AB-C 1234-20180629170000", "car", "speed", "6")]
 
 
+def test_a_put_of_a_later_batch_wins_whatever_its_id(spark, inbox, layer, rows, tmp_path):
+    folder = inbox("1.txt", _message(9, "first"))
+    stream = text_stream(spark, folder, files_per_batch=1)
+    _drain(layer(alerts_path=None), stream, tmp_path)
+    inbox("2.txt", _message(10, "second"))
+    _drain(layer(alerts_path=None), stream, tmp_path)
+    latest = latest_cells(read_output(spark, str(tmp_path / "cells")))
+    assert rows(latest, "value") == [("second",)]
+
+
+def test_rules_that_cannot_be_read_stop_a_batch_before_it_writes(spark, inbox, layer, tmp_path):
+    def broken():
+        raise ValueError("no rules")
+
+    folder = inbox("1.txt", _message(1, 150))
+    with pytest.raises(ValueError, match="no rules"):
+        run_once(layer(rules=broken), text_messages(spark, folder))
+    assert not (tmp_path / "history").exists()
+    run_once(layer(rules=broken, alerts_path=None), text_messages(spark, folder))
+    assert history(spark, str(tmp_path / "history")).count() == 1
+
+
+def test_a_batch_keeps_its_tasks_until_it_writes(spark, inbox, layer, tmp_path, monkeypatch):
+    """Adaptive execution is on in a batch, so rows are gathered at the writes only."""
+    seen = []
+    made = layer()
+    monkeypatch.setattr(
+        type(made),
+        "write",
+        lambda self, decoded, batch: seen.append(
+            (decoded.sparkSession.conf.get("spark.sql.adaptive.enabled"), batch)
+        ),
+    )
+    folder = inbox("0.txt", _message(0, 1))
+    for k in range(1, 4):
+        inbox(f"{k}.txt", *[_message(i, 150) for i in range(50)])
+    _drain(made, text_stream(spark, folder, files_per_batch=4), tmp_path)
+    assert seen[0][0] == "true"
+
+
 def test_settings_are_checked(layer):
     for wrong in (
         {"on_bad": "ignore"},
@@ -188,13 +231,13 @@ def test_settings_are_checked(layer):
             layer(**wrong)
 
 
-def test_files_follow_the_number_of_rows(spark, layer, tmp_path):
+def test_files_follow_the_size(spark, layer, tmp_path):
     messages = spark.range(1000).repartition(8).select(
         F.lit(_message(1, 150)).alias("value"), F.col("id")
     )
-    run_once(layer(rows_per_file=400), messages.select("value"))
+    run_once(layer(), messages.select("value"))
     day = tmp_path / "history" / "event_date=2018-06-29"
-    assert 1 <= len(list(day.glob("batch=*/*.parquet"))) <= 3
+    assert len(list(day.glob("batch=*/*.parquet"))) == 1
     assert history(spark, str(tmp_path / "history")).count() == 1000
 
 
@@ -225,3 +268,18 @@ def test_window_max_on_a_stream(spark, rows, tmp_path):
         ("b", "2018-06-29 13:45:00", 2.0),
     ]
     assert drain() == drain()
+    # Long after a much later reading.
+    put(("a", "2018-06-29 20:00:00", 3.0))
+    drain()
+    put(("a", "2018-06-29 13:46:30", 99.0))
+    assert ("a", "2018-06-29 13:45:00", 99.0) in drain()
+
+
+def test_show(spark, inbox, capfd):
+    folder = inbox("1.txt", _message("shown-id", 150))
+    show(spark, parser().parse_args(["show", "--text", folder, "--drain"]))
+    shown, deadline = "", time.monotonic() + 20
+    while "shown-id" not in shown and time.monotonic() < deadline:
+        time.sleep(0.2)
+        shown += capfd.readouterr().out
+    assert "shown-id" in shown

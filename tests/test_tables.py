@@ -3,27 +3,38 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from telltale.__main__ import kafka_settings, parser
+from telltale.operators.decode import decode, placed
 from telltale.operators.serving import mart_scan
 from telltale.operators.windows import spine_for, window_fill
 from telltale.schema import READING, READING_FIELDS, RULE
 from telltale.session import run_dir, shared_dir
 from telltale.sinks.exports import (
     kafka_sink_options,
+    publish,
+    publish_stream,
     read_quoted_csv,
     write_quoted_csv,
 )
 from telltale.sinks.tables import (
     append_by_date,
     append_table,
-    archive_dates,
-    archived_history,
     create_table,
     drop_table,
     insert_rows,
+    pack_batches,
+    packed_batches,
+    read_packed,
     write_batch,
     write_mart,
 )
-from telltale.sources.readings import history, kafka_messages, kafka_options
+from telltale.sources.readings import (
+    MESSAGES_PER_BATCH,
+    history,
+    kafka_messages,
+    kafka_options,
+    message_values,
+)
 
 AS_OF = date(2018, 6, 30)
 
@@ -76,7 +87,7 @@ def test_history_is_partitioned_by_day(spark, made, rows, plan, tmp_path):
 def test_a_repeated_batch_replaces_itself_only(spark, made, rows, tmp_path):
     path = str(tmp_path / "b")
     write_batch(made, path, "q-0", "messagedate")
-    write_batch(made, path, "q-1", "messagedate", by_day=True)
+    write_batch(made, path, "q-1", "messagedate")
     write_batch(made, path, "q-1", "messagedate")
     write_batch(made, path, "other-0", "messagedate")
     assert spark.read.parquet(path).count() == 9
@@ -91,29 +102,65 @@ def test_mart_run_can_be_repeated(spark, made, rows, tmp_path):
     assert stored.count() == 1001 - 1  # 998 empty windows, two readings
     assert stored.where("messagedate != datewindows").isEmpty()
     scan = mart_scan(stored)
+    first = rows(scan)
     assert scan.columns == ["messagedate", "metrics", "name", "value"]
     assert ("2018-06-29 00:00:00", "speed", "car", "2") in rows(scan)
 
     before = date(2018, 6, 29)
     write_mart(window_fill(made, spine_for(before)), path, before)
     after = spark.read.parquet(path)
-    assert rows(after.where(F.col("run_date") == F.lit(AS_OF)), *scan.columns) == rows(scan)
-    assert after.count() == stored.count() + 1000
+    assert after.count() == 2000
+    # The windows of both runs are those of the later one.
+    found = rows(mart_scan(after))
+    assert len(found) == 1000 + 288 and set(first) <= set(found)
+    assert len({r[0] for r in found}) == len(found)
 
 
-def test_archive(spark, made, rows, tmp_path):
+def test_a_later_run_fills_a_window(spark, made, rows, tmp_path):
+    path = str(tmp_path / "m")
+    write_mart(window_fill(made.where("messageid <> 'b'"), spine_for(AS_OF)), path, AS_OF)
+    later = date(2018, 7, 1)
+    again = made.withColumn("messagedate", F.col("messagedate") + F.expr("INTERVAL 1 DAY"))
+    write_mart(window_fill(again, spine_for(later)), path, later)
+    found = rows(mart_scan(spark.read.parquet(path)).where("messagedate LIKE '2018-06-30 00:00%'"))
+    assert found == [("2018-06-30 00:00:00", "speed", "car", "2")]
+
+
+def test_packs(spark, made, rows, tmp_path):
+    """Many batches of a day become few files; late, new and broken ones change nothing."""
     live, archive = str(tmp_path / "l"), str(tmp_path / "a")
-    for i in range(3):
+    for i in range(6):
         write_batch(made, live, f"q-{i}", "messagedate")
-    cutoff = date(2018, 6, 30)
-    for _ in range(2):
-        archive_dates(spark, live, archive, None, date(2018, 6, 29))
-    assert history(spark, archive).count() == 6
-    found = archived_history(spark, live, archive, cutoff)
-    assert rows(found, *READING_FIELDS) == rows(history(spark, live), *READING_FIELDS)
-    files = list((tmp_path / "a").glob("event_date=2018-06-28/*.parquet"))
+    assert rows(read_packed(spark, live, archive), *READING_FIELDS) == rows(
+        history(spark, live), *READING_FIELDS
+    )
+    assert pack_batches(spark, live, archive, date(2018, 6, 29)) is not None
+    assert pack_batches(spark, live, archive, date(2018, 6, 29)) is None
+    packed = packed_batches(spark, archive)
+    assert packed.count() == 12
+    files = list((tmp_path / "a").glob("packs/pack=*/event_date=2018-06-28/*.parquet"))
     assert len(files) == 1
 
+    write_batch(made, live, "late-0", "messagedate")
+    expected = rows(history(spark, live), *READING_FIELDS)
+    assert rows(read_packed(spark, live, archive), *READING_FIELDS) == expected
+    assert pack_batches(spark, live, archive) is not None
+    assert rows(read_packed(spark, live, archive), *READING_FIELDS) == expected
+    day = read_packed(spark, live, archive, date(2018, 6, 29), date(2018, 6, 29))
+    assert rows(day, "messageid") == [("b",)] * 7
+    # A pack that the manifest does not name is not read.
+    made.withColumn("event_date", F.lit(date(2018, 6, 29))).withColumn(
+        "batch", F.lit("x")
+    ).write.partitionBy("event_date").parquet(f"{archive}/packs/pack=half")
+    assert rows(read_packed(spark, live, archive), *READING_FIELDS) == expected
+
+
+def test_folder_names_with_quotes(spark, rows, tmp_path):
+    create_table(spark, "quoted", RULE, str(tmp_path / "it's"))
+    insert_rows(spark, "quoted", [("speed", "1", "1", "gt")])
+    assert spark.table("quoted").count() == 1
+    drop_table(spark, "quoted")
+
 
 def test_quoted_csv(spark, rows, tmp_path):
     frame = spark.createDataFrame(
@@ -140,12 +187,76 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:9092",
         "subscribe": "t",
         "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": str(MESSAGES_PER_BATCH),
     }
     more = kafka_options("h:9092", "t", "earliest", max_per_batch=5, min_partitions=64)
     assert more["maxOffsetsPerTrigger"] == "5" and more["minPartitions"] == "64"
     assert kafka_sink_options("h:9092", "t") == {"kafka.bootstrap.servers": "h:9092", "topic": "t"}
 
 
+class _Recorder:
+    """Stands for a reader or writer and keeps what it was given."""
+
+    def __init__(self):
+        self.given = {}
+
+    def format(self, name):
+        self.given["format"] = name
+        return self
+
+    def options(self, **options):
+        self.given.update(options)
+        return self
+
+    def option(self, name, value):
+        self.given[name] = value
+        return self
+
+    def load(self):
+        return self
+
+    def save(self):
+        return self
+
+    start = save
+
+
+def test_kafka_options_reach_the_reader(spark, monkeypatch):
+    reader = _Recorder()
+    monkeypatch.setattr(type(spark), "readStream", reader)
+    monkeypatch.setattr("telltale.sources.readings.message_values", lambda records: records)
+    job = ["speed", "--rules", "r", "--out", "o", "--checkpoint", "c", "--brokers", "h:1"]
+    asked = ["--topic", "t", "--starting", "earliest", "--min-partitions", "9"]
+    options = parser().parse_args([*job, *asked, "--max-per-batch", "77"])
+    kafka_messages(spark, options.brokers, options.topic, **kafka_settings(options))
+    assert reader.given == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "t",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "77",
+        "minPartitions": "9",
+    }
+
+
+def test_kafka_options_reach_the_writer(made, monkeypatch):
+    for name, send in (
+        ("write", lambda: publish(made, "h:1", "t")),
+        ("writeStream", lambda: publish_stream(made, "h:1", "t", "state")),
+    ):
+        writer = _Recorder()
+        monkeypatch.setattr(type(made), name, writer)
+        send()
+        assert writer.given["format"] == "kafka" and writer.given["topic"] == "t"
+        assert writer.given.get("checkpointLocation") == ("state" if name == "writeStream" else None)
+
+
+def test_offset_of_a_message_is_kept(spark, rows):
+    text = '{"name": "n", "messageid": "1", "messagedate": "20180629170000", "metrics": "m"}'
+    records = spark.createDataFrame([(text, 7)], "value string, offset long")
+    assert rows(placed(decode(message_values(records))), "messageid", "place") == [("1", 7)]
+
+
 def test_kafka_source_needs_its_connector_only(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_messages(spark, "h:9092", "t")
