@@ -17,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from telltale.llm.tasks import WORD_BREAK_PATTERN, chunks, column_bytes, ship, stored
 
@@ -28,6 +29,11 @@ ANCHOR = 5
 # Words of a shard, and segments of one anchor beyond which its windows are dealt out.
 SHARD_WORDS = 1 << 18
 ANCHOR_SEGMENTS = 2000
+# Bits of a sieve, at most.
+SIEVE_BITS = 1 << 27
+
+_ODD = 0x5851F42D4C957F2D
+_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
 
 class _Digests(dict):
@@ -68,7 +74,11 @@ def _less(best: np.ndarray, at: np.ndarray, step: int) -> tuple[np.ndarray, np.n
 
 
 def segments(lists: list[list[bytes]], digests: dict, window: int) -> tuple[np.ndarray, ...]:
-    """``(list, first window, windows, anchor)`` of every segment of some lists of words."""
+    """``(list, first window, windows, anchor, digest)`` of every segment of lists of words.
+
+    ``digest`` is that of all words of a segment: a polynomial modulo 2^64, whose
+    value for any run of words follows from two running sums.
+    """
     sizes = np.array([len(x) for x in lists], np.int64)
     ends = np.cumsum(sizes)
     flat = (w for words in lists for w in words)
@@ -84,7 +94,25 @@ def segments(lists: list[list[bytes]], digests: dict, window: int) -> tuple[np.n
     first = np.flatnonzero(new)
     many = np.diff(np.r_[first, len(start)])
     begin = (ends - sizes)[owner[first]]
-    return owner[first], start[first] - begin, many, runs[at[first]]
+    powers = np.full(len(words) + 1, _ODD, np.uint64)
+    powers[:1] = 1
+    powers = np.multiply.accumulate(powers)
+    inverse = np.full(len(words) + 1, _ODD_INVERSE, np.uint64)
+    inverse[:1] = 1
+    inverse = np.multiply.accumulate(inverse)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers[:-1], dtype=np.uint64)])
+    low, high = start[first], start[first] + many + window - 1
+    digest = (sums[high] - sums[low]) * inverse[low] + many.astype(np.uint64)
+    digest = (digest ^ (digest >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return owner[first], start[first] - begin, many, runs[at[first]], digest ^ (digest >> np.uint64(29))
+
+
+def place_keys(doc_id: np.ndarray, tie: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A small digest of where a segment is."""
+    mixed = doc_id.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ tie.astype(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    mixed = (mixed ^ first.astype(np.uint64)) * np.uint64(0xD1B54A32D192ED03)
+    return (mixed >> np.uint64(33)).astype(np.int64)
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -94,60 +122,102 @@ def _named(docs: DataFrame) -> DataFrame:
     )
 
 
-def _segments(docs: DataFrame, window: int) -> DataFrame:
-    """``(doc_id, tie, first, many, anchor)`` of every segment: its first window and how many."""
+def sieve(keys: DataFrame) -> np.ndarray | None:
+    """A bit for the low end of every key of ``keys(key long)``, as 64-bit words.
+
+    It only saves work: what passes by chance is sorted out later. Its size is
+    bounded, so beyond some number of keys more and more passes. No keys: None.
+    """
+    n = keys.count()
+    if not n:
+        return None
+    bits = min(SIEVE_BITS, 1 << max(10, (16 * n - 1).bit_length()))
+    slot = F.col("key").bitwiseAND(F.lit(bits - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    words = (
+        keys.select(F.call_function("shiftright", slot, F.lit(6)).alias("at"), one.alias("bit"))
+        .groupBy("at")
+        .agg(F.bit_or("bit").alias("word"))
+        .toArrow()
+    )
+    found = np.zeros(bits // 64, np.uint64)
+    found[words.column("at").to_numpy()] = words.column("word").to_numpy().view(np.uint64)
+    return found
+
+
+def passes(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys & np.uint64(64 * len(words) - 1)
+    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+
+
+_FOUND = "doc_id long, tie int, first int, many int, anchor long, digest long, spot long"
+
+
+def _cut(batches, window: int) -> Iterator[tuple]:
+    """Documents of a chunk, their words, and their segments with the place of each."""
+    digests = _Digests()
+    for batch in chunks(batches, "text"):
+        lists = [t.split() for t in column_bytes(batch, "text")]
+        owner, *found = segments(lists, digests, window)
+        doc = batch.column("doc_id")
+        ids, ties = doc.fill_null(-1).to_numpy(), batch.column("tie").to_numpy()
+        spot = place_keys(ids[owner], ties[owner], found[0])
+        yield doc, pa.array(ties), lists, owner, *found, spot
+
+
+def _anchors(docs: DataFrame, window: int) -> DataFrame:
+    """The anchor of every segment."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = _Digests()
-        for batch in chunks(batches, "text"):
-            lists = [t.split() for t in column_bytes(batch, "text")]
-            owner, first, many, anchor = segments(lists, digests, window)
+        for _, _, _, _, _, _, anchor, *_ in _cut(batches, window):
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64))], names=["key"])
+
+    return docs.mapInArrow(run, "key long")
+
+
+def _segments(docs: DataFrame, window: int, again: np.ndarray) -> DataFrame:
+    """Segments whose anchor passes the sieve, without their words."""
+    shared = ship(docs.sparkSession).sparkContext.broadcast(again)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, tie, _, owner, first, many, anchor, digest, spot in _cut(batches, window):
+            keep = np.flatnonzero(passes(shared.value, anchor))
+            at = pa.array(owner[keep])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(owner)),
-                    batch.column("tie").take(pa.array(owner)),
-                    pa.array(first.astype(np.int32)),
-                    pa.array(many.astype(np.int32)),
-                    pa.array(anchor.view(np.int64)),
+                    doc.take(at),
+                    tie.take(at),
+                    pa.array(first[keep].astype(np.int32)),
+                    pa.array(many[keep].astype(np.int32)),
+                    pa.array(anchor[keep].view(np.int64)),
+                    pa.array(digest[keep].view(np.int64)),
+                    pa.array(spot[keep]),
                 ],
-                names=["doc_id", "tie", "first", "many", "anchor"],
+                names=["doc_id", "tie", "first", "many", "anchor", "digest", "spot"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, tie int, first int, many int, anchor long")
-
-
-def _with_lists(docs: DataFrame, lists: DataFrame, name: str, how: str) -> DataFrame:
-    """Documents, ``tie`` among their columns, with the list that belongs to them."""
-    right = lists.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), name)
-    same = F.expr("doc_id <=> __id AND tie = __tie")
-    return docs.join(right, same, how).select(*docs.columns, name)
+    return docs.mapInArrow(run, _FOUND)
 
 
-def _contents(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
-    """Segments with their words, joined by one space."""
-    lists = found.groupBy("doc_id", "tie").agg(
-        F.collect_set(F.struct("first", "many", "anchor")).alias("at")
-    )
+def _contents(docs: DataFrame, window: int, wanted: np.ndarray) -> DataFrame:
+    """Segments whose place passes the sieve, with their words joined by one space."""
+    shared = ship(docs.sparkSession).sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", most_rows=256):
-            rows: list[tuple] = []
-            columns = [batch.column(n).to_pylist() for n in ("doc_id", "tie", "at")]
-            for doc, tie, at, text in zip(*columns, column_bytes(batch, "text")):
-                words = text.split()
-                for x in at:
-                    cut = words[x["first"] : x["first"] + x["many"] + window - 1]
-                    rows.append((doc, tie, x["first"], x["many"], x["anchor"], b" ".join(cut)))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        for doc, tie, lists, owner, first, many, _, _, spot in _cut(batches, window):
+            keep = np.flatnonzero(passes(shared.value, spot.view(np.uint64)))
+            at = pa.array(owner[keep])
+            words = [
+                b" ".join(lists[k][a : a + n + window - 1])
+                for k, a, n in zip(owner[keep], first[keep], many[keep])
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                names=["doc_id", "tie", "first", "many", "anchor", "words"],
+                [doc.take(at), tie.take(at), pa.array(first[keep].astype(np.int32)), pa.array(words, pa.binary())],
+                names=["doc_id", "tie", "first", "words"],
             )
 
-    return _with_lists(docs, lists, "at", "inner").mapInArrow(
-        run, "doc_id long, tie int, first int, many int, anchor long, words binary"
-    )
+    return docs.mapInArrow(run, "doc_id long, tie int, first int, words binary")
 
 
 class WaveletMatrix:
@@ -251,7 +321,9 @@ def repeated_windows(contents: list[bytes], window: int) -> list[np.ndarray]:
     return [found[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-_SPAN = "doc_id long, tie int, start int, end int"
+_DOC = "doc_id long, tie int"
+_SPAN = f"{_DOC}, start int, end int"
+_SPANS = "array<struct<start: int, end: int, kind: int>>"
 
 
 def _search(distinct: DataFrame, window: int) -> DataFrame:
@@ -292,56 +364,91 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tie", "first")
 
 
-def _later(rows: DataFrame, firsts: DataFrame, width: Column) -> DataFrame:
-    """Spans of the rows that are not among the first places."""
-    at = firsts.select(
-        F.col("place.doc_id").alias("__id"),
-        F.col("place.tie").alias("__tie"),
-        F.col("place.first").alias("__first"),
-    )
-    same = F.expr("doc_id <=> __id AND tie = __tie AND first = __first")
-    return rows.join(at, same, "left_anti").select(
-        "doc_id", "tie", F.col("first").alias("start"), (F.col("first") + width).alias("end")
-    )
+# What a span says: all of it is repeated, it is the first place of its words
+# after all, or it is repeated for sure.
+_LATER, _FIRST, _SURE = range(3)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(doc_id, tie, start, end)``: spans of words under windows that also start earlier.
-
-    Equal segments are merged before anything is searched, with the first place
-    of each; all their other places are repeated as a whole. An anchor with more
-    than ``ANCHOR_SEGMENTS`` different segments would fill a shard: its windows
-    are dealt out singly, by their words, and merged in the same way.
+    """``(doc_id, tie, spans)``: words under windows that also start earlier.
+
+    Three passes over the texts, none of which shuffles them: anchors are
+    counted; segments with an anchor that occurs again are noted by digest; and
+    the words of those are read that have to be searched. Equal segments are
+    merged by anchor and digest with the first place of each, all their other
+    places are repeated as a whole. Of an anchor with one segment nothing is left
+    to search. The segments of the others go to the shards; an anchor with more
+    than ``ANCHOR_SEGMENTS`` would fill one, so its windows are dealt out singly
+    and merged by their words.
     """
     named = _named(docs)
-    rows = _segments(named, window)
-    again = rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    found = rows.join(stored(again, "anchors"), "anchor")
-    whole = stored(_contents(named, found, window), "segments")
-    distinct = (
-        whole.groupBy("anchor", F.md5("words").alias("key"))
-        .agg(F.min(_place()).alias("place"), F.first("words").alias("words"), F.first("many").alias("many"))
-        .drop("key")
+    again = _anchors(named, window).groupBy("key").agg(F.count("*").alias("n"))
+    again = sieve(stored(again.where("n > 1").select("key"), "anchors"))
+    if again is None:
+        return docs.sparkSession.createDataFrame([], f"{_DOC}, spans {_SPANS}")
+    found = stored(_segments(named, window, again), "segments")
+    place = F.struct(_place().alias("at"), "spot", "many")
+    firsts = stored(
+        found.groupBy("anchor", "digest").agg(F.min(place).alias("p")).select(
+            "anchor", "p.at.doc_id", "p.at.tie", "p.at.first", "p.spot", "p.many"
+        ),
+        "segments-first",
     )
-    distinct = stored(distinct, "segments-once")
-    crowded = distinct.groupBy("anchor").agg(F.count("*").alias("n"))
-    crowded = stored(crowded.where(F.col("n") > ANCHOR_SEGMENTS).select("anchor"), "anchors-crowded")
+    several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    wanted = stored(firsts.join(several, "anchor"), "segments-wanted")
     spans = [
-        _later(whole, distinct, F.col("many") + window - 1),
-        _search(distinct.join(crowded, "anchor", "left_anti"), window),
+        _span(found, F.col("many") + window - 1, _LATER),
+        _span(firsts, F.col("many") + window - 1, _FIRST),
     ]
-    single = distinct.join(crowded, "anchor").select(
+    spots = sieve(wanted.select(F.col("spot").alias("key")))
+    if spots is not None:
+        right = wanted.drop("spot").withColumnsRenamed(
+            {"doc_id": "__id", "tie": "__tie", "first": "__first"}
+        )
+        same = F.expr("doc_id <=> __id AND tie = __tie AND first = __first")
+        read = _contents(named, window, spots).join(right, same).select(
+            _place().alias("place"), "anchor", "n", "many", "words"
+        )
+        # Rows that are the same document bring a segment each.
+        read = read.groupBy("place").agg(
+            *[F.first(c).alias(c) for c in ("anchor", "n", "many", "words")]
+        )
+        read = stored(read, "segments-read")
+        crowded = F.col("n") > ANCHOR_SEGMENTS
+        spans += _crowded(read.where(crowded), window)
+        spans.append(_search(read.where(~crowded), window).withColumn("kind", F.lit(_SURE)))
+    whole = spans[0]
+    for more in spans[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("doc_id", "tie").agg(
+        F.collect_list(F.struct("start", "end", "kind")).alias("spans")
+    )
+
+
+def _span(rows: DataFrame, width: Column, kind: int) -> DataFrame:
+    return rows.select(
+        "doc_id",
+        "tie",
+        F.col("first").alias("start"),
+        (F.col("first") + width).alias("end"),
+        F.lit(kind).alias("kind"),
+    )
+
+
+def _crowded(read: DataFrame, window: int) -> list[DataFrame]:
+    """Spans of single windows, merged by their words."""
+    single = read.select("place", F.posexplode(_windows(window)).alias("offset", "words")).select(
         "place.doc_id",
         "place.tie",
-        F.col("place.first").alias("begin"),
-        F.posexplode(_windows(window)).alias("offset", "words"),
+        (F.col("place.first") + F.col("offset")).alias("first"),
+        F.md5("words").alias("key"),
     )
-    single = single.select(
-        "doc_id", "tie", (F.col("begin") + F.col("offset")).alias("first"), F.md5("words").alias("key")
+    firsts = single.groupBy("key").agg(F.min(_place()).alias("p"))
+    at = firsts.select(
+        F.col("p.doc_id").alias("__id"), F.col("p.tie").alias("__tie"), F.col("p.first").alias("__first")
     )
-    firsts = single.groupBy("key").agg(F.min(_place()).alias("place"))
-    spans.append(_later(single, firsts, F.lit(window)))
-    return spans[0].unionByName(spans[1]).unionByName(spans[2])
+    same = F.expr("doc_id <=> __id AND tie = __tie AND first = __first")
+    return [_span(single.join(at, same, "left_anti"), F.lit(window), _SURE)]
 
 
 def _windows(window: int) -> Column:
@@ -364,40 +471,34 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     has no words. Adds ``n_words`` (before) and ``n_removed``; other columns are
     kept, ones of these names replaced.
     """
-    spans = repeated_spans(docs, window)
-    lists = spans.groupBy("doc_id", "tie").agg(
-        F.collect_list(F.struct("start", "end")).alias("__spans")
-    )
+    lists = repeated_spans(docs, window)
     new = ("n_words", "n_removed")
     kept = [f for f in docs.schema.fields if f.name not in new]
     names = [f.name for f in kept]
-    tagged = docs.select(*names, F.hash("text").alias("__own_tie"))
+    tagged = _packed(docs.select(*names, F.hash("text").alias("__own_tie")))
     right = lists.select(
-        F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "__spans"
+        F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans")
     )
     same = tagged["doc_id"].eqNullSafe(right["__id"]) & (tagged["__own_tie"] == right["__tie"])
     joined = tagged.join(right, same, "left").select(*names, "__spans")
     schema = StructType([*kept, *[StructField(n, LongType(), False) for n in new]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            texts, totals, gone = batch.column("text").to_pylist(), [], []
-            for i, (text, spans) in enumerate(
-                zip(column_bytes(batch, "text"), batch.column("__spans").to_pylist())
-            ):
-                words = text.split()
-                cover = np.zeros(len(words) + 1, np.int64)
-                for span in spans or ():
-                    cover[span["start"]] += 1
-                    cover[span["end"]] -= 1
-                out = np.cumsum(cover[:-1]) > 0
+        unpack = zstandard.ZstdDecompressor()
+        for batch in chunks(batches, "text", 2 << 20):
+            texts, totals, gone = [], [], []
+            for raw, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
+                text = None if raw is None else unpack.decompress(raw)
+                words = (text or b"").split()
+                out = _covered(len(words), spans or ())
                 totals.append(len(words))
                 gone.append(int(out.sum()))
                 if gone[-1]:
-                    left = [words[k] for k in np.flatnonzero(~out)]
-                    texts[i] = b" ".join(left).decode()
+                    text = b" ".join([words[k] for k in np.flatnonzero(~out)])
+                texts.append(text)
             columns = [
-                pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names
+                pa.array(texts, pa.binary()).cast(pa.string()) if n == "text" else batch.column(n)
+                for n in names
             ]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(totals, pa.int64()), pa.array(gone, pa.int64())],
@@ -407,6 +508,32 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+def _covered(n: int, spans) -> np.ndarray:
+    """Which of n words lie in a span, once those of first places are taken out."""
+    first = {s["start"] for s in spans if s["kind"] == _FIRST}
+    cover = np.zeros(n + 1, np.int64)
+    for s in spans:
+        if s["kind"] == _SURE or s["kind"] == _LATER and s["start"] not in first:
+            cover[s["start"]] += 1
+            cover[s["end"]] -= 1
+    return np.cumsum(cover[:-1]) > 0
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """Texts compressed, as they are shuffled once to meet their spans."""
+    fields = [StructField("text", BinaryType()) if f.name == "text" else f for f in docs.schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in chunks(batches, "text"):
+            raw = batch.column("text").cast(pa.binary()).to_pylist()
+            packed = pa.array([None if t is None else pack.compress(t) for t in raw], pa.binary())
+            columns = [packed if n == "text" else batch.column(n) for n in batch.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return docs.mapInArrow(run, StructType(fields))
+
+
 def plain_words(text: str = "text") -> Column:
     """The words of a text joined by one space."""
     return F.array_join(F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), WORD_BREAK_PATTERN), ""), " ")
