@@ -33,13 +33,14 @@ from telltale.llm.tasks import chunks, ship
 # The pattern that cuts text before merging, as the vocabulary was made with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 800_000
 PAIR_ENTRIES = 300_000
 # Units that the library encodes as one text.
 LOT = 2000
 
-# White space other than lone spaces and lone line ends.
-_LOOSE_SPACE = re.compile(r"\s\s|[^\S \n]")
+# White space other than lone spaces and lone line ends: strings that tell it apart.
+_LOOSE = ("  ", " \n", "\n ", "\n\n", *"\t\v\f\r\x1c\x1d\x1e\x1f")
+_LOOSE_WIDE = tuple(c for c in map(chr, range(0x80, 0x3001)) if c.isspace())
 _MARKS = ",.;:!?"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -150,7 +151,7 @@ class Encoder:
             for piece in self._pieces(part):
                 found = self._piece_ids.get(piece)
                 if found is None:
-                    if len(self._piece_ids) >= CACHE_ENTRIES // 2:
+                    if len(self._piece_ids) >= CACHE_ENTRIES // 4:
                         self._piece_ids.clear()
                     found = self._piece_ids[piece] = self.encode_piece(piece.encode())
                 out += found
@@ -277,7 +278,12 @@ class Units:
         return [p for p in self._added.split(text) if p] if self._added else [text]
 
     def is_plain(self, text: str) -> bool:
-        return not self._whole and not _LOOSE_SPACE.search(text)
+        return not (
+            self._whole
+            or any(map(text.__contains__, _LOOSE))
+            or not text.isascii()
+            and any(map(text.__contains__, _LOOSE_WIDE))
+        )
 
     def cut(self, text: str, plain: bool) -> list[str]:
         if plain:
