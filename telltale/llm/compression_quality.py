@@ -96,22 +96,43 @@ def isotonic(at: np.ndarray, value: np.ndarray) -> tuple[list[float], list[float
     return [float(p) for p, _ in points], [float(v) for _, v in points]
 
 
-def fit(labelled: DataFrame) -> QualityModel:
-    """Fit on ``labelled(doc_id, text, label)``, of which a bounded sample is taken.
-
-    The sample is the ``SAMPLE_DOCS`` documents of either label (0 or 1; other
-    values and NULLs are left out) with the smallest digest of their id, so it
-    is the same in every run. Every other document trains the dictionaries, the
-    rest the curve. Without documents of both labels every text scores 0.5.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "label") -> QualityModel:
+    """Fit on a bounded sample of ``docs(doc_id, text)`` with a label in ``labels``.
+
+    The sample is the ``SAMPLE_DOCS`` ids of either label (0 or 1; other values
+    and NULLs are left out) with the smallest digest, so it is the same in every
+    run; of rows that share an id one text counts. Only these ids meet the
+    documents, which are not shuffled. Every other document trains the
+    dictionaries, the rest the curve. Without documents of both labels every
+    text scores 0.5.
     """
-    head = F.expr(f"substring(cast(coalesce(text, '') AS binary), 1, {SAMPLE_BYTES})")
-    rows = labelled.select(
-        F.xxhash64(F.col("doc_id")).alias("turn"), "label", "doc_id", head.alias("head")
+    known = labels.where("doc_id IS NOT NULL").select(
+        F.xxhash64("doc_id").alias("turn"), "doc_id", F.col(label).cast("int").alias("side")
     )
-    sides: dict[int, list[bytes]] = {}
-    for label in (0, 1):
-        taken = rows.where(F.col("label") == label).orderBy("turn", "doc_id", "head")
-        sides[label] = [bytes(r["head"]) for r in taken.limit(SAMPLE_DOCS).collect()]
+    ids = [
+        (r["doc_id"], side)
+        for side in (0, 1)
+        for r in known.where(F.col("side") == side)
+        .distinct()
+        .orderBy("turn", "doc_id")
+        .limit(SAMPLE_DOCS)
+        .collect()
+    ]
+    sides: dict[int, list[bytes]] = {0: [], 1: []}
+    if ids:
+        # Twice SAMPLE_DOCS numbers at most.
+        chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, side int")
+        head = F.expr(f"substring(cast(coalesce(text, '') AS binary), 1, {SAMPLE_BYTES})")
+        rows = (
+            docs.select("doc_id", head.alias("head"))
+            .join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "side")
+            .agg(F.min("head").alias("head"))
+        )
+        place = {key: k for k, key in enumerate(ids)}
+        found = sorted(rows.collect(), key=lambda r: place[r["doc_id"], r["side"]])
+        for r in found:
+            sides[r["side"]].append(bytes(r["head"]))
     if any(len(texts) < 2 for texts in sides.values()):
         return QualityModel(b"good    ", b"bad     ", 0.0, [0.0], [0.5])
     good, bad = (_dictionary(sides[label][::2]) for label in (1, 0))
@@ -156,9 +177,3 @@ def held_out(doc_id: str | Column = "doc_id", parts: int = 5, part: int = 0) ->
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     digest = F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
     return digest % parts == part
-
-
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """Documents with a label to learn from; the held-out ones are never among them."""
-    known = labels.where(~held_out()).select("doc_id", F.col(label).alias("label"))
-    return docs.select("doc_id", "text").join(known, "doc_id")

@@ -122,8 +122,9 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_model(docs: DataFrame, sf_dir: str) -> compression_quality.QualityModel:
-    labels = table(docs.sparkSession, sf_dir, "labels")
-    return compression_quality.fit(compression_quality.labelled_texts(docs, labels))
+    """Labels of held-out documents are not learnt."""
+    labels = table(docs.sparkSession, sf_dir, "labels").where(~compression_quality.held_out())
+    return compression_quality.fit(docs, labels, "quality")
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,16 @@ def labelled_rows():
     return [*good, *bad]
 
 
+def fitted(spark, rows):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n) for i, _, n in rows], "doc_id long, label int")
+    return quality.fit(docs, labels)
+
+
 @pytest.fixture
 def model(spark):
-    rows = [*labelled_rows(), (900, None, 1), (901, "x", None), (902, "y", 5), (None, "z", 0)]
-    return quality.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    odd = [(900, None, 1), (901, "x", None), (902, "y", 5), (None, "z", 0), (3, "again", 1)]
+    return fitted(spark, [*labelled_rows(), *odd])
 
 
 def test_scores(make_docs, odd_rows, model):
@@ -39,21 +45,20 @@ def test_scores(make_docs, odd_rows, model):
 
 
 def test_without_labels(spark, make_docs):
-    none = spark.createDataFrame([], "doc_id long, text string, label int")
-    found = quality.score_texts(make_docs([(1, "a"), (2, None)]), quality.fit(none)).collect()
+    found = quality.score_texts(make_docs([(1, "a"), (2, None)]), fitted(spark, [])).collect()
     assert [r["score"] for r in found] == [0.5, 0.5]
 
 
-def test_sample_does_not_depend_on_partitions(spark):
-    rows = spark.createDataFrame(labelled_rows(), "doc_id long, text string, label int")
-    assert quality.fit(rows.repartition(7)) == quality.fit(rows.coalesce(1))
+def test_sample_does_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 40)
+    rows = labelled_rows()
+    assert fitted(spark, rows) == fitted(spark, rows[::-1])
 
 
-def test_held_out_labels_are_not_learnt(spark, make_docs):
-    labels = spark.createDataFrame([(k, 1) for k in range(50)], "doc_id long, quality int")
-    docs = make_docs([(k, "t") for k in range(50)])
-    learnt = {r["doc_id"] for r in quality.labelled_texts(docs, labels).collect()}
-    assert learnt == {k for k in range(50) if zlib.crc32(str(k).encode()) % 5}
+def test_held_out(spark):
+    ids = spark.createDataFrame([(k,) for k in range(50)], "doc_id long")
+    out = {r["doc_id"] for r in ids.where(quality.held_out()).collect()}
+    assert out == {k for k in range(50) if zlib.crc32(str(k).encode()) % 5 == 0}
 
 
 def test_query(spark):
