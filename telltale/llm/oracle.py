@@ -90,6 +90,31 @@ def quality_rules() -> str:
     LEFT JOIN by_lang l ON f.lang = l.lang LEFT JOIN everywhere a ON true"""
 
 
+def substring_dedup(window: int = 20) -> str:
+    return rf"""
+    WITH docs AS (
+      SELECT doc_id,
+             [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words
+      FROM documents),
+    places AS (
+      SELECT doc_id, i, array_to_string(words[i:i + {window - 1}], ' ') AS run
+      FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - {window - 1})) AS i FROM docs)),
+    later AS (
+      SELECT doc_id, i
+      FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS r FROM places)
+      WHERE r > 1),
+    gone AS (
+      SELECT DISTINCT doc_id, i + k AS i
+      FROM later, (SELECT unnest(generate_series(0, {window - 1})) AS k)),
+    words AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs),
+    kept AS (
+      SELECT doc_id, count(g.i) AS n, string_agg(w, ' ' ORDER BY i) FILTER (g.i IS NULL) AS text
+      FROM words LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed,
+           sha256(coalesce(text, '')) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (doc_id)"""
+
+
 def _strength(counts: str, parent: str) -> str:
     return f"""
       SELECT round(1 / least(greatest(coalesce(
@@ -153,6 +178,7 @@ def statements() -> dict[str, str]:
     from telltale.llm.queries import URL_RULES
 
     return {
+        "op6_substring_dedup": substring_dedup(),
         "op7_quality_rules": quality_rules(),
         "op9_url_filters": url_filters(URL_RULES),
     }
