@@ -15,19 +15,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from telltale.llm.tasks import chunks, column_bytes, mounted, ship, stored
+from telltale.llm.tasks import chunks, mounted, ship, stored
+from telltale.llm.word_digests import Words
 
-# Words are known by so many bits; a word is no empty text and holds no space, so
-# these two digests stand for the beginning and the end.
+# Words are known by so many bits of their digest; two numbers stand for the
+# beginning and the end of a text.
 WORD_BITS = 48
 _WORD = (1 << WORD_BITS) - 1
-BEGIN = xxhash.xxh64_intdigest(b"") & _WORD
-END = xxhash.xxh64_intdigest(b" ") & _WORD
+BEGIN, END = 0x0B5E55ED, 0x00E17DED
 
 # Distinct pairs or words that a task sums before it sends them on.
 HELD = 3_000_000
@@ -38,23 +37,13 @@ _PART = "shard int, kind int, n long, raw binary"
 _SUMS = ("n1", "n2", "n3", "n4")
 
 
-class _Digests(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word) & _WORD
-        return found
-
-
-def tokens(texts: list[bytes], digests: dict) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Digests of all tokens, and how many each text has: its words, then one end."""
-    lists = [t.lower().split() for t in texts]
-    sizes = np.array([len(x) + 1 for x in lists], np.int64)
+    found = Words(texts, small=True)
+    sizes = np.bincount(found.owner, minlength=found.n_texts) + 1
     words = np.full(int(sizes.sum()), END, np.uint64)
-    inside = np.ones(len(words), bool)
-    inside[np.cumsum(sizes) - 1] = False
-    flat = (w for x in lists for w in x)
-    words[inside] = np.fromiter(map(digests.__getitem__, flat), np.uint64, int(inside.sum()))
+    # Every text before has added an end.
+    words[np.arange(len(found.owner)) + found.owner] = found.digests & np.uint64(_WORD)
     return words, sizes
 
 
@@ -142,11 +131,10 @@ _COUNTS, _BEFORE, _FOLLOW, _PAIRS = range(4)
 
 def _held_tokens(batches, shards_of) -> Iterator[pa.RecordBatch]:
     """Sum what ``shards_of`` makes of chunks of tokens until a task holds much."""
-    digests = _Digests()
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     for batch in chunks(batches, "text"):
-        held.append(tokens(column_bytes(batch, "text"), digests))
+        held.append(tokens(batch.column("text")))
         size += len(held[-1][0])
         if size >= HELD:
             yield _parts(shards_of(*map(np.concatenate, zip(*held))))
@@ -240,7 +228,8 @@ def train(docs: DataFrame, folder: str, shards: int | None = None) -> Model:
         "lm-words",
     )
     n_words, n_tokens, n_texts = _total(unigrams)[:3]
-    large = [_unpack(bytes(r["raw"]), r["n"], (np.uint64, np.int64)) for r in unigrams.where("kind = -2").collect()]
+    tops = unigrams.where("kind = -2").collect()
+    large = [_unpack(bytes(r["raw"]), r["n"], (np.uint64, np.int64)) for r in tops]
     limit = LARGE * n_tokens / shards
     keys = [k[c >= limit] for k, c in large]
     large_words = np.sort(np.concatenate([*keys, np.array([BEGIN], np.uint64)]))
@@ -263,7 +252,8 @@ def train(docs: DataFrame, folder: str, shards: int | None = None) -> Model:
         _write_pairs(local, shard, before, words, counts)
         rows = _word_parts(*np.unique(words, return_counts=True), shards, _BEFORE)
         start = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
-        kinds = [np.add.reduceat(sel.astype(np.int64), start) for sel in (counts == 1, counts == 2, counts > 2)]
+        classes = (counts == 1, counts == 2, counts > 2)
+        kinds = [np.add.reduceat(some.astype(np.int64), start) for some in classes]
         owner = before[start]
         for at, some in _dealt(word_shard(owner, shards)):
             rows.append((at, _FOLLOW, len(some), _pack(owner[some], *[k[some] for k in kinds])))
@@ -390,7 +380,6 @@ class Scorer:
 
     def __init__(self, model: Model):
         self._model, self._open = model, {}
-        self._digests = _Digests()
 
     def _array(self, name: str) -> np.ndarray | None:
         if name not in self._open:
@@ -428,10 +417,10 @@ class Scorer:
             found[rows] = count
         return found
 
-    def score(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         """Tokens, known tokens, and the log10 probabilities of base and model of every text."""
         m = self._model
-        flat, sizes = tokens(texts, self._digests)
+        flat, sizes = tokens(texts)
         words, word = np.unique(flat, return_inverse=True)
         before = contexts(flat, sizes)
         owners, owner = np.unique(before, return_inverse=True)
@@ -480,7 +469,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in chunks(batches, text):
-            found = scorer.score(column_bytes(batch, text))
+            found = scorer.score(batch.column(text))
             columns = [batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(
                 [*columns, *map(pa.array, found)], names=[*names, *new]

@@ -15,14 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-import xxhash
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from telltale.llm.tasks import WORD_BREAK_PATTERN, chunks, column_bytes, ship, stored
+from telltale.llm.tasks import WORD_BREAK_PATTERN, chunks, ship, stored
+from telltale.llm.word_digests import Words, run_digests
 
 WINDOW = 20
 ANCHOR = 5
@@ -32,19 +32,6 @@ ANCHOR_SEGMENTS = 2000
 # Bits of a sieve, at most.
 SIEVE_BITS = 1 << 27
 
-_ODD = 0x5851F42D4C957F2D
-_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
-
-
-class _Digests(dict):
-    """Digests of words, found once."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
 
 def _mixed(words: np.ndarray, size: int) -> np.ndarray:
     """A digest of every run of so many words; run i begins at word i."""
@@ -73,38 +60,25 @@ def _less(best: np.ndarray, at: np.ndarray, step: int) -> tuple[np.ndarray, np.n
     return np.where(later, best[right], best[left]), np.where(later, at[right], at[left])
 
 
-def segments(lists: list[list[bytes]], digests: dict, window: int) -> tuple[np.ndarray, ...]:
-    """``(list, first window, windows, anchor, digest)`` of every segment of lists of words.
+def segments(words: Words, window: int) -> tuple[np.ndarray, ...]:
+    """``(text, first word, windows, anchor, digest)`` of every segment of some texts.
 
-    ``digest`` is that of all words of a segment: a polynomial modulo 2^64, whose
-    value for any run of words follows from two running sums.
+    The first word is numbered through all texts; ``digest`` is that of all words
+    of a segment.
     """
-    sizes = np.array([len(x) for x in lists], np.int64)
-    ends = np.cumsum(sizes)
-    flat = (w for words in lists for w in words)
-    words = np.fromiter(map(digests.__getitem__, flat), np.uint64, int(ends[-1]) if len(ends) else 0)
     size = min(ANCHOR, window)
-    runs = _mixed(words, size)
-    at = _smallest(runs, window - size + 1) if len(words) >= window else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(lists)), sizes)
-    start = np.flatnonzero(owner[: len(at)] == owner[window - 1 : window - 1 + len(at)])
-    at, owner = at[start], owner[start]
+    runs = _mixed(words.digests, size)
+    n = max(0, len(words.digests) - window + 1)
+    at = _smallest(runs, window - size + 1) if n else np.zeros(0, np.int64)
+    start = np.flatnonzero(words.owner[:n] == words.owner[window - 1 : window - 1 + n])
+    at, owner = at[start], words.owner[start]
     new = np.ones(len(start), bool)
     new[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
     many = np.diff(np.r_[first, len(start)])
-    begin = (ends - sizes)[owner[first]]
-    powers = np.full(len(words) + 1, _ODD, np.uint64)
-    powers[:1] = 1
-    powers = np.multiply.accumulate(powers)
-    inverse = np.full(len(words) + 1, _ODD_INVERSE, np.uint64)
-    inverse[:1] = 1
-    inverse = np.multiply.accumulate(inverse)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers[:-1], dtype=np.uint64)])
-    low, high = start[first], start[first] + many + window - 1
-    digest = (sums[high] - sums[low]) * inverse[low] + many.astype(np.uint64)
-    digest = (digest ^ (digest >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    return owner[first], start[first] - begin, many, runs[at[first]], digest ^ (digest >> np.uint64(29))
+    begin = start[first]
+    digest = run_digests(words.digests, begin, begin + many + window - 1)
+    return owner[first], begin, many, runs[at[first]], digest
 
 
 def place_keys(doc_id: np.ndarray, tie: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -154,15 +128,17 @@ _FOUND = "doc_id long, tie int, first int, many int, anchor long, digest long, s
 
 
 def _cut(batches, window: int) -> Iterator[tuple]:
-    """Documents of a chunk, their words, and their segments with the place of each."""
-    digests = _Digests()
-    for batch in chunks(batches, "text"):
-        lists = [t.split() for t in column_bytes(batch, "text")]
-        owner, *found = segments(lists, digests, window)
-        doc = batch.column("doc_id")
-        ids, ties = doc.fill_null(-1).to_numpy(), batch.column("tie").to_numpy()
-        spot = place_keys(ids[owner], ties[owner], found[0])
-        yield doc, pa.array(ties), lists, owner, *found, spot
+    """Chunks of documents, their words, and their segments with the place of each."""
+    for batch in chunks(batches, "text", 2 << 20):
+        words = Words(batch.column("text"))
+        owner, begin, many, anchor, digest = segments(words, window)
+        # Words of the texts before, to number the words of each text from 0.
+        before = np.searchsorted(words.owner, np.arange(words.n_texts))
+        first = (begin - before[owner]).astype(np.int32)
+        ids = batch.column("doc_id").fill_null(-1).to_numpy()
+        ties = batch.column("tie").to_numpy()
+        spot = place_keys(ids[owner], ties[owner], first)
+        yield batch, words, owner, begin, first, many.astype(np.int32), anchor, digest, spot
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -170,7 +146,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, _, _, _, anchor, *_ in _cut(batches, window):
+        for *_, anchor, _, _ in _cut(batches, window):
             yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64))], names=["key"])
 
     return docs.mapInArrow(run, "key long")
@@ -181,15 +157,15 @@ def _segments(docs: DataFrame, window: int, again: np.ndarray) -> DataFrame:
     shared = ship(docs.sparkSession).sparkContext.broadcast(again)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, tie, _, owner, first, many, anchor, digest, spot in _cut(batches, window):
+        for batch, _, owner, _, first, many, anchor, digest, spot in _cut(batches, window):
             keep = np.flatnonzero(passes(shared.value, anchor))
             at = pa.array(owner[keep])
             yield pa.RecordBatch.from_arrays(
                 [
-                    doc.take(at),
-                    tie.take(at),
-                    pa.array(first[keep].astype(np.int32)),
-                    pa.array(many[keep].astype(np.int32)),
+                    batch.column("doc_id").take(at),
+                    batch.column("tie").take(at),
+                    pa.array(first[keep]),
+                    pa.array(many[keep]),
                     pa.array(anchor[keep].view(np.int64)),
                     pa.array(digest[keep].view(np.int64)),
                     pa.array(spot[keep]),
@@ -205,15 +181,18 @@ def _contents(docs: DataFrame, window: int, wanted: np.ndarray) -> DataFrame:
     shared = ship(docs.sparkSession).sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, tie, lists, owner, first, many, _, _, spot in _cut(batches, window):
+        for batch, words, owner, begin, first, many, _, _, spot in _cut(batches, window):
             keep = np.flatnonzero(passes(shared.value, spot.view(np.uint64)))
             at = pa.array(owner[keep])
-            words = [
-                b" ".join(lists[k][a : a + n + window - 1])
-                for k, a, n in zip(owner[keep], first[keep], many[keep])
-            ]
+            ends = (begin + many + window - 1)[keep].tolist()
+            texts = list(map(words.joined, begin[keep].tolist(), ends))
             yield pa.RecordBatch.from_arrays(
-                [doc.take(at), tie.take(at), pa.array(first[keep].astype(np.int32)), pa.array(words, pa.binary())],
+                [
+                    batch.column("doc_id").take(at),
+                    batch.column("tie").take(at),
+                    pa.array(first[keep]),
+                    pa.array(texts, pa.binary()),
+                ],
                 names=["doc_id", "tie", "first", "words"],
             )
 
@@ -337,7 +316,7 @@ def _search(distinct: DataFrame, window: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         place = table.column("place").combine_chunks().flatten()
         nameless, doc, tie, first = place
-        order = pa.compute.sort_indices(
+        order = pc.sort_indices(
             pa.table({"n": nameless, "d": doc, "t": tie, "f": first}),
             sort_keys=[(c, "ascending") for c in "ndtf"],
         )
@@ -536,4 +515,5 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 def plain_words(text: str = "text") -> Column:
     """The words of a text joined by one space."""
-    return F.array_join(F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), WORD_BREAK_PATTERN), ""), " ")
+    pieces = F.split(F.coalesce(F.col(text), F.lit("")), WORD_BREAK_PATTERN)
+    return F.array_join(F.array_remove(pieces, ""), " ")
