@@ -41,7 +41,7 @@ LOT = 2000
 # White space other than lone spaces and lone line ends: strings that tell it apart.
 _LOOSE = ("  ", " \n", "\n ", "\n\n", *"\t\v\f\r\x1c\x1d\x1e\x1f")
 _LOOSE_WIDE = tuple(c for c in map(chr, range(0x80, 0x3001)) if c.isspace())
-_MARKS = ",.;:!?"
+_MARKS = ",.;:!?#$%&*|"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -324,35 +324,48 @@ class LibraryUnits(Units):
         super().__init__(lambda unit: id_bytes(self._ids(unit)), added)
         ends = self._ids("\n")
         self._end = ends[0] if len(ends) == 1 else None
-        self._marks = {m: id_bytes(self._ids(m)) for m in _MARKS}
+        self._marks = _Known(lambda marks: id_bytes(self._ids(marks[1:])))
 
     def _ids(self, text: str) -> list[int]:
         return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of texts, four little-endian bytes each."""
-        plain = [self.is_plain(t) for t in texts]
+        plain = [self.is_plain(t) and self._end is not None for t in texts]
         cut = list(map(self.cut, texts, plain))
-        if len(self._known) > CACHE_ENTRIES:
-            self._known.clear()
-        if self._end is not None:
-            seen = set(chain.from_iterable(u[1:] for u, p in zip(cut, plain) if p))
-            self._learn([u for u in seen if u and u != "\n" and u not in self._known])
-        return [self._encode(u[0]) + b"".join(map(self._known.__getitem__, u[1:])) for u in cut]
+        known = self._known
+        if len(known) > CACHE_ENTRIES:
+            known.clear()
+        for units, p in zip(cut, plain):
+            if p:
+                # The first one as if it were led by a line end, which is cut off.
+                units[0] = "\n" + units[0]
+        seen = set(chain.from_iterable(u for u, p in zip(cut, plain) if p))
+        self._learn([u for u in seen if u and u != "\n" and u not in known])
+        return [
+            b"".join(map(known.__getitem__, u))[4:]
+            if p
+            else self._encode(u[0]) + b"".join(map(known.__getitem__, u[1:]))
+            for u, p in zip(cut, plain)
+        ]
 
     def _learn(self, units: list[str]) -> None:
         """Units without white space but for a line end in front.
 
-        A mark behind a letter is a piece of its own, so the rest is encoded once.
+        Marks behind a letter or number are a piece of their own, so the rest is
+        encoded once whatever follows it.
         """
-        marked = [u for u in units if u[-1] in self._marks and u[-2:-1].isalpha()]
-        apart = set(marked)
-        stems = {u[:-1] for u in marked}
-        wanted = [u for u in {*stems, *(u for u in units if u not in apart)} if u not in self._known]
+        marked = {}
+        for u in units:
+            stem = u.rstrip(_MARKS)
+            if stem and len(stem) < len(u) and stem[-1].isalnum():
+                marked[u] = stem
+        wanted = {*marked.values(), *(u for u in units if u not in marked)}
+        wanted = [u for u in wanted if u not in self._known]
         for led in (True, False):
             self._lines([u for u in wanted if (u[0] == "\n") == led], led)
-        for u in marked:
-            self._known[u] = self._known[u[:-1]] + self._marks[u[-1]]
+        for u, stem in marked.items():
+            self._known[u] = self._known[stem] + self._marks[u[len(stem) :]]
 
     def _lines(self, units: list[str], led: bool) -> None:
         """Encode units in lots. A unit led by a line end has it in the line before."""
