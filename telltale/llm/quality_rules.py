@@ -58,9 +58,12 @@ def text_facts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.slice("__words", F.lit(3), n).alias("c"),
     )
     triples = F.slice(triple, F.lit(1), F.greatest(n - 2, F.lit(0)))
-    windows = F.transform(
-        triples, lambda x, i: F.struct(F.xxhash64(x.getField("a"), x.getField("b"), x.getField("c")).alias("h"), i.alias("i"))
-    )
+
+    def placed(x: Column, i: Column) -> Column:
+        digest = F.xxhash64(x.getField("a"), x.getField("b"), x.getField("c"))
+        return F.struct(digest.alias("h"), i.alias("i"))
+
+    windows = F.transform(triples, placed)
     return _covered(
         step.select(
             *kept,

@@ -214,9 +214,14 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
     sized = replicas.join(blocks, at, "left")
     own = F.pmod(F.xxhash64("simhash"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    meet = F.when(F.col("blocks").isNull(), F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), "home")))
-    as_other = F.transform(every, lambda i: F.struct(i.alias("x"), own.alias("y"), F.lit(False).alias("home")))
-    as_home = F.transform(every, lambda i: F.struct(own.alias("x"), i.alias("y"), F.lit(True).alias("home")))
+
+    def at_blocks(x: Column, y: Column, home: Column) -> Column:
+        return F.struct(x.alias("x"), y.alias("y"), home.alias("home"))
+
+    whole = F.array(at_blocks(F.lit(0), F.lit(0), F.col("home")))
+    meet = F.when(F.col("blocks").isNull(), whole)
+    as_other = F.transform(every, lambda i: at_blocks(i, own, F.lit(False)))
+    as_home = F.transform(every, lambda i: at_blocks(own, i, F.lit(True)))
     both = F.concat(as_other, F.when(F.col("home"), as_home).otherwise(F.slice(as_home, 1, 0)))
     dealt = sized.select(*at, "simhash", F.inline(F.coalesce(meet, both)))
     keys = [*at, "x", "y"]

@@ -89,7 +89,8 @@ def _strength(counts: DataFrame, parent: list[str]) -> DataFrame:
         F.sum(size * chance).alias("room"),
     )
     share = F.col("extra") / F.col("room")
-    kept = F.least(F.greatest(F.coalesce(F.when(F.col("room") > 0, share), F.lit(0.0)), F.lit(0.001)), F.lit(0.5))
+    known = F.coalesce(F.when(F.col("room") > 0, share), F.lit(0.0))
+    kept = F.least(F.greatest(known, F.lit(0.001)), F.lit(0.5))
     return sums.select(F.round(1 / kept - 1, 6).alias("weight"))
 
 
@@ -102,15 +103,18 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     suffix towards the whole. ``upper`` is the upper end of the posterior, ``Z``
     standard deviations above its mean.
     """
-    seen = outcomes.where(F.col("good").isin(0, 1)).select("page_id", F.col("good").cast("long").alias("good"))
+    seen = outcomes.where(F.col("good").isin(0, 1)).select(
+        "page_id", F.col("good").cast("long").alias("good")
+    )
     # Hosts are summed in the tasks, so a host with a third of the pages is one row each.
     hosts = (
         pages.join(seen, "page_id")
         .groupBy("suffix", "domain", "host")
         .agg(F.count("*").alias("n"), F.sum("good").alias("good"))
     )
-    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
+    domains = hosts.groupBy("suffix", "domain").agg(*sums)
+    suffixes = domains.groupBy("suffix").agg(*sums)
     whole = suffixes.agg(F.sum("n").alias("all_n"), F.sum("good").alias("all_good"))
     # Each of these is one row.
     weights = (
