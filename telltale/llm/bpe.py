@@ -16,7 +16,6 @@ import os
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
 from unicodedata import category
 
 import ahocorasick
@@ -29,12 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from telltale.llm.tasks import chunks, ship
+from telltale.llm.word_digests import column_bytes, cut_digests
 
 # The pattern that cuts text before merging, as the vocabulary was made with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 CACHE_ENTRIES = 800_000
 PAIR_ENTRIES = 300_000
+# Units whose ids from the library a worker remembers, about 200 bytes each.
+LIBRARY_ENTRIES = 1_600_000
 # Units that the library encodes as one text.
 LOT = 2000
 
@@ -309,8 +311,8 @@ def tokenizer_spec(path: str) -> str:
 class LibraryUnits(Units):
     """The same with units encoded by the ``tokenizers`` library.
 
-    New units of many texts are encoded as the lines of one text: a line end
-    between two units is always a piece of its own.
+    New units are encoded as the lines of one text: a line end between two units is
+    always a piece of its own.
     """
 
     def __init__(self, spec: str):
@@ -324,31 +326,61 @@ class LibraryUnits(Units):
         super().__init__(lambda unit: id_bytes(self._ids(unit)), added)
         ends = self._ids("\n")
         self._end = ends[0] if len(ends) == 1 else None
+        self._by_digest: dict[int, bytes] = {}
         self._marks = _Known(lambda marks: id_bytes(self._ids(marks[1:])))
 
     def _ids(self, text: str) -> list[int]:
         return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def many(self, texts: list[str]) -> list[bytes]:
-        """The ids of texts, four little-endian bytes each."""
-        plain = [self.is_plain(t) and self._end is not None for t in texts]
-        cut = list(map(self.cut, texts, plain))
-        known = self._known
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        for units, p in zip(cut, plain):
-            if p:
-                # The first one as if it were led by a line end, which is cut off.
-                units[0] = "\n" + units[0]
-        seen = set(chain.from_iterable(u for u, p in zip(cut, plain) if p))
-        self._learn([u for u in seen if u and u != "\n" and u not in known])
+    def many(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of the texts of a column; NULL as an empty text.
+
+        Units are told apart by digests, so each is looked up once for many texts.
+        """
+        texts = column.to_pylist()
+        plain = np.array([self.is_plain(t or "") for t in texts], bool)
+        if self._end is None:
+            plain[:] = False
+        found = iter(self._plain(column.filter(pa.array(plain))))
         return [
-            b"".join(map(known.__getitem__, u))[4:]
-            if p
-            else self._encode(u[0]) + b"".join(map(known.__getitem__, u[1:]))
-            for u, p in zip(cut, plain)
+            next(found) if p else np.frombuffer(self.encode(t), "<u4")
+            for t, p in zip(texts, plain.tolist())
         ]
 
+    def _plain(self, column: pa.Array) -> list[np.ndarray]:
+        data, edges = column_bytes(column)
+        begins = (data == 32) | (data == 10)
+        begins[edges[:-1][edges[:-1] < edges[1:]]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        keys, index, which = np.unique(
+            cut_digests(data, starts, ends), return_index=True, return_inverse=True
+        )
+        if len(self._by_digest) > LIBRARY_ENTRIES:
+            self._by_digest.clear()
+        ids = list(map(self._by_digest.get, keys.tolist()))
+        new = [k for k, raw in enumerate(ids) if raw is None]
+        at = index[new]
+        cuts = [data[a:b].tobytes().decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        for k, raw in zip(new, self._encoded(cuts)):
+            ids[k] = self._by_digest[int(keys[k])] = raw
+        # Every unit takes its ids from those of the distinct ones.
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.array([len(raw) // 4 for raw in ids], np.int64)
+        begin, many = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        shift = begin - (np.cumsum(many) - many)
+        whole = flat[np.repeat(shift, many) + np.arange(int(many.sum()))]
+        upto = np.append(0, np.cumsum(many))[np.searchsorted(starts, edges)]
+        return [whole[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
+
+    def _encoded(self, cuts: list[str]) -> list[bytes]:
+        """Ids of units with the space or line end before them, if there is one."""
+        units = [u[1:] if u[0] == " " else u if u[0] == "\n" else "\n" + u for u in cuts]
+        self._known.clear()
+        self._learn([u for u in dict.fromkeys(units) if u and u != "\n"])
+        # A unit at the beginning was encoded behind a line end, which is cut off.
+        return [self._known[k][0 if u[0] in " \n" else 4 :] for u, k in zip(cuts, units)]
+
     def _learn(self, units: list[str]) -> None:
         """Units without white space but for a line end in front.
 
@@ -459,9 +491,8 @@ def count_ids(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = per_worker(LibraryUnits, spec.value)
         for batch in chunks(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([len(ids) // 4 for ids in units.many(texts)], pa.int64())],
+                [pa.array([len(ids) for ids in units.many(batch.column("text"))], pa.int64())],
                 names=["n_tokens"],
             )
 

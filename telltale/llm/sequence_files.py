@@ -147,8 +147,7 @@ def write_sequences(
         end = np.array([end_id], "<u4")
         for batch in chunks(batches, "text"):
             writer = writer or SequenceWriter(half, length, kind)
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            found = [np.append(np.frombuffer(ids, "<u4"), end) for ids in units.many(texts)]
+            found = [np.append(ids, end) for ids in units.many(batch.column("text"))]
             writer.add(np.concatenate(found))
             ids += batch.column("doc_id").to_pylist()
             sizes += [len(f) for f in found]

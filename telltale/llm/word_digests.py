@@ -47,6 +47,31 @@ _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[list(map(ord, WORD_BREAKS))] = True
 
 
+def cut_digests(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, small: bool = False
+) -> np.ndarray:
+    """Digests of cuts of some bytes, in the order in which they begin."""
+    numbers, found, low = _SMALL if small else _BYTES, [np.zeros(0, np.uint64)], 0
+    while low < len(starts):
+        at = int(starts[low])
+        high = max(int(np.searchsorted(starts, at + BLOCK)), low + 1)
+        values = numbers[data[at : int(ends[high - 1])]]
+        found.append(run_digests(values, starts[low:high] - at, ends[low:high] - at))
+        low = high
+    return np.concatenate(found)
+
+
+def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts of a column, and where each begins; NULL as no bytes."""
+    if column.null_count:
+        column = column.fill_null("" if pa.types.is_string(column.type) else b"")
+    column = column.cast(pa.binary()).cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    whole = np.frombuffer(data or b"", np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 class Words:
     """Where the words of the texts of a column are, whose they are and their digests.
 
@@ -54,14 +79,7 @@ class Words:
     """
 
     def __init__(self, column: pa.Array, small: bool = False):
-        if column.null_count:
-            column = column.fill_null("" if pa.types.is_string(column.type) else b"")
-        column = column.cast(pa.binary()).cast(pa.large_binary())
-        _, offsets, data = column.buffers()
-        offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-        whole = np.frombuffer(data or b"", np.uint8)
-        self.bytes = whole[offsets[0] : offsets[-1]] if len(offsets) else whole[:0]
-        edges = offsets - offsets[0]
+        self.bytes, edges = column_bytes(column)
         inside = ~_IS_BREAK[self.bytes]
         new = np.ones(len(inside) + 1, bool)
         new[1:] = False
@@ -73,19 +91,7 @@ class Words:
         self.ends = np.flatnonzero(stops) + 1
         self.owner = np.searchsorted(edges, self.starts, "right") - 1
         self.n_texts = len(edges) - 1
-        self.digests = self._digests(_SMALL if small else _BYTES)
-
-    def _digests(self, numbers: np.ndarray) -> np.ndarray:
-        found, low = [np.zeros(0, np.uint64)], 0
-        while low < len(self.starts):
-            at = int(self.starts[low])
-            high = int(np.searchsorted(self.starts, at + BLOCK))
-            high = max(high, low + 1)
-            stop = int(self.ends[high - 1])
-            values = numbers[self.bytes[at:stop]]
-            found.append(run_digests(values, self.starts[low:high] - at, self.ends[low:high] - at))
-            low = high
-        return np.concatenate(found)
+        self.digests = cut_digests(self.bytes, self.starts, self.ends, small)
 
     def joined(self, first: int, last: int) -> bytes:
         """Some words in a row, joined by one space."""

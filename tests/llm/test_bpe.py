@@ -3,9 +3,11 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from conftest import prose
 from telltale.llm import bpe
 
 
@@ -62,9 +64,16 @@ def test_pieces_without_shortcuts(encoder, library):
 
 def test_library_units(spec, library):
     texts = list(odd_texts())
-    found = bpe.LibraryUnits(spec).many(texts)
-    for ids, expected in zip(found, library.encode_batch_fast(texts, add_special_tokens=False)):
-        assert np.frombuffer(ids, "<u4").tolist() == expected.ids
+    units = bpe.LibraryUnits(spec)
+    texts += [prose(k, 60) for k in range(20)] + ["\nA b!!\nC ", " x\ny"]
+    for _ in range(2):
+        found = units.many(pa.array(texts))
+        for ids, expected in zip(found, library.encode_batch_fast(texts, add_special_tokens=False)):
+            assert ids.tolist() == expected.ids
+    assert [x.tolist() for x in units.many(pa.array(["zz", None, "", "a b"]).slice(1))] == [
+        [], [], library.encode("a b").ids,
+    ]
+    assert units.many(pa.array([], pa.string())) == []
 
 
 def test_decoding(encoder, library):
