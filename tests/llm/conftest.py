@@ -1,12 +1,11 @@
 import os
 import sys
-import random
-
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import public_tokenizers  # noqa: E402
+from tests_support import prose  # noqa: E402
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -21,13 +20,6 @@ def tokenizer():
     return TOKENIZER
 
 
-def prose(seed: int, n: int) -> str:
-    """So many words that repeat now and then, in lines."""
-    draw = random.Random(seed)
-    words = ["".join(draw.choices("aeiourstln", k=draw.randint(1, 7))) for _ in range(120)]
-    return " ".join(draw.choice(words) + draw.choice(["", "", "", ",", ".\n"]) for _ in range(n))
-
-
 @pytest.fixture
 def make_docs(spark):
     """Documents from (doc_id, text) with columns whose names the operators use inside."""

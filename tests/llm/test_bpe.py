@@ -7,8 +7,8 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from conftest import prose
 from telltale.llm import bpe
+from tests_support import prose
 
 
 @pytest.fixture(scope="module")

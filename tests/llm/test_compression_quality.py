@@ -3,8 +3,8 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import prose
 from telltale.llm import compression_quality as quality
+from tests_support import prose
 
 
 def test_isotonic():

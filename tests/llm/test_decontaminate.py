@@ -3,8 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from conftest import prose
 from telltale.llm import decontaminate as dec
+from tests_support import prose
 
 
 def fewest_edits(pattern, text):

@@ -5,9 +5,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from conftest import prose
 from telltale.llm import kneser_ney
 from telltale.session import run_dir
+from tests_support import prose
 
 
 def tokens_of(text):

@@ -3,10 +3,9 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from conftest import prose
 from telltale.llm import decontaminate, simhash
 from test_substrings import slow_cut
-from tests_support import brute_components
+from tests_support import brute_components, prose
 
 
 def test_stages():

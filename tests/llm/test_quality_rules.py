@@ -1,7 +1,7 @@
 from collections import Counter
 
-from conftest import prose
 from telltale.llm import quality_rules as rules
+from tests_support import prose
 
 
 def slow_facts(text):

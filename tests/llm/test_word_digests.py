@@ -4,9 +4,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from conftest import prose
 from telltale.llm import word_digests
 from telltale.llm.word_digests import Words
+from tests_support import prose
 
 TEXTS = [
     "", " ", "a", " a b ", "b a", None, "a\x0bb\tc\r\nd\x0ce", "Ünï\xa0x 漢 \x1c y", "A a",

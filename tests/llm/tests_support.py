@@ -1,3 +1,7 @@
+"""Helpers of the tests."""
+
+import random
+
 import numpy as np
 
 
@@ -11,3 +15,10 @@ def brute_components(values, distance, ids=None):
         for r in set(root[close]):
             root[root == r] = root[i]
     return [min(ids[j] for j in np.flatnonzero(root == root[i])) for i in range(len(values))]
+
+
+def prose(seed: int, n: int) -> str:
+    """So many words that repeat now and then, in lines."""
+    draw = random.Random(seed)
+    words = ["".join(draw.choices("aeiourstln", k=draw.randint(1, 7))) for _ in range(120)]
+    return " ".join(draw.choice(words) + draw.choice(["", "", "", ",", ".\n"]) for _ in range(n))
