@@ -33,8 +33,9 @@ from telltale.llm.word_digests import column_bytes, cut_digests
 # The pattern that cuts text before merging, as the vocabulary was made with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHE_ENTRIES = 800_000
-PAIR_ENTRIES = 300_000
+# Units, pieces and pairs that an encoder remembers during a task.
+CACHE_ENTRIES = 300_000
+PAIR_ENTRIES = 250_000
 # Units whose ids from the library a worker remembers, about 200 bytes each.
 LIBRARY_ENTRIES = 1_600_000
 # Units that the library encodes as one text.
@@ -138,8 +139,16 @@ class Encoder:
             self._shorter[i] = next((p for p in prefixes if p is not None), None)
             self._automaton.add_word(token.decode("latin-1"), i)
         self._automaton.make_automaton()
-        self._fits.clear()
         self.units = Units(self._unit, list(vocabulary.added))
+        self.forget()
+
+    def forget(self) -> None:
+        """Give up what was remembered; a worker lives longer than a task."""
+        self.units.forget()
+        self._piece_ids.clear()
+        self._fits.clear()
+        for spine in self._spines:
+            spine.clear()
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.units.encode(text), "<u4").tolist()
@@ -276,6 +285,9 @@ class Units:
         self._added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self._whole = any(re.search(r"\s", a) for a in added)
 
+    def forget(self) -> None:
+        self._known.clear()
+
     def around_added(self, text: str) -> list[str]:
         return [p for p in self._added.split(text) if p] if self._added else [text]
 
@@ -452,6 +464,7 @@ def encode_texts(
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(ids, pa.binary())], names=[*names, into]
             )
+        encoder.forget()
 
     return docs.select(*docs.columns).mapInArrow(run, schema)
 
