@@ -19,14 +19,23 @@ from telltale.session import run_dir
 WORD_BREAKS = "\x20\t\n\x0b\x0c\r"
 WORD_BREAK_PATTERN = r"[\x20\x09-\x0D]+"
 
+# Rows hold whole texts, so a batch on its way to Python holds few of them.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1024, 8 << 20
+_BATCH = "spark.sql.execution.arrow.max{}PerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors, once per application.
 
-    Their Python need not have it on its path.
+    Their Python need not have it on its path. Also bounds the rows of Arrow
+    batches of the session, if they are not bounded as tightly already.
     """
+    for what, most in (("Records", ROWS_PER_BATCH), ("Bytes", BYTES_PER_BATCH)):
+        now = spark.conf.get(_BATCH.format(what)).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(_BATCH.format(what), f"{most}")
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = __name__.split(".")[0]

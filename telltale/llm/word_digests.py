@@ -8,7 +8,7 @@ import pyarrow as pa
 from telltale.llm.tasks import WORD_BREAKS
 
 # Bytes that are summed at once; a word is never cut.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 _BASE = 0x5851F42D4C957F2D
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
