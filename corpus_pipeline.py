@@ -47,9 +47,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and whether decoding gives the text back."""
-    encoded = bpe.encode_texts(docs.select("doc_id", "text"), TOKENIZER)
-    decoded = bpe.decode_ids(encoded, TOKENIZER)
-    return decoded.select(
+    texts = docs.select("doc_id", "text")
+    return bpe.encode_texts(texts, TOKENIZER, decoded="decoded").select(
         "doc_id",
         "ids",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

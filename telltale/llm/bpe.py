@@ -34,8 +34,8 @@ from telltale.llm.word_digests import column_bytes, cut_digests
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 # Units, pieces and pairs that an encoder remembers during a task.
-CACHE_ENTRIES = 300_000
-PAIR_ENTRIES = 250_000
+CACHE_ENTRIES = 200_000
+PAIR_ENTRIES = 150_000
 # Units whose ids from the library a worker remembers, about 200 bytes each.
 LIBRARY_ENTRIES = 1_600_000
 # Units that the library encodes as one text.
@@ -108,6 +108,10 @@ class Vocabulary:
         np.cumsum([len(t) for t in self.tokens], out=self.offsets[1:])
         self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
 
+    def text(self, ids: np.ndarray) -> str:
+        """The text of a sequence of ids; what is no UTF-8 becomes replacement characters."""
+        return self.decode(ids).decode("utf-8", "replace")
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of a sequence of ids, gathered from the offset table."""
         starts, ends = self.offsets[ids], self.offsets[ids.astype(np.int64) + 1]
@@ -442,16 +446,22 @@ def _encoder(spec: str) -> Encoder:
 
 
 def encode_texts(
-    docs: DataFrame, tokenizer: str, text: str = "text", into: str = "ids"
+    docs: DataFrame,
+    tokenizer: str,
+    text: str = "text",
+    into: str = "ids",
+    decoded: str | None = None,
 ) -> DataFrame:
     """Add the ids of every text as binary, four little-endian bytes each.
 
     ``tokenizer`` is the path of a byte-level BPE file of the ``tokenizers``
-    library. A NULL text is encoded as an empty one, which has no ids. All
-    other columns are kept; a column of the new name is replaced.
+    library. A NULL text is encoded as an empty one, which has no ids. With
+    ``decoded`` the text that the ids decode to is added too, in the same pass.
+    All other columns are kept; a column of a new name is replaced.
     """
-    kept = [f for f in docs.schema.fields if f.name != into]
-    schema = StructType([*kept, StructField(into, BinaryType(), False)])
+    new = {into: BinaryType()} | ({decoded: StringType()} if decoded else {})
+    kept = [f for f in docs.schema.fields if f.name not in new]
+    schema = StructType([*kept, *[StructField(n, t, False) for n, t in new.items()]])
     spec = ship(docs.sparkSession).sparkContext.broadcast(tokenizer_spec(tokenizer))
     names = [f.name for f in kept]
 
@@ -460,10 +470,11 @@ def encode_texts(
         for batch in chunks(batches, text):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             ids = list(map(encoder.units.encode, texts))
-            columns = [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(ids, pa.binary())], names=[*names, into]
-            )
+            columns = [*map(batch.column, names), pa.array(ids, pa.binary())]
+            if decoded:
+                found = [encoder.vocabulary.text(np.frombuffer(x, "<u4")) for x in ids]
+                columns.append(pa.array(found, pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *new])
         encoder.forget()
 
     return docs.select(*docs.columns).mapInArrow(run, schema)
@@ -485,7 +496,7 @@ def decode_ids(
         vocabulary = per_worker(Vocabulary, spec.value)
         for batch in chunks(batches, ids):
             found = [
-                vocabulary.decode(np.frombuffer(b or b"", "<u4")).decode("utf-8", "replace")
+                vocabulary.text(np.frombuffer(b or b"", "<u4"))
                 for b in batch.column(ids).to_pylist()
             ]
             columns = [batch.column(n) for n in names]

@@ -67,8 +67,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode_texts(docs, TOKENIZER).drop("text")
-    return bpe.decode_ids(encoded, TOKENIZER).select(
+    return bpe.encode_texts(docs, TOKENIZER, decoded="decoded").select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -92,6 +92,9 @@ def test_frames(make_docs, odd_rows, tokenizer, library):
         text = row["text"] or ""
         assert np.frombuffer(row["ids"], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
         assert row["decoded"] == text and row["score"] == "a"
+    both = bpe.encode_texts(docs, tokenizer, into="score", decoded="tie")
+    assert set(both.columns) == set(docs.columns)
+    assert all(r["tie"] == (r["text"] or "") and len(r["score"]) % 4 == 0 for r in both.collect())
     assert bpe.encode_texts(make_docs([]), tokenizer).collect() == []
 
 
