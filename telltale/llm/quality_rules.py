@@ -21,6 +21,8 @@ METRICS = (
     ("repeat_words", "n_repeat_words", "n_words", 400, False),
 )
 FENCE = 6
+# A quartile counts at most so many times as far from the median as the nearer one.
+SKEW = 2
 MIN_DOCS = 200
 # A value keeps so many leading binary digits, which is a relative error of 1/64.
 DIGITS = 7
@@ -142,7 +144,10 @@ def fences(sketches: DataFrame, *groups: str) -> DataFrame:
     """Lower and upper bound of every metric of a group, and the documents behind it.
 
     The bounds lie ``FENCE`` times the distance of the quartiles, or the slack
-    of the metric if that is more, outside the quartiles.
+    of the metric if that is more, outside the quartiles. Junk in more than a
+    quarter of a group is a quartile of it. While it is less than half, the
+    median and a quartile are not, so no quartile counts further than ``SKEW``
+    times the distance of the nearer one, and a bucket, from the median.
     """
     part = Window.partitionBy(*groups, "metric")
     ranked = sketches.select(
@@ -155,8 +160,20 @@ def fences(sketches: DataFrame, *groups: str) -> DataFrame:
     quartiles = ranked.groupBy(*groups, "metric").agg(
         F.max("docs").alias("docs"),
         F.min(F.when(4 * F.col("upto") >= F.col("docs"), F.col("low"))).alias("q1"),
+        F.min(F.when(2 * F.col("upto") >= F.col("docs"), F.col("low"))).alias("q2"),
         F.min(F.when(4 * F.col("upto") >= 3 * F.col("docs"), F.col("low"))).alias("q3"),
     )
+    cut = F.greatest(F.length(F.bin("q2")) - DIGITS, F.lit(0))
+    bucket = F.call_function("shiftleft", F.lit(1).cast("bigint"), cut)
+    nearer = F.least(F.col("q2") - F.col("q1"), F.col("q3") - F.col("q2"))
+    reach = SKEW * (nearer + bucket)
+    quartiles = quartiles.select(
+        *groups,
+        "metric",
+        "docs",
+        F.greatest("q1", F.col("q2") - reach).alias("q1"),
+        F.least("q3", F.col("q2") + reach).alias("q3"),
+    )
     slack = F.lit(0)
     for name, _, _, s, _ in METRICS:
         slack = F.when(F.col("metric") == name, s).otherwise(slack)

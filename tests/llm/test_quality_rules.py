@@ -1,5 +1,7 @@
 from collections import Counter
 
+import pytest
+
 from telltale.llm import quality_rules as rules
 from tests_support import prose
 
@@ -47,6 +49,17 @@ def test_thresholds_follow_the_group(spark, make_docs):
     assert all(kept[i] for i, _ in [*calm, *loud]) and not kept[500]
 
 
+@pytest.mark.parametrize("share", [30, 40])
+def test_junk_in_a_large_part_of_a_group(make_docs, monkeypatch, share):
+    """Junk that is a quartile of its source does not make room for itself."""
+    monkeypatch.setattr(rules, "MIN_DOCS", 20)
+    good = [(k, prose(k, 60)) for k in range(100 - share)]
+    junk = [(100 + k, prose(k, 60).replace(" ", " ## ")) for k in range(share // 2)]
+    junk += [(200 + k, prose(k, 60).replace(" ", " |||||| ")) for k in range(share // 2)]
+    kept = {r["doc_id"]: r["kept"] for r in rules.judge(make_docs([*good, *junk])).collect()}
+    assert all(kept[i] for i, _ in good) and not any(kept[i] for i, _ in junk)
+
+
 def test_merged_sketches_are_the_sketch_of_the_whole(spark, make_docs):
     rows = [(k, prose(k, 20 + 7 * k)) for k in range(40)]
     facts = rules.text_facts(make_docs(rows).drop("n_words"))
