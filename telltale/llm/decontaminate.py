@@ -24,6 +24,9 @@ Q = 8
 EDIT_RATE = 0.08
 # Longer items are searched in passages of this length that overlap by half.
 PASSAGE = 320
+# Longer items are searched in excerpts of this length too, that overlap by half:
+# any part of an item of one and a half times the length holds one whole.
+EXCERPT = 120
 # Items with fewer characters say nothing about where a text is from.
 MIN_CHARS = 24
 # Characters of the benchmark that are searched in one pass over the documents.
@@ -67,23 +70,27 @@ class Pattern(NamedTuple):
     codes: np.ndarray
     edits: int
     least: int
+    excerpt: bool
 
 
 class Index:
-    """The q-grams of some benchmark items."""
+    """The q-grams of some benchmark items, and of their excerpts of a length if one is given."""
 
-    def __init__(self, items: list[tuple[int, str]], edit_rate: float):
+    def __init__(self, items: list[tuple[int, str]], edit_rate: float, excerpt: int = 0):
         self.patterns: list[Pattern] = []
         for item, text in items:
             codes, _ = normal(_codes(text))
             codes = _trim(codes)
             if len(codes) < max(MIN_CHARS, Q):
                 continue
-            for k, cut in enumerate(_passages(codes)):
+            passages = _passages(codes, PASSAGE)
+            excerpts = _passages(codes, excerpt) if 0 < excerpt < len(codes) else []
+            for k, cut in enumerate([*passages, *excerpts]):
                 size = len(cut)
                 # No more edits than leave at least one q-gram untouched.
                 edits = min(int(edit_rate * size), (size - Q) // Q)
-                self.patterns.append(Pattern(item, k, cut, edits, size + 1 - Q * (1 + edits)))
+                least = size + 1 - Q * (1 + edits)
+                self.patterns.append(Pattern(item, k, cut, edits, least, k >= len(passages)))
         parts = [grams(p.codes) for p in self.patterns]
         sizes = [len(p) for p in parts]
         digest = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -136,6 +143,7 @@ class Index:
 
     def _verified(self, codes, came, ends, bounds, text, pattern, first) -> list[tuple]:
         found: dict[tuple, tuple] = {}
+        parts: set[tuple] = set()
         for a in range(0, len(text), 256):
             part = slice(a, a + 256)
             who = [self.patterns[p] for p in pattern[part]]
@@ -166,7 +174,10 @@ class Index:
                 key = (t, p.item, p.passage, end)
                 row = (t, p.item, p.passage, *span, int(cost[i]))
                 found[key] = min(found.get(key, row), row, key=lambda r: r[5])
-        return _apart(sorted(found.values()))
+                if p.excerpt:
+                    parts.add(key)
+        wholes = _apart(sorted(found[k] for k in found.keys() - parts))
+        return sorted([*wholes, *_elsewhere(_apart(sorted(found[k] for k in parts)), wholes)])
 
 
 def _trim(codes: np.ndarray) -> np.ndarray:
@@ -174,11 +185,21 @@ def _trim(codes: np.ndarray) -> np.ndarray:
     return codes[seen[0] : seen[-1] + 1] if len(seen) else codes[:0]
 
 
-def _passages(codes: np.ndarray) -> list[np.ndarray]:
-    if len(codes) <= PASSAGE:
+def _passages(codes: np.ndarray, size: int) -> list[np.ndarray]:
+    if len(codes) <= size:
         return [codes]
-    starts = [*range(0, len(codes) - PASSAGE, PASSAGE // 2), len(codes) - PASSAGE]
-    return [codes[s : s + PASSAGE] for s in starts]
+    starts = [*range(0, len(codes) - size, size // 2), len(codes) - size]
+    return [codes[s : s + size] for s in starts]
+
+
+def _elsewhere(parts: list[tuple], wholes: list[tuple]) -> list[tuple]:
+    """Excerpts that overlap no whole passage of their item in the text."""
+    taken: dict[tuple, list] = {}
+    for row in wholes:
+        taken.setdefault(row[:2], []).append(row[3:5])
+    return [
+        r for r in parts if not any(r[3] < end and start < r[4] for start, end in taken.get(r[:2], ()))
+    ]
 
 
 def _apart(rows: list[tuple]) -> list[tuple]:
@@ -250,7 +271,9 @@ def find_passages(
 
     One row per place: ``doc_id, item_id, passage, start, end, edits``, with
     offsets into the text as it is. Of overlapping places of one passage that
-    with the fewest edits is given. Repeated items count once; NULL items and
+    with the fewest edits is given. A part of an item is found through excerpts
+    of ``EXCERPT`` characters; they have the numbers after its passages and are
+    given where no whole passage of the item lies. Repeated items count once; NULL items and
     those with under ``MIN_CHARS`` characters are not searched, a NULL text holds
     nothing. Documents are never shuffled. The benchmark is a set of queries: it
     is searched in blocks of ``BLOCK_CHARS`` characters, one pass over the
@@ -266,7 +289,7 @@ def find_passages(
         if blocks > 1:
             mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = sorted((r["item_id"], r["text"]) for r in mine.collect() if r["item_id"] is not None)
-        frame = _search(docs, spark.sparkContext.broadcast((rows, edit_rate)))
+        frame = _search(docs, spark.sparkContext.broadcast((rows, edit_rate, EXCERPT)))
         found.append(frame if blocks == 1 else stored(frame, "passages"))
     whole = found[0]
     for frame in found[1:]:

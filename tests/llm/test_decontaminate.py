@@ -66,6 +66,24 @@ def test_long_items_are_found_in_part():
     assert not index.search([prose(303, 500)])
 
 
+def test_short_excerpts(spark, make_docs):
+    """85 % of an item of 250 characters, 290 of 390 and the least part that is promised."""
+    draw = random.Random(9)
+    texts = {k: plain(prose(600 + k, 200))[:n].strip() for k, n in ((1, 250), (2, 390), (3, 390))}
+    part = 3 * dec.EXCERPT // 2
+    cuts = {1: texts[1][20:232], 2: texts[2][60:350], 3: texts[3][37 : 37 + part]}
+    benchmark = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    rows = [(k, f"{prose(610 + k, 30)} {damaged(draw, c, 3)} {prose(620 + k, 30)}") for k, c in cuts.items()]
+    rows += [(10 + k, f"{prose(630 + k, 30)} {t} {prose(640 + k, 30)}") for k, t in texts.items()]
+    rows += [(20, prose(650, 200))]
+    found = dec.find_passages(make_docs(rows), benchmark).collect()
+    pairs = {(k, k) for k in cuts} | {(10 + k, k) for k in texts}
+    assert {(r["doc_id"], r["item_id"]) for r in found} == pairs
+    # A whole item is not reported again in parts.
+    assert sum(r["doc_id"] == 11 for r in found) == 1
+    assert [r["doc_id"] for r in dec.without_contaminated(make_docs(rows), benchmark).collect()] == [20]
+
+
 def test_frames(spark, make_docs, odd_rows):
     item = prose(400, 20)
     bench = [(1, item), (1, item), (2, None), (3, "short"), (4, ""), (None, prose(401, 20)), (6, odd_rows[0][1])]
