@@ -27,7 +27,8 @@ PASSAGE = 320
 # Longer items are searched in excerpts of this length too, that overlap by half:
 # any part of an item of one and a half times the length holds one whole.
 EXCERPT = 120
-# Items with fewer characters say nothing about where a text is from.
+# Items with fewer characters say nothing about where a text is from; they are
+# found without edits, as whole words.
 MIN_CHARS = 24
 # Characters of the benchmark that are searched in one pass over the documents.
 BLOCK_CHARS = 4_000_000
@@ -74,14 +75,24 @@ class Pattern(NamedTuple):
 
 
 class Index:
-    """The q-grams of some benchmark items, and of their excerpts of a length if one is given."""
+    """The q-grams of some benchmark items, and of their excerpts of a length if one is given.
 
-    def __init__(self, items: list[tuple[int, str]], edit_rate: float, excerpt: int = 0):
+    With ``short``, items of fewer than ``MIN_CHARS`` characters are searched too.
+    """
+
+    def __init__(
+        self, items: list[tuple[int, str]], edit_rate: float, excerpt: int = 0, short: bool = False
+    ):
         self.patterns: list[Pattern] = []
+        # By length and digest, as digests of equal lengths only are compared.
+        self.short: dict[int, dict[int, list[tuple[int, np.ndarray]]]] = {}
         for item, text in items:
             codes, _ = normal(_codes(text))
             codes = _trim(codes)
             if len(codes) < max(MIN_CHARS, Q):
+                if short and len(codes):
+                    *_, (size, digest) = _runs(codes, len(codes))
+                    self.short.setdefault(size, {}).setdefault(int(digest[0]), []).append((item, codes))
                 continue
             passages = _passages(codes, PASSAGE)
             excerpts = _passages(codes, excerpt) if 0 < excerpt < len(codes) else []
@@ -108,11 +119,35 @@ class Index:
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int]]:
         """``(text, item, passage, start, end, edits)`` of every place found."""
-        if not self.patterns:
+        if not self.patterns and not self.short:
             return []
         whole = [_codes(t) for t in texts]
         ends = np.cumsum([len(w) for w in whole])
         codes, came = normal(np.concatenate(whole))
+        found = self._short(codes, came, np.r_[0, ends]) if self.short else []
+        if self.patterns:
+            found += self._long(codes, came, ends)
+        return sorted(found)
+
+    def _short(self, codes, came, ends) -> list[tuple[int, int, int, int, int, int]]:
+        rows = []
+        for size, digest in _runs(codes, max(self.short)):
+            wanted = self.short.get(size)
+            if not wanted:
+                continue
+            for at in np.flatnonzero(np.isin(digest, np.array(list(wanted), np.uint64))):
+                end = at + size
+                t = int(np.searchsorted(ends, came[at], "right")) - 1
+                low, high = np.searchsorted(came, ends[t : t + 2])
+                if end > high or _inside_word(codes, at, low, high) or _inside_word(codes, end, low, high):
+                    continue
+                span = (int(came[at] - ends[t]), int(came[end - 1] + 1 - ends[t]))
+                for item, own in wanted[int(digest[at])]:
+                    if np.array_equal(own, codes[at:end]):
+                        rows.append((t, item, 0, *span, 0))
+        return _apart(sorted(rows))
+
+    def _long(self, codes, came, ends) -> list[tuple[int, int, int, int, int, int]]:
         digest = grams(codes)
         at = np.flatnonzero(self.flags[(digest >> self.shift).astype(np.int64)])
         low = np.searchsorted(self.digest, digest[at], "left")
@@ -185,6 +220,20 @@ def _trim(codes: np.ndarray) -> np.ndarray:
     return codes[seen[0] : seen[-1] + 1] if len(seen) else codes[:0]
 
 
+def _runs(codes: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Digests of all runs of 1, 2, and up to so many characters."""
+    found = digest = codes.astype(np.uint64) + np.uint64(1)
+    for size in range(1, min(most, len(codes)) + 1):
+        if size > 1:
+            digest = digest[:-1] * np.uint64(_BASE) + found[size - 1 :]
+        yield size, digest
+
+
+def _inside_word(codes, at, low, high) -> bool:
+    """Whether letters or digits of one text stand on both sides of a place."""
+    return low < at < high and chr(codes[at - 1]).isalnum() and chr(codes[at]).isalnum()
+
+
 def _passages(codes: np.ndarray, size: int) -> list[np.ndarray]:
     if len(codes) <= size:
         return [codes]
@@ -265,7 +314,7 @@ _indexes: dict = {}
 
 
 def find_passages(
-    docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_RATE
+    docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_RATE, short: bool = True
 ) -> DataFrame:
     """Every place where a document holds a passage of ``benchmark(item_id, text)``.
 
@@ -273,8 +322,10 @@ def find_passages(
     offsets into the text as it is. Of overlapping places of one passage that
     with the fewest edits is given. A part of an item is found through excerpts
     of ``EXCERPT`` characters; they have the numbers after its passages and are
-    given where no whole passage of the item lies. Repeated items count once; NULL items and
-    those with under ``MIN_CHARS`` characters are not searched, a NULL text holds
+    given where no whole passage of the item lies. Repeated items count once; items
+    without an id are reported with a NULL one. Items of under ``MIN_CHARS``
+    characters are found as they are, between word borders, or with ``short``
+    false not at all. NULL and blank items are not searched, a NULL text holds
     nothing. Documents are never shuffled. The benchmark is a set of queries: it
     is searched in blocks of ``BLOCK_CHARS`` characters, one pass over the
     documents each, and only one block is on the driver and the workers at once.
@@ -288,8 +339,13 @@ def find_passages(
         mine = items
         if blocks > 1:
             mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted((r["item_id"], r["text"]) for r in mine.collect() if r["item_id"] is not None)
-        frame = _search(docs, spark.sparkContext.broadcast((rows, edit_rate, EXCERPT)))
+        taken = [tuple(r) for r in mine.collect()]
+        rows = sorted(r for r in taken if r[0] is not None)
+        # Numbers after all ids stand for the items without one.
+        unnamed = rows[-1][0] + 1 if rows else 0
+        rows += [(unnamed + k, t) for k, t in enumerate(sorted(t for i, t in taken if i is None))]
+        shared = spark.sparkContext.broadcast((unnamed, (rows, edit_rate, EXCERPT, short)))
+        frame = _search(docs, shared)
         found.append(frame if blocks == 1 else stored(frame, "passages"))
     whole = found[0]
     for frame in found[1:]:
@@ -300,11 +356,15 @@ def find_passages(
 def _search(docs: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if shared.value is not _indexes.get("of"):
-            _indexes["of"], _indexes["index"] = shared.value, Index(*shared.value)
+            _indexes["of"], _indexes["index"] = shared.value, Index(*shared.value[1])
+        unnamed = shared.value[0]
         for batch in chunks(batches, "text", 2 << 20):
             ids = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            rows = [(ids[t], *rest) for t, *rest in _indexes["index"].search(texts)]
+            rows = [
+                (ids[t], item if item < unnamed else None, *rest)
+                for t, item, *rest in _indexes["index"].search(texts)
+            ]
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
@@ -321,11 +381,12 @@ def without_contaminated(
     """The documents that hold no passage of the benchmark, with all their columns.
 
     Rows are judged by their own text, so rows that share an id, or have none,
-    do not answer for each other.
+    do not answer for each other. Items of under ``MIN_CHARS`` characters, which
+    any text may hold, drop none.
     """
     row = "__passage_row"
     numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "passage-docs")
     by_row = numbered.select(F.col(row).alias("doc_id"), "text")
-    hit = stored(find_passages(by_row, benchmark, edit_rate).select("doc_id").distinct(), "passage-hits")
+    hit = stored(find_passages(by_row, benchmark, edit_rate, short=False).select("doc_id").distinct(), "passage-hits")
     bad = hit.select(F.col("doc_id").alias(row))
     return numbered.join(bad, row, "left_anti").select(*docs.columns)

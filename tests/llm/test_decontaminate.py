@@ -84,6 +84,32 @@ def test_short_excerpts(spark, make_docs):
     assert [r["doc_id"] for r in dec.without_contaminated(make_docs(rows), benchmark).collect()] == [20]
 
 
+def test_items_without_an_id_and_short_ones(spark, make_docs):
+    one, two = prose(700, 30), prose(701, 30)
+    bench = [(None, one), (None, two), (9, "Two  Words"), (-3, "x7"), (None, "é"), (8, "words, two"), (7, " \n")]
+    benchmark = spark.createDataFrame(bench, "item_id long, text string")
+    filler = "Filler."
+    texts = {
+        1: f"{filler} {one} {filler}",
+        2: f"{filler} {two} {one}",
+        3: "(two\n words) and twowords, two wordsmith, two words",
+        4: "X7 x77 ax7 x7.",
+        5: "café",
+        6: "é",
+        7: "two",
+        8: "words",
+        9: "",
+        10: f"{filler} x7x",
+    }
+    docs = make_docs(list(texts.items())).coalesce(1)
+    found = {(r["doc_id"], r["item_id"], r["start"], r["end"]) for r in dec.find_passages(docs, benchmark).collect()}
+    short = {(3, 9, 1, 11), (3, 9, 42, 51), (4, -3, 0, 2), (4, -3, 11, 13), (6, None, 0, 1)}
+    assert short <= found
+    assert sorted(r[0] for r in found - short) == [1, 2, 2] and {r[1] for r in found - short} == {None}
+    kept = dec.without_contaminated(docs, benchmark).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(3, 11))
+
+
 def test_frames(spark, make_docs, odd_rows):
     item = prose(400, 20)
     bench = [(1, item), (1, item), (2, None), (3, "short"), (4, ""), (None, prose(401, 20)), (6, odd_rows[0][1])]
