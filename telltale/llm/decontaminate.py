@@ -358,7 +358,7 @@ def _search(docs: DataFrame, shared) -> DataFrame:
         if shared.value is not _indexes.get("of"):
             _indexes["of"], _indexes["index"] = shared.value, Index(*shared.value[1])
         unnamed = shared.value[0]
-        for batch in chunks(batches, "text", 2 << 20):
+        for batch in chunks(batches, "text", 512 << 10):
             ids = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
             rows = [
