@@ -10,7 +10,8 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from telltale.session import run_dir
 
@@ -90,6 +91,32 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def only(frame: DataFrame, *names: str) -> DataFrame:
+    """Some columns of a table that may hold others with the same names in another case.
+
+    Of such columns the one that is written as asked counts.
+    """
+    found = []
+    for name in names:
+        alike = [i for i, c in enumerate(frame.columns) if c.lower() == name.lower()]
+        exact = [i for i in alike if frame.columns[i] == name] or alike
+        if not exact:
+            raise ValueError(f"no column {name} in {frame.columns}")
+        found.append(exact[0])
+    held = frame.toDF(*[f"c{i}" for i in range(len(frame.columns))])
+    return held.select(*[F.col(f"c{i}").alias(n) for i, n in zip(found, names, strict=True)])
+
+
+def word_count(text: Column) -> Column:
+    """How many words a text has; NULL has none.
+
+    Every word with the breaks around it becomes one character, so no list of words is made.
+    """
+    breaks, word = r"[\x20\x09-\x0D]*+", r"[^\x20\x09-\x0D]++"
+    marks = F.regexp_replace(F.coalesce(text, F.lit("")), breaks + word + breaks, "x")
+    return F.length(F.translate(marks, WORD_BREAKS, "")).cast("bigint")
+
+
 def mounted(path: str) -> str:
     """The local name of a folder that all machines mount, for files mapped into memory."""
     parts = urlparse(path)
