@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,6 +14,9 @@ from telltale.llm import (
     compression_quality,
     decontaminate,
     kneser_ney,
+    merkle,
+    mixing,
+    prefix_trie,
     quality_rules,
     sequence_files,
     simhash,
@@ -20,7 +24,7 @@ from telltale.llm import (
     token_counts,
     url_reputation,
 )
-from telltale.llm.tasks import stored
+from telltale.llm.tasks import only, stored
 from telltale.session import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +141,45 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.shared_heads(turns))
+
+
+def manifest_rows(docs: DataFrame) -> DataFrame:
+    """Proofs of all documents, folded from a lower-cased text for a fifth of them."""
+    docs = only(docs, "doc_id", "source", "lang", "n_chars", "text")
+    small = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    before = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    # Texts are read once; from here on there are digests only.
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.row_digest([*before, F.col("text")]).alias("leaf"),
+        F.when(tampered, merkle.row_digest([*before, small])).alias("claimed"),
+    )
+    proofs = merkle.manifest(leaves, group="source", order="doc_id", leaf="leaf").proofs
+    claimed = F.coalesce("claimed", "leaf")
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        merkle.folded(claimed, F.col("steps")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_rows(table(spark, sf_dir, "documents"))
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
 _QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_lm_scoring": op2_lm_scoring,
@@ -148,6 +191,9 @@ _QUERIES: dict[str, Query] = {
     "op8_sequence_files": op8_sequence_files,
     "op9_url_filters": op9_url_filters,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_mixing": op13_source_mixing,
 }
 
 
