@@ -174,6 +174,122 @@ def url_filters(url_rules) -> str:
     FROM (SELECT *, CASE {cases} END AS choice FROM cut)"""
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of ASCII text: a byte goes in, then eight bits go out."""
+    eight = ", ".join(["-1"] * 8)
+    return f"""
+      xor(4294967295, list_reduce(
+        [4294967295::BIGINT] || flatten([[ascii(x)::BIGINT, {eight}] FOR x IN string_split({text}, '')]),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+                          WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END))"""
+
+
+def prefix_trie(family: int = 20, most: int = 4) -> str:
+    words = r"len([x FOR x IN string_split_regex(text, '[\x20\x09-\x0D]+') IF x <> ''])"
+    return f"""
+    WITH spoken AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+      FROM conversations WHERE conv_id IS NOT NULL),
+    told AS (
+      SELECT conv_id, turn, role, {words} AS words,
+             sha256(strlen(role) || ':' || role || text) AS digest FROM spoken),
+    turns AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) AS p
+      FROM told),
+    convs AS (
+      SELECT conv_id, conv_id - conv_id % {family} AS base,
+             {_crc32("conv_id::VARCHAR")} % {most} AS h
+      FROM (SELECT DISTINCT conv_id FROM turns)),
+    rebuilt AS (
+      SELECT c.conv_id, 0 AS part, p, digest, words
+      FROM convs c JOIN turns t ON t.conv_id = c.base WHERE p <= h
+      UNION ALL
+      SELECT c.conv_id, 1, p, digest, words FROM convs c JOIN turns t USING (conv_id) WHERE p > h),
+    whole AS (
+      SELECT conv_id,
+             coalesce(list(digest ORDER BY part, p) FILTER (digest IS NOT NULL), []) AS digests,
+             list(words ORDER BY part, p) AS words
+      FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+    members AS (
+      SELECT conv_id, d, array_to_string(digests[1:d], '') AS key, words[d] AS words, len(digests) AS n
+      FROM (SELECT *, unnest(generate_series(0, len(digests))) AS d FROM whole)),
+    nodes AS (
+      SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             CASE WHEN d > 0 THEN max(words) ELSE 0 END AS words,
+             coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = n), '') AS ends
+      FROM members GROUP BY key, d),
+    kids AS (
+      SELECT key[:-65] AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+    counted AS (SELECT *, coalesce(n_children, 0) AS kids FROM nodes LEFT JOIN kids USING (key)),
+    below AS (
+      SELECT key[:64 * i] AS key, count(*) FILTER (kids = 0) AS n_leaves,
+             sum((n_convs - 1) * words) AS saved
+      FROM (SELECT *, unnest(generate_series(0, d)) AS i FROM counted) GROUP BY ALL)
+    SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.kids AS n_children,
+           n_leaves, saved::BIGINT AS saved_tokens, sha256(c.ends) AS ends_sha256
+    FROM counted c JOIN below b ON b.key = c.key
+    LEFT JOIN nodes p ON c.d > 0 AND p.key = c.key[:-65]"""
+
+
+def merkle_manifest(arity: int = 16) -> str:
+    def digest(text: str) -> str:
+        fields = [f"({c})::VARCHAR" for c in ("doc_id", "source", "lang", "n_chars", text)]
+        parts = " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields)
+        return f"sha256({parts})"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    small = f"translate(text, '{upper}', '{upper.lower()}')"
+    others = f"PARTITION BY tree, level, i // {arity} ORDER BY i ROWS BETWEEN"
+    above = f"""
+      SELECT tree, level + 1, i // {arity}, (n + {arity - 1}) // {arity}, sha256(string_agg(h, '' ORDER BY i))
+      FROM {{0}} WHERE n > 1 GROUP BY tree, level, i // {arity}, n"""
+    return f"""
+    WITH RECURSIVE leaves AS (
+      SELECT row_number() OVER () AS row_id, doc_id, source, {digest("text")} AS leaf,
+             CASE WHEN coalesce({_crc32("doc_id::VARCHAR")} % 5 = 0, false) THEN {digest(small)}
+                  ELSE {digest("text")} END AS claimed
+      FROM documents),
+    placed AS (
+      SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+             count(*) OVER (PARTITION BY source) AS n
+      FROM leaves),
+    low AS (
+      SELECT tree, 0 AS level, i, n, leaf AS h FROM placed UNION ALL {above.format("low")}),
+    subroots AS (SELECT tree, h FROM low WHERE n = 1),
+    top AS (
+      SELECT -1::BIGINT AS tree, 0 AS level, tree AS i, (SELECT count(*) FROM subroots) AS n, h
+      FROM subroots UNION ALL {above.format("top")}),
+    nodes AS (
+      SELECT *, coalesce(string_agg(h, '') OVER ({others} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+             coalesce(string_agg(h, '') OVER ({others} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+      FROM (SELECT * FROM low UNION ALL SELECT * FROM top)),
+    ways AS (
+      SELECT p.row_id, 0 AS part, m.level, before, after
+      FROM placed p JOIN nodes m ON m.tree = p.tree AND m.i = p.i // ({arity} ** m.level)::BIGINT
+      WHERE m.n > 1
+      UNION ALL
+      SELECT p.row_id, 1, m.level, before, after
+      FROM placed p JOIN nodes m ON m.tree = -1 AND m.i = p.tree // ({arity} ** m.level)::BIGINT
+      WHERE m.n > 1),
+    steps AS (
+      SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY part, level) AS step FROM ways),
+    proofs AS (
+      SELECT row_id, max(step) AS n, sha256(string_agg(before || after, '' ORDER BY step)) AS proof
+      FROM steps GROUP BY row_id),
+    fold AS (
+      SELECT row_id, 0::BIGINT AS step, claimed AS h FROM placed
+      UNION ALL
+      SELECT f.row_id, s.step, sha256(s.before || f.h || s.after)
+      FROM fold f JOIN steps s ON s.row_id = f.row_id AND s.step = f.step + 1),
+    root AS (SELECT h FROM top WHERE n = 1)
+    SELECT doc_id, leaf, b.h AS subroot, r.h AS root, coalesce(proof, sha256('')) AS proof_sha256,
+           f.h AS folded_root, f.h = r.h AS verified
+    FROM placed p JOIN subroots b USING (tree) JOIN root r ON true
+    LEFT JOIN proofs q ON q.row_id = p.row_id
+    JOIN fold f ON f.row_id = p.row_id AND f.step = coalesce(q.n, 0)"""
+
+
 def statements() -> dict[str, str]:
     from telltale.llm.queries import URL_RULES
 
@@ -181,4 +297,6 @@ def statements() -> dict[str, str]:
         "op6_substring_dedup": substring_dedup(),
         "op7_quality_rules": quality_rules(),
         "op9_url_filters": url_filters(URL_RULES),
+        "op11_prefix_trie": prefix_trie(),
+        "op12_merkle_manifest": merkle_manifest(),
     }

@@ -6,12 +6,13 @@ import importlib
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from telltale.session import run_dir
 
@@ -96,15 +97,24 @@ def only(frame: DataFrame, *names: str) -> DataFrame:
 
     Of such columns the one that is written as asked counts.
     """
-    found = []
-    for name in names:
-        alike = [i for i, c in enumerate(frame.columns) if c.lower() == name.lower()]
-        exact = [i for i in alike if frame.columns[i] == name] or alike
-        if not exact:
-            raise ValueError(f"no column {name} in {frame.columns}")
-        found.append(exact[0])
+    at = [place_of(frame.columns, n) for n in names]
     held = frame.toDF(*[f"c{i}" for i in range(len(frame.columns))])
-    return held.select(*[F.col(f"c{i}").alias(n) for i, n in zip(found, names, strict=True)])
+    return held.select(*[F.col(f"c{i}").alias(n) for i, n in zip(at, names, strict=True)])
+
+
+def place_of(columns: Sequence[str], name: str) -> int:
+    """Which column is meant by a name: one that is written so, else one in another case."""
+    alike = [i for i, c in enumerate(columns) if c.lower() == name.lower()]
+    exact = [i for i in alike if columns[i] == name] or alike
+    if not exact:
+        raise ValueError(f"no column {name} in {list(columns)}")
+    return exact[0]
+
+
+def others(fields: Sequence[StructField], new: Iterable[str]) -> list[StructField]:
+    """The fields that stay when columns of new names come, whatever case they are in."""
+    taken = {n.lower() for n in new}
+    return [f for f in fields if f.name.lower() not in taken]
 
 
 def word_count(text: Column) -> Column:

@@ -25,4 +25,4 @@ def test_query(spark, sf_dir, name):
 
 def test_every_operator_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in registered()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
