@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from telltale.llm.tasks import chunks, ship
+from telltale.llm.tasks import chunks, others, ship
 from telltale.llm.word_digests import column_bytes, cut_digests
 
 # The pattern that cuts text before merging, as the vocabulary was made with.
@@ -460,7 +460,7 @@ def encode_texts(
     All other columns are kept; a column of a new name is replaced.
     """
     new = {into: BinaryType()} | ({decoded: StringType()} if decoded else {})
-    kept = [f for f in docs.schema.fields if f.name not in new]
+    kept = others(docs.schema.fields, new)
     schema = StructType([*kept, *[StructField(n, t, False) for n, t in new.items()]])
     spec = ship(docs.sparkSession).sparkContext.broadcast(tokenizer_spec(tokenizer))
     names = [f.name for f in kept]
@@ -487,7 +487,7 @@ def decode_ids(
 
     Bytes that are no UTF-8 are shown as replacement characters.
     """
-    kept = [f for f in encoded.schema.fields if f.name != into]
+    kept = others(encoded.schema.fields, [into])
     schema = StructType([*kept, StructField(into, StringType(), False)])
     spec = ship(encoded.sparkSession).sparkContext.broadcast(tokenizer_spec(tokenizer))
     names = [f.name for f in kept]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from telltale.llm.tasks import chunks, column_bytes, ship
+from telltale.llm.tasks import chunks, column_bytes, others, ship
 
 LEVEL = 3
 BLOCK = 2048
@@ -151,7 +151,7 @@ def score_texts(
 
     Other columns are kept, one of the new name is replaced.
     """
-    kept = [f for f in docs.schema.fields if f.name != into]
+    kept = others(docs.schema.fields, [into])
     names = [f.name for f in kept]
     schema = StructType([*kept, StructField(into, DoubleType(), False)])
     # Two dictionaries and a curve of bounded size.

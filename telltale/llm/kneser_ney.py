@@ -19,17 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from telltale.llm.tasks import chunks, mounted, ship, stored
+from telltale.llm.tasks import chunks, mounted, only, others, ship, stored
 from telltale.llm.word_digests import Words
 
-# Words are known by so many bits of their digest; two numbers stand for the
+# Words are known by the 64 bits of their digest; two numbers stand for the
 # beginning and the end of a text.
-WORD_BITS = 48
-_WORD = (1 << WORD_BITS) - 1
 BEGIN, END = 0x0B5E55ED, 0x00E17DED
 
 # Distinct pairs or words that a task sums before it sends them on.
 HELD = 3_000_000
+# Bytes of text a shard, whose arrays one task holds, stands for.
+SHARD_BYTES = 64 << 20
 # A context is dealt out by pair from this share of a shard on.
 LARGE = 0.25
 
@@ -43,7 +43,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.bincount(found.owner, minlength=found.n_texts) + 1
     words = np.full(int(sizes.sum()), END, np.uint64)
     # Every text before has added an end.
-    words[np.arange(len(found.owner)) + found.owner] = found.digests & np.uint64(_WORD)
+    words[np.arange(len(found.owner)) + found.owner] = found.digests
     return words, sizes
 
 
@@ -92,16 +92,6 @@ def _unpack(raw: bytes, n: int, kinds: tuple) -> list[np.ndarray]:
     return out
 
 
-def _six(words: np.ndarray) -> bytes:
-    return words.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _from_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel()
-
-
 def _parts(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
     columns = list(zip(*rows)) or [(), (), (), ()]
@@ -204,8 +194,10 @@ def train(docs: DataFrame, folder: str, shards: int | None = None) -> Model:
     spark = ship(docs.sparkSession)
     local = mounted(folder)
     os.makedirs(local, exist_ok=True)
-    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    texts = docs.select("text")
+    texts = only(docs, "text")
+    if shards is None:
+        size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
 
     def words_of(words: np.ndarray, sizes: np.ndarray) -> list[tuple]:
         keys, counts = np.unique(words, return_counts=True)
@@ -333,22 +325,22 @@ def _merged_follow(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack_pairs(before: np.ndarray, words: np.ndarray, counts: np.ndarray) -> bytes:
-    """Contexts once with the number of their words, words in six bytes, counts in one to eight."""
+    """Contexts once with the number of their words, then the words, counts in one byte or nine."""
     start = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
     many = np.diff(np.r_[start, len(before)]).astype(np.uint32)
     small = counts < 255
     rest = counts[~small].astype(np.int64)
     code = np.where(small, counts, 255).astype(np.uint8)
     head = np.array([len(start), len(words), len(rest)], np.int64)
-    return _pack(head) + _six(before[start]) + _pack(many) + _six(words) + _pack(code, rest)
+    return _pack(head, before[start], many, words, code, rest)
 
 
 def _unpack_pairs(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n_before, n, n_rest = (int(x) for x in np.frombuffer(raw, np.int64, 3))
     at = 24
-    owners, at = _from_six(raw[at : at + 6 * n_before]), at + 6 * n_before
-    many, at = np.frombuffer(raw, np.uint8, 4 * n_before, at).view(np.uint32), at + 4 * n_before
-    words, at = _from_six(raw[at : at + 6 * n]), at + 6 * n
+    owners, at = np.frombuffer(raw, np.uint64, n_before, at), at + 8 * n_before
+    many, at = np.frombuffer(raw, np.uint32, n_before, at), at + 4 * n_before
+    words, at = np.frombuffer(raw, np.uint64, n, at), at + 8 * n
     counts, at = np.frombuffer(raw, np.uint8, n, at).astype(np.int64), at + n
     counts[counts == 255] = np.frombuffer(raw[at:], np.int64, n_rest)
     return np.repeat(owners, many), words, counts
@@ -460,7 +452,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     names replaced.
     """
     new = {"n_tokens": LongType(), "n_known": LongType(), "base_score": DoubleType(), "score": DoubleType()}
-    kept = [f for f in docs.schema.fields if f.name not in new]
+    kept = others(docs.schema.fields, new)
     names = [f.name for f in kept]
     schema = StructType([*kept, *[StructField(n, t, False) for n, t in new.items()]])
     # Numbers and the few words that are large; the arrays stay in their files.

@@ -10,9 +10,10 @@ from telltale.llm.tasks import WORD_BREAKS
 # Bytes that are summed at once; a word is never cut.
 BLOCK = 1 << 19
 
-_BASE = 0x5851F42D4C957F2D
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_known: dict[str, np.ndarray] = {}
+# Sums of runs are taken modulo this prime, once for either half of a value.
+PRIME = (1 << 31) - 1
+_BASES = (0x2545F491, 0x5851F42D)
+_known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mixed(found: np.ndarray) -> np.ndarray:
@@ -21,28 +22,63 @@ def mixed(found: np.ndarray) -> np.ndarray:
     return found ^ (found >> np.uint64(32))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base modulo 2^64, and of its inverse."""
-    if len(_known.get("up", ())) < n:
-        for name, factor in (("up", _BASE), ("down", _BASE_INVERSE)):
-            each = np.full(max(n, BLOCK), factor, np.uint64)
-            each[0] = 1
-            _known[name] = np.multiply.accumulate(each)
-    return _known["up"][:n], _known["down"][:n]
+def _reduced(found: np.ndarray) -> np.ndarray:
+    """Values below 2^62 modulo the prime."""
+    found = (found & np.uint64(PRIME)) + (found >> np.uint64(31))
+    return np.where(found >= PRIME, found - np.uint64(PRIME), found)
 
 
-def run_digests(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A digest of each run of values: a polynomial modulo 2^64, from running sums."""
-    up, down = powers(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def _accumulated(factor: int, n: int) -> np.ndarray:
+    found = np.ones(1, np.uint64)
+    while len(found) < n:
+        step = np.uint64(pow(factor, len(found), PRIME))
+        found = np.concatenate([found, _reduced(found * step)])
+    return found
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base modulo the prime, and of its inverse."""
+    if base not in _known or len(_known[base][0]) < n:
+        inverse = pow(base, -1, PRIME)
+        _known[base] = (_accumulated(base, max(n, BLOCK)), _accumulated(inverse, max(n, BLOCK)))
+    up, down = _known[base]
+    return up[:n], down[:n]
 
 
-# A number for each byte.
+def run_digests(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A digest of each run of values: two polynomials modulo a prime, from running sums.
+
+    Modulo a power of two, runs in patterns such as abba baab would meet whatever
+    the base is.
+    """
+    found = (ends - starts).astype(np.uint64)
+    halves = (values & np.uint64(0xFFFFFFFF), values >> np.uint64(32))
+    for base, half in zip(_BASES, halves):
+        up, down = powers(base, len(values) + 1)
+        sums = np.zeros(len(values) + 1, np.uint64)
+        # Below 2^31 each, so that 2^32 of them fit.
+        np.cumsum(_reduced(_reduced(half) * up[:-1]), out=sums[1:])
+        run = _reduced(_reduced(_reduced(sums[ends] - sums[starts])) * down[starts])
+        found = (found << np.uint64(31)) ^ run
+        found = mixed(found) if base != _BASES[-1] else found
+    return mixed(found)
+
+
+# A number for each byte at each of the first places of a word, and for each byte.
+_PLACES = 64
 _BYTES = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x632BE59BD9B4E019))
 _SMALL = _BYTES.copy()
 _SMALL[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
+
+
+def _at_place(numbers: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mixed(numbers + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
+_TABLES = {
+    id(numbers): _at_place(numbers[None, :], np.arange(_PLACES)[:, None]).ravel()
+    for numbers in (_BYTES, _SMALL)
+}
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[list(map(ord, WORD_BREAKS))] = True
 
@@ -50,13 +86,31 @@ _IS_BREAK[list(map(ord, WORD_BREAKS))] = True
 def cut_digests(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, small: bool = False
 ) -> np.ndarray:
-    """Digests of cuts of some bytes, in the order in which they begin."""
+    """Digests of cuts of some bytes, in the order in which they begin, none over another.
+
+    A sum of numbers that are drawn for each byte and place, so no pattern of bytes
+    meets another one by its form.
+    """
     numbers, found, low = _SMALL if small else _BYTES, [np.zeros(0, np.uint64)], 0
+    table = _TABLES[id(numbers)]
     while low < len(starts):
         at = int(starts[low])
         high = max(int(np.searchsorted(starts, at + BLOCK)), low + 1)
-        values = numbers[data[at : int(ends[high - 1])]]
-        found.append(run_digests(values, starts[low:high] - at, ends[low:high] - at))
+        begin, end = starts[low:high], ends[low:high]
+        piece = data[at : int(end[-1])]
+        # The place in its word of every byte; what lies between words is not summed.
+        back = np.zeros(len(piece), np.int64)
+        back[begin - at] = np.diff(np.append(0, begin - at))
+        place = np.arange(len(piece)) - np.cumsum(back)
+        near = np.minimum(place, _PLACES - 1)
+        values = table[(near << 8) + piece]
+        far = np.flatnonzero(place >= _PLACES)
+        if len(far):
+            values[far] = _at_place(numbers[piece[far]], place[far])
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(values, out=sums[1:])
+        sizes = (end - begin).astype(np.uint64)
+        found.append(mixed(sums[end - at] - sums[begin - at] + sizes * np.uint64(_BASES[0])))
         low = high
     return np.concatenate(found)
 

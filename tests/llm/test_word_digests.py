@@ -5,8 +5,8 @@ import pyarrow as pa
 import pytest
 
 from telltale.llm import word_digests
-from telltale.llm.word_digests import Words
-from tests_support import prose
+from telltale.llm.word_digests import Words, run_digests
+from tests_support import prose, thue_morse
 
 TEXTS = [
     "", " ", "a", " a b ", "b a", None, "a\x0bb\tc\r\nd\x0ce", "Ünï\xa0x 漢 \x1c y", "A a",
@@ -50,3 +50,17 @@ def test_words_in_a_row():
 def test_no_texts():
     assert len(Words(pa.array([], pa.string())).digests) == 0
     assert len(Words(pa.array([None], pa.string())).digests) == 0
+
+
+def test_words_in_a_pattern_differ():
+    found = Words(pa.array([thue_morse(1024), thue_morse(1024, "ba"), thue_morse(4096), thue_morse(4096, "ba")]))
+    assert len(set(found.digests.tolist())) == 4
+
+
+def test_runs_in_a_pattern_differ():
+    values = {"a": 0x0123456789ABCDEF, "b": 0xFEDCBA9876543210}
+    flat = np.array([values[c] for c in thue_morse(1024) + thue_morse(1024, "ba")], np.uint64)
+    a, b = run_digests(flat, np.array([0, 1024]), np.array([1024, 2048]))
+    assert a != b
+    again = run_digests(np.r_[flat[:7], flat], np.array([7, 1031]), np.array([1031, 2055]))
+    assert again.tolist() == [a, b]

@@ -22,3 +22,8 @@ def prose(seed: int, n: int) -> str:
     draw = random.Random(seed)
     words = ["".join(draw.choices("aeiourstln", k=draw.randint(1, 7))) for _ in range(120)]
     return " ".join(draw.choice(words) + draw.choice(["", "", "", ",", ".\n"]) for _ in range(n))
+
+
+def thue_morse(n: int, letters: str = "ab") -> str:
+    """A word on which sums of powers modulo a power of two agree with those of its complement."""
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
