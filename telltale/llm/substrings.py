@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from telltale.llm.tasks import WORD_BREAK_PATTERN, chunks, ship, stored
+from telltale.llm.tasks import WORD_BREAK_PATTERN, chunks, only, others, place_of, ship, stored
 from telltale.llm.word_digests import Words, run_digests
 
 WINDOW = 20
@@ -91,9 +91,13 @@ def place_keys(doc_id: np.ndarray, tie: np.ndarray, first: np.ndarray) -> np.nda
 
 def _named(docs: DataFrame) -> DataFrame:
     """A document is its id and its text; rows that share both are the same document."""
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tie"), "text"
-    )
+    docs = only(docs, "doc_id", "text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tie(F.col("text")), "text")
+
+
+def _tie(text: Column) -> Column:
+    """What tells texts of one id, or of none, apart: 64 bits."""
+    return F.xxhash64(text).alias("tie")
 
 
 def sieve(keys: DataFrame) -> np.ndarray | None:
@@ -124,7 +128,7 @@ def passes(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
-_FOUND = "doc_id long, tie int, first int, many int, anchor long, digest long, spot long"
+_FOUND = "doc_id long, tie long, first int, many int, anchor long, digest long, spot long"
 
 
 def _cut(batches, window: int) -> Iterator[tuple]:
@@ -196,7 +200,7 @@ def _contents(docs: DataFrame, window: int, wanted: np.ndarray) -> DataFrame:
                 names=["doc_id", "tie", "first", "words"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, tie int, first int, words binary")
+    return docs.mapInArrow(run, "doc_id long, tie long, first int, words binary")
 
 
 class WaveletMatrix:
@@ -300,7 +304,7 @@ def repeated_windows(contents: list[bytes], window: int) -> list[np.ndarray]:
     return [found[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-_DOC = "doc_id long, tie int"
+_DOC = "doc_id long, tie long"
 _SPAN = f"{_DOC}, start int, end int"
 _SPANS = "array<struct<start: int, end: int, kind: int>>"
 
@@ -448,25 +452,28 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     judged on the texts as they come in. A text that loses words is left as its
     other words joined by one space; any other text stays as it is. A NULL text
     has no words. Adds ``n_words`` (before) and ``n_removed``; other columns are
-    kept, ones of these names replaced.
+    kept, ones of these names, in any case, replaced.
     """
     lists = repeated_spans(docs, window)
     new = ("n_words", "n_removed")
-    kept = [f for f in docs.schema.fields if f.name not in new]
-    names = [f.name for f in kept]
-    tagged = _packed(docs.select(*names, F.hash("text").alias("__own_tie")))
-    right = lists.select(
-        F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans")
+    kept = others(docs.schema.fields, new)
+    # Columns go by number here, so none can clash with another.
+    numbers = [f"c{i}" for i in range(len(docs.columns))]
+    own_id, own_text = (f"c{place_of(docs.columns, n)}" for n in ("doc_id", "text"))
+    names = [numbers[i] for i, f in enumerate(docs.schema.fields) if f in kept]
+    tagged = docs.toDF(*numbers).select(
+        *names, F.col(own_id).cast("long").alias("own_id"), _tie(F.col(own_text)).alias("own_tie")
     )
-    same = tagged["doc_id"].eqNullSafe(right["__id"]) & (tagged["__own_tie"] == right["__tie"])
-    joined = tagged.join(right, same, "left").select(*names, "__spans")
+    tagged = _packed(tagged, own_text)
+    same = tagged["own_id"].eqNullSafe(lists["doc_id"]) & (tagged["own_tie"] == lists["tie"])
+    joined = tagged.join(lists, same, "left").select(*names, "spans")
     schema = StructType([*kept, *[StructField(n, LongType(), False) for n in new]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in chunks(batches, "text", 2 << 20):
+        for batch in chunks(batches, own_text, 2 << 20):
             texts, totals, gone = [], [], []
-            for raw, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
+            for raw, spans in zip(batch.column(own_text).to_pylist(), batch.column("spans").to_pylist()):
                 text = None if raw is None else unpack.decompress(raw)
                 words = (text or b"").split()
                 out = _covered(len(words), spans or ())
@@ -476,12 +483,12 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     text = b" ".join([words[k] for k in np.flatnonzero(~out)])
                 texts.append(text)
             columns = [
-                pa.array(texts, pa.binary()).cast(pa.string()) if n == "text" else batch.column(n)
+                pa.array(texts, pa.binary()).cast(pa.string()) if n == own_text else batch.column(n)
                 for n in names
             ]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(totals, pa.int64()), pa.array(gone, pa.int64())],
-                names=[*names, *new],
+                names=schema.names,
             )
 
     return joined.mapInArrow(run, schema)
@@ -498,16 +505,16 @@ def _covered(n: int, spans) -> np.ndarray:
     return np.cumsum(cover[:-1]) > 0
 
 
-def _packed(docs: DataFrame) -> DataFrame:
+def _packed(docs: DataFrame, text: str) -> DataFrame:
     """Texts compressed, as they are shuffled once to meet their spans."""
-    fields = [StructField("text", BinaryType()) if f.name == "text" else f for f in docs.schema.fields]
+    fields = [StructField(text, BinaryType()) if f.name == text else f for f in docs.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in chunks(batches, "text"):
-            raw = batch.column("text").cast(pa.binary()).to_pylist()
+        for batch in chunks(batches, text):
+            raw = batch.column(text).cast(pa.binary()).to_pylist()
             packed = pa.array([None if t is None else pack.compress(t) for t in raw], pa.binary())
-            columns = [packed if n == "text" else batch.column(n) for n in batch.schema.names]
+            columns = [packed if n == text else batch.column(n) for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return docs.mapInArrow(run, StructType(fields))

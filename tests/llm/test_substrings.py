@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from telltale.llm import substrings
+from tests_support import thue_morse
 
 
 def words_of(text):
@@ -88,6 +89,44 @@ def test_odd_rows(make_docs, odd_rows):
     assert left[4, 0] == [0] and left[5, 0] == [0] and left[6, 0] == [0]
 
 
+def test_words_in_a_pattern_are_different_words(make_docs):
+    """Two texts that differ in one word of 1,024 characters repeat nothing."""
+    rows = []
+    for k, word in enumerate((thue_morse(1024), thue_morse(1024, "ba"))):
+        words = [f"w{i}" for i in range(25)]
+        words[12] = word
+        rows.append((k, " ".join(words)))
+    found = substrings.cut_repeats(make_docs(rows))
+    assert [r["n_removed"] for r in found.collect()] == [0, 0]
+
+
+def test_rows_without_an_id(spark, make_docs):
+    """Each is a document of its own text, also where 32 bits of a digest agree."""
+    pool = spark.range(300_000).selectExpr("concat('t', id) AS t", "hash(concat('t', id)) AS h")
+    first, second = pool.groupBy("h").agg({"t": "max", "*": "count", "h": "min"}).where(
+        "`count(1)` > 1"
+    ).join(pool, "h").select("t").limit(2).toPandas()["t"]
+    shared = " ".join(f"s{i}" for i in range(40))
+    short, long = first, f"{second}"
+    rows = [(None, f"{shared} only {k} " + " ".join(f"u{k}_{i}" for i in range(30))) for k in range(1000)]
+    rows += [(None, short), (None, long), (1, shared)]
+    found = substrings.cut_repeats(make_docs(rows)).collect()
+    cut = sorted((r["n_words"], r["n_removed"]) for r in found)
+    # The word behind the shared ones is repeated too, but for the first of these rows.
+    assert cut == sorted([(72, 41)] * 999 + [(72, 40), (1, 0), (1, 0), (40, 0)])
+
+
+def test_columns_with_clashing_names(spark):
+    shared = " ".join(f"s{i}" for i in range(30))
+    frame = spark.createDataFrame(
+        [(1, shared, 5, "x", 7), (2, shared, 6, "y", 8)],
+        "doc_id long, text string, N_WORDS int, tie string, own_id int",
+    )
+    found = substrings.cut_repeats(frame)
+    assert found.columns == ["doc_id", "text", "tie", "own_id", "n_words", "n_removed"]
+    assert sorted(map(tuple, found.collect())) == [(1, shared, "x", 7, 30, 0), (2, "", "y", 8, 30, 30)]
+
+
 def test_empty(make_docs):
     assert substrings.cut_repeats(make_docs([])).collect() == []
 
