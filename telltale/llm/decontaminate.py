@@ -32,6 +32,8 @@ EXCERPT = 120
 MIN_CHARS = 24
 # Characters of the benchmark that are searched in one pass over the documents.
 BLOCK_CHARS = 4_000_000
+# Shared q-grams that are counted at once.
+HITS = 1 << 20
 
 _FOUND = "doc_id long, item_id long, passage int, start long, end long, edits int"
 _BASE = 0x9E3779B97F4A7C15
@@ -154,22 +156,37 @@ class Index:
         many = np.searchsorted(self.digest, digest[at], "right") - low
         text = np.searchsorted(ends, came[at], "right")
         many[text != np.searchsorted(ends, came[at + Q - 1], "right")] = 0
-        hit = np.repeat(np.arange(len(at)), many)
-        entry = np.repeat(low - np.cumsum(many) + many, many) + np.arange(len(hit))
-        pattern = self.pattern[entry]
-        diagonal = at[hit] - self.place[entry]
-        regions = self._regions(text[hit], pattern, diagonal, len(codes))
+        regions = self._regions(at, low, many, text, len(codes))
         bounds = np.searchsorted(came, np.r_[0, ends])
         return self._verified(codes, came, np.r_[0, ends], bounds, *regions)
 
-    def _regions(self, text, pattern, diagonal, size) -> tuple[np.ndarray, ...]:
-        """Bands with enough shared q-grams: text, pattern, first diagonal of the band."""
+    def _regions(self, at, low, many, text, size) -> tuple[np.ndarray, ...]:
+        """Bands with enough shared q-grams: text, pattern, first diagonal of the band.
+
+        A place with a q-gram of ``many`` entries from ``low`` on is that many hits. They
+        are counted in lots, as a text of one character hits each entry of such an item
+        at every place, in few bands.
+        """
         stride = np.maximum(self.edits, 1)
-        # The text's own length keeps band numbers above zero.
-        band = (diagonal + size) // stride[pattern] + 1
-        key = (text.astype(np.int64) * len(self.patterns) + pattern) << np.int64(32)
-        # Band b holds strides b and b + 1, so a hit belongs to two bands.
-        keys, counts = np.unique(np.concatenate([key + band, key + band - 1]), return_counts=True)
+        total = np.append(0, np.cumsum(many))
+        counted, start = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+        while start < len(at):
+            end = max(start + 1, int(np.searchsorted(total, total[start] + HITS, "right")) - 1)
+            lot = slice(start, end)
+            hit = np.repeat(np.arange(start, end), many[lot])
+            first = np.repeat(low[lot] - total[lot] + total[start], many[lot])
+            entry = first + np.arange(len(hit))
+            pattern = self.pattern[entry]
+            # The text's own length keeps band numbers above zero.
+            band = (at[hit] - self.place[entry] + size) // stride[pattern] + 1
+            key = (text[hit].astype(np.int64) * len(self.patterns) + pattern) << np.int64(32)
+            # Band b holds strides b and b + 1, so a hit belongs to two bands.
+            both = np.concatenate([key + band, key + band - 1])
+            counted.append(np.unique(both, return_counts=True))
+            if len(counted) > 16:
+                counted = [_added(counted)]
+            start = end
+        keys, counts = _added(counted)
         who = (keys >> np.int64(32)) % len(self.patterns)
         keep = counts >= self.least[who]
         keys, who = keys[keep], who[keep]
@@ -215,6 +232,14 @@ class Index:
         return sorted([*wholes, *_elsewhere(_apart(sorted(found[k] for k in parts)), wholes)])
 
 
+def _added(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by key, from several lists of keys that differ within each."""
+    if len(counted) <= 2:
+        return counted[-1]
+    keys, at = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([n for _, n in counted]), len(keys)).astype(np.int64)
+
+
 def _trim(codes: np.ndarray) -> np.ndarray:
     seen = np.flatnonzero(codes != 32)
     return codes[seen[0] : seen[-1] + 1] if len(seen) else codes[:0]

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -58,6 +59,25 @@ def test_against_full_alignment():
     assert 20 < found < 80
 
 
+def test_a_text_of_one_character_takes_little_memory():
+    """Each place of the text meets each of the item; counted in lots, in few bands."""
+    index = dec.Index([(1, "-" * 320)], dec.EDIT_RATE)
+    tracemalloc.start()
+    rows = index.search(["-" * 100_000, "other"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    assert rows and {r[:2] for r in rows} == {(0, 1)} and {r[5] for r in rows} == {0}
+
+
+def test_lots_change_nothing(monkeypatch):
+    items = [(k, prose(k, 12)) for k in range(6)] + [(7, "ab" * 60)]
+    texts = [prose(3, 60), "ab" * 90 + prose(2, 40), "x" + "ab" * 59]
+    expected = dec.Index(items, dec.EDIT_RATE, 60).search(texts)
+    monkeypatch.setattr(dec, "HITS", 7)
+    assert dec.Index(items, dec.EDIT_RATE, 60).search(texts) == expected != []
+
+
 def test_long_items_are_found_in_part():
     item = prose(300, 400)
     index = dec.Index([(5, item)], dec.EDIT_RATE)
