@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from telltale.llm.components import components
-from telltale.llm.tasks import chunks, column_bytes, ship, stored
+from telltale.llm.tasks import chunks, column_bytes, only, others, place_of, ship, stored
 
 BITS = 64
 SEED = 42
@@ -31,6 +31,8 @@ SEED = 42
 BLOCK = 4096
 # Runs of up to so many are compared without a loop over their rows.
 SMALL = 16
+# Fingerprints with more than one in so many of the rows are dealt over so many keys.
+SALTS = 64
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -63,7 +65,7 @@ def with_fingerprints(
     A NULL, empty or blank text has 0. Other columns are kept, one of the new
     name is replaced.
     """
-    kept = [f for f in docs.schema.fields if f.name != into]
+    kept = others(docs.schema.fields, [into])
     names = [f.name for f in kept]
     schema = StructType([*kept, StructField(into, LongType(), False)])
     ship(docs.sparkSession)
@@ -301,26 +303,42 @@ def components_of(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataF
 
     Reads ``doc_id`` and ``text`` only; repeated rows come out each.
     """
-    prints = stored(
-        with_fingerprints(docs.select("doc_id", "text"), shingle).drop("text"), "simhash-prints"
-    )
-    return prints.join(near_copies(prints, distance), "simhash").select(
+    prints = with_fingerprints(only(docs, "doc_id", "text"), shingle).drop("text")
+    prints = stored(prints.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
+    return _spread(prints, near_copies(prints, distance)).select(
         "doc_id", as_hex(F.col("simhash")).alias("fingerprint"), "component_id"
     )
 
 
+def _spread(prints: DataFrame, copies: DataFrame) -> DataFrame:
+    """Rows of ``prints(simhash, row)`` with the row of ``copies`` for their fingerprint.
+
+    Fingerprints with more than one in ``SALTS`` of the rows, fewer than that many, are
+    counted first; their rows are dealt over ``SALTS`` keys, each with a copy.
+    """
+    counts = prints.groupBy("simhash").agg(F.count("*").alias("n"))
+    hot = counts.where(F.col("n") * SALTS > prints.count()).select("simhash").collect()
+    is_hot = F.col("simhash").isin([r["simhash"] for r in hot])
+    salt = F.when(is_hot, F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.sequence(F.lit(0), F.when(is_hot, SALTS - 1).otherwise(0))
+    right = copies.withColumn("salt", F.explode(every))
+    return prints.withColumn("salt", salt).join(right, ["simhash", "salt"]).drop("salt")
+
+
 def first_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """The documents with one row left of every component: the one with the smallest id.
 
     Rows without an id stay only where no other row of the component has one;
     of rows with one id the first of the table stays. All columns are kept.
     """
-    row, print_ = "__simhash_row", "__simhash"
-    tagged = with_fingerprints(docs, shingle, into=print_)
-    tagged = stored(tagged.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
-    prints = tagged.select("doc_id", F.col(print_).alias("simhash"), F.col(row).alias("row"))
+    # Columns go by number here, so none can clash with another.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (f"c{place_of(docs.columns, n)}" for n in ("doc_id", "text"))
+    tagged = with_fingerprints(docs.toDF(*names), shingle, text, "simhash")
+    tagged = stored(tagged.withColumn("row", F.monotonically_increasing_id()), "simhash-docs")
+    prints = tagged.select(F.col(doc_id).alias("doc_id"), "simhash", "row")
     roots = near_copies(prints, distance).select("simhash", "root")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    best = prints.join(roots, "simhash").groupBy("root").agg(F.min(order).alias("best"))
-    chosen = best.select(F.col("best.row").alias(row))
-    return tagged.join(chosen, row, "left_semi").select(*docs.columns)
+    best = _spread(prints, roots).groupBy("root").agg(F.min(order).alias("best"))
+    chosen = best.select("best.row")
+    return tagged.join(chosen, "row", "left_semi").select(*names).toDF(*docs.columns)

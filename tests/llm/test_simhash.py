@@ -106,3 +106,24 @@ def test_query(spark, sf_dir, documents):
         assert found[i]["fingerprint"] == f"{value:016x}"
         assert found[i]["component_id"] == group
     assert len(set(groups)) < len(groups)
+
+
+def test_a_third_of_all_rows_with_one_fingerprint(spark, make_docs, plan):
+    """Copies meet in many tasks, and every row has its component."""
+    same = "the same text of all of these rows"
+    rows = [(k, same if k % 3 == 0 else f"another text {k} of {k * 7} words {k * 13}") for k in range(1200)]
+    found = simhash.components_of(make_docs(rows))
+    copies = found.where("doc_id % 3 = 0")
+    assert copies.count() == 400 and [r[0] for r in copies.select("component_id").distinct().collect()] == [0]
+    assert found.count() == 1200
+    assert "salt" in plan(found)
+    kept = simhash.first_of_each(make_docs(rows))
+    assert kept.where("doc_id % 3 = 0").count() == 1
+
+
+def test_columns_with_clashing_names(spark):
+    frame = spark.createDataFrame(
+        [(2, "a b c", 5, 7), (1, "a b c", 6, 8)], "doc_id long, text string, Row int, SIMHASH long"
+    )
+    kept = simhash.first_of_each(frame)
+    assert kept.columns == frame.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c", 6, 8)]
