@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telltale.llm.bpe import LibraryUnits, Vocabulary, per_worker, tokenizer_spec
-from telltale.llm.tasks import chunks, mounted, ship
+from telltale.llm.tasks import chunks, mounted, only, ship
 
 ROWS_PER_BATCH = 256
+# Places of so many documents are kept by the task that writes a file.
+DOCS_PER_FILE = 100_000
 
 _FILE = "file string, n_docs long, n_tokens long, n_sequences long"
 _PLACE = "doc_id long, file string, at long, n_tokens long, ids binary"
@@ -107,6 +109,27 @@ class SequenceFile:
         return parts[0] if len(parts) == 1 else np.concatenate(parts or [np.zeros(0, np.uint16)])
 
 
+def _ranged(docs: DataFrame, files: int) -> DataFrame:
+    """Documents in order, cut into ranges of about equally many.
+
+    Ids alone make the ranges, which is a pass over one column, unless an id, or
+    none, has more rows than half a file: then cuts fall within its rows too.
+    """
+    order = [
+        F.col("doc_id").asc_nulls_last(),
+        F.substring("text", 1, 64).asc_nulls_first(),
+        F.xxhash64("text").asc(),
+    ]
+    most, rows = (
+        docs.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    )
+    if 2 * files * (most or 0) <= (rows or 0):
+        return docs.repartitionByRange(files, order[0]).sortWithinPartitions(*order)
+    keyed = docs.withColumn("row", F.monotonically_increasing_id())
+    order = [*order, F.col("row").asc()]
+    return keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("row")
+
+
 def write_sequences(
     docs: DataFrame,
     folder: str,
@@ -118,8 +141,8 @@ def write_sequences(
     """Write ``docs(doc_id, text)`` in ascending ``doc_id`` order; returns the files.
 
     Every document is encoded and closed by ``end_id``; a NULL text is only that
-    id. Documents with one id follow each other by text, those without an id come
-    last. A range of documents goes to one file, so a lost task repeats one file;
+    id. Documents with one id follow each other by the first 64 characters of their text,
+    then by its digest; those without an id come last. A range of documents goes to one file, so a lost task repeats one file;
     files get their final name only when they are whole. An empty table gives no
     files. Only the two columns are read, whatever else there is.
     """
@@ -128,14 +151,11 @@ def write_sequences(
     text = tokenizer_spec(tokenizer)
     kind = id_type(max(end_id + 1, len(Vocabulary(text).tokens)))
     spec = spark.sparkContext.broadcast(text)
-    files = files or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
-    # A cut is made within the rows of an id as well, so order and ranges agree.
-    ranged = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .repartitionByRange(files, *order[:1])
-        .sortWithinPartitions(*order)
-    )
+    docs = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    if files is None:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        files = max(least, -(-docs.count() // DOCS_PER_FILE))
+    ranged = _ranged(docs, files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = per_worker(LibraryUnits, spec.value)

@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from telltale.llm import sequence_files
 from telltale.session import run_dir
+from tests_support import thue_morse
 
 
 def ordered(rows):
@@ -41,6 +42,31 @@ def test_round_trip(spark, make_docs, odd_rows, tokenizer, monkeypatch, length,
         assert not any(name.startswith(".") for name in os.listdir(folder))
 
 
+def test_rows_of_one_id_lie_in_many_files(spark, make_docs, tokenizer):
+    rows = [(None, f"text {i % 50}") for i in range(400)] + [(1, "first")]
+    folder = run_dir(spark, "sequences")
+    files = sequence_files.write_sequences(make_docs(rows), folder, tokenizer, files=8)
+    files = spark.createDataFrame(files.collect(), files.schema)
+    counts = [r["n_docs"] for r in files.collect()]
+    assert len(counts) == 8 and sum(counts) == 401 and max(counts) < 100
+    places = sequence_files.with_starts(sequence_files.read_places(files, folder), files)
+    found = sorted(places.select("start", "n_tokens", "doc_id").collect())
+    assert found[0]["doc_id"] == 1
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(found, found[1:]))
+
+
+def test_words_in_a_pattern(spark, make_docs, tokenizer):
+    """Words on which sums of powers agree keep their own ids."""
+    rows = [(k, f"a {thue_morse(1024, letters)} b") for k, letters in enumerate(("ab", "ba"))]
+    folder = run_dir(spark, "sequences")
+    files = sequence_files.write_sequences(make_docs(rows), folder, tokenizer, files=1)
+    files = spark.createDataFrame(files.collect(), files.schema)
+    library = Tokenizer.from_file(tokenizer)
+    for r in sequence_files.read_places(files, folder).collect():
+        ids = [*library.encode(rows[r["doc_id"]][1], add_special_tokens=False).ids, 0]
+        assert bytes(r["ids"]) == struct.pack(f"<{len(ids)}I", *ids)
+
+
 def test_views_are_no_copies(tmp_path):
     writer = sequence_files.SequenceWriter(str(tmp_path / "x"), 8, pa.uint16())
     writer.add(np.arange(5000))
