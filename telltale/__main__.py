@@ -13,7 +13,9 @@ from telltale.operators.decode import decode, good
 from telltale.operators.windows import spine_days, spine_for, window_fill
 from telltale.session import build_session
 from telltale.sinks.exports import show_stream
-from telltale.sinks.tables import pack_batches, read_packed, write_mart
+from telltale.sinks import tables
+from telltale.sinks.cellstore import fold
+from telltale.sinks.tables import FAN, merge_packs, pack_batches, prune_mart, read_packed, write_mart
 from telltale.sources.readings import (
     FILES_PER_BATCH,
     history,
@@ -22,6 +24,7 @@ from telltale.sources.readings import (
     text_stream,
 )
 from telltale.sources.rules import RuleSet, check_rules, csv_rules, reloaded
+from telltale.streaming.replay import replay
 from telltale.streaming.speed import SpeedLayer, run_once
 
 
@@ -66,6 +69,23 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--archive", required=True, help="folder of the packs")
     job.add_argument("--upto", type=date.fromisoformat, help="last day, yesterday if not given")
 
+    job.add_argument("--merge", type=int, default=FAN, help="packs of a tier that make one of the next")
+
+    job = jobs.add_parser("vacuum", help="remove files that nothing reads any more")
+    job.add_argument("--out", required=True, help="folder of the output tables")
+    job.add_argument("--archive", required=True, help="folder of the packs")
+    job.add_argument("--mart", help="mart whose superseded windows go too")
+    job.add_argument("--grace-hours", type=float, default=48, help="longer than any job runs")
+
+    job = jobs.add_parser("fold", help="put latest cells into the sorted runs of a store")
+    job.add_argument("--out", required=True, help="folder of the output tables")
+    job.add_argument("--store", required=True, help="folder of the runs")
+    job.add_argument("--merge", type=int, default=FAN, help="runs of a level that make one of the next")
+
+    job = jobs.add_parser("replay", help="read the messages in quarantine again")
+    job.add_argument("--rules", required=True, help="CSV of threshold rules")
+    job.add_argument("--out", required=True, help="folder of the output tables")
+
     job = jobs.add_parser("show", help="print readings as they come, for debugging")
     job.add_argument("--text")
     _kafka_arguments(job)
@@ -129,6 +149,31 @@ def archive(spark: SparkSession, options: argparse.Namespace) -> None:
     upto = options.upto or datetime.now(timezone.utc).date() - timedelta(days=1)
     for table in ("history", "alerts", "cells"):
         pack_batches(spark, f"{options.out}/{table}", f"{options.archive}/{table}", upto)
+        merge_packs(spark, f"{options.archive}/{table}", options.merge)
+
+
+def vacuum(spark: SparkSession, options: argparse.Namespace) -> None:
+    grace = 3600 * options.grace_hours
+    for table in ("history", "alerts", "cells"):
+        tables.vacuum(spark, f"{options.out}/{table}", f"{options.archive}/{table}", grace)
+    if options.mart:
+        prune_mart(spark, options.mart)
+
+
+def fold_cells(spark: SparkSession, options: argparse.Namespace) -> None:
+    fold(spark, f"{options.out}/cells", options.store, options.merge)
+
+
+def replay_quarantine(spark: SparkSession, options: argparse.Namespace) -> None:
+    layer = SpeedLayer(
+        rules=check_rules(csv_rules(spark, options.rules)),
+        history_path=f"{options.out}/history",
+        alerts_path=f"{options.out}/alerts",
+        cells_path=f"{options.out}/cells",
+        quarantine_path=f"{options.out}/quarantine",
+        on_bad="quarantine",
+    )
+    replay(spark, layer)
 
 
 def show(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -139,7 +184,16 @@ def show(spark: SparkSession, options: argparse.Namespace) -> None:
 def main(argv: Sequence[str] | None = None) -> None:
     options = parser().parse_args(argv)
     spark = build_session(f"telltale-{options.job}")
-    jobs = {"speed": speed, "once": once, "batch": batch, "archive": archive, "show": show}
+    jobs = {
+        "speed": speed,
+        "once": once,
+        "batch": batch,
+        "archive": archive,
+        "vacuum": vacuum,
+        "fold": fold_cells,
+        "replay": replay_quarantine,
+        "show": show,
+    }
     jobs[options.job](spark, options)
 
 

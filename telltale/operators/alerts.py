@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telltale.functions.numbers import truncated_int
+from telltale.operators.guard import check_plan, check_text
+from telltale.operators.thresholds import BLOCK, broken_rules, threshold_blocks
 from telltale.sources.rules import RuleSet
 
 SALTS = 64
+# A metric with more rules is searched and not joined rule by rule.
+CROWDED = 32
 
 
 def fires(observed: Column, limit: Column, mod: Column) -> Column:
@@ -36,8 +40,13 @@ def match_rules(readings: DataFrame, rules: RuleSet, salts: int = SALTS) -> Data
     one in ``salts`` of the readings is measured as hot: its readings are spread
     over ``salts`` keys, each of which gets a copy of its rules. All other rules
     stay single. Adaptive execution splits what is still skewed.
+
+    Where a metric has more than ``CROWDED`` rules, readings meet sorted arrays of
+    them instead and search these, so the work follows the alerts.
     """
     observed = readings.withColumn("observed_int", truncated_int(F.col("value")))
+    if rules.most > CROWDED:
+        return _searched(observed, rules, salts)
     limits = rules.frame.select(
         F.col("metrics"),
         F.col("value").alias("threshold"),
@@ -47,16 +56,32 @@ def match_rules(readings: DataFrame, rules: RuleSet, salts: int = SALTS) -> Data
     if rules.small:
         joined = observed.join(F.broadcast(limits), "metrics")
     else:
-        is_hot = F.col("metrics").isin(hot_metrics(readings, salts))
-        # A hash of the row and not rand(): a recomputed task must salt alike.
-        spread = F.pmod(F.xxhash64("messageid", "name", "value"), F.lit(salts)).cast("int")
-        own = F.when(is_hot, spread).otherwise(0)
-        top = F.when(is_hot, salts - 1).otherwise(0)
-        copies = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), top)))
-        joined = observed.withColumn("salt", own).join(copies.hint("merge"), ["metrics", "salt"])
+        observed, copies = _salted(observed, limits, salts)
+        joined = observed.join(copies.hint("merge"), ["metrics", "salt"])
     return joined.where(fires(F.col("observed_int"), F.col("threshold_int"), F.col("mod")))
 
 
+def _salted(readings: DataFrame, limits: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: that of a hot metric's reading is one of many, and all have its rules."""
+    is_hot = F.col("metrics").isin(hot_metrics(readings, salts))
+    # A hash of the row and not rand(): a recomputed task must salt alike.
+    spread = F.pmod(F.xxhash64("messageid", "name", "value"), F.lit(salts)).cast("int")
+    own = F.when(is_hot, spread).otherwise(0)
+    top = F.when(is_hot, salts - 1).otherwise(0)
+    copies = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), top)))
+    return readings.withColumn("salt", own), copies
+
+
+def _searched(observed: DataFrame, rules: RuleSet, salts: int) -> DataFrame:
+    blocks = threshold_blocks(rules.frame, rules.most)
+    # Parts are dealt by digest, so one may hold more than its share, but not all of it.
+    steps = min(rules.most, 64 * BLOCK).bit_length()
+    if rules.small:
+        return broken_rules(observed, F.broadcast(blocks), steps, ["metrics"])
+    observed, copies = _salted(observed, blocks, salts)
+    return broken_rules(observed, copies.hint("merge"), steps, ["metrics", "salt"])
+
+
 def hot_metrics(readings: DataFrame, salts: int) -> list[str]:
     """Metrics with more than one in ``salts`` of the readings: fewer than ``salts``.
 
@@ -92,12 +117,23 @@ def _lenient_casts(spark: SparkSession) -> Iterator[None]:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
-def run_rule_text(spark: SparkSession, text: str) -> DataFrame:
+def run_rule_text(
+    spark: SparkSession, text: str, views: Iterable[str] | None = None
+) -> DataFrame:
     """Run a user's rule query, written for the older lenient casts.
 
+    With ``views`` a text that is more than one query over these is refused before
+    anything of it runs, and so is one that pairs all rows of two tables.
+
     There ``int('190.857')`` is 190 and ``int('abc')`` is NULL; the default of
     today's Spark raises an error for both. A cast keeps the mode it was analysed
     with, so the setting is needed during analysis only.
     """
+    text = text.strip().rstrip(";")
+    if views is not None:
+        check_text(spark, text, views)
     with _lenient_casts(spark):
-        return spark.sql(text.strip().rstrip(";"))
+        found = spark.sql(text)
+    if views is not None:
+        check_plan(found)
+    return found

@@ -24,12 +24,12 @@ def decode(messages: DataFrame) -> DataFrame:
     Adds ``raw`` (the message) and ``problem`` (NULL for a good reading) to the
     five reading columns. Works on batch and streaming frames alike and keeps
     one output row per input row. A NULL ``value`` is a reading without a value.
-    ``place``, the offset of a message in its source, is kept if there is one.
+    ``place`` and ``position``, where a message was in its source, are kept if there.
 
     The parsed object goes through ``inline``: a filter on ``problem`` cannot be
     pushed below it, which would parse the text again for every member tested.
     """
-    place = [c for c in messages.columns if c == "place"]
+    place = [c for c in messages.columns if c in ("place", "position")]
     parsed = messages.select(
         *place,
         F.col("value").alias("raw"),
@@ -60,7 +60,9 @@ def placed(decoded: DataFrame) -> DataFrame:
 
 
 def bad(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col("problem").isNotNull()).select("raw", "problem")
+    """Messages that are no readings, with the reason and their place in the source if known."""
+    kept = [c for c in decoded.columns if c in ("place", "position")]
+    return decoded.where(F.col("problem").isNotNull()).select("raw", "problem", *kept)
 
 
 def encode(readings: DataFrame) -> DataFrame:

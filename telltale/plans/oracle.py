@@ -3,7 +3,14 @@
 from __future__ import annotations
 
 from telltale.fixed import CAR_WIDE_COLUMNS
-from telltale.plans.queries import AS_OF, CAR_METRICS, EVENT_RULES, EVENT_WIDE_COLUMNS
+from telltale.plans.queries import (
+    AS_OF,
+    CAR_METRICS,
+    EVENT_RULES,
+    EVENT_WIDE_COLUMNS,
+    LOOKED_UP,
+    WEEK_END,
+)
 
 _SECONDS = "%Y%m%d%H%M%S"
 _LABEL = "%Y-%m-%d %H:%M:%S"
@@ -233,7 +240,56 @@ SELECT CASE metrics
 FROM readings WHERE metrics IN ('error', 'signup', 'click')"""
 
 
+_WEEK = f"s.ts < TIMESTAMP '{WEEK_END}'"
+_RERUN = f"WITH {_READINGS}, {_RULES}, {_OUTCOMES} SELECT {_DETAIL_COLUMNS} {_matched(f"m.mod = 'gt' AND {_WEEK}")}"
+
+_MANY = f"""
+WITH {_READINGS}, {_OUTCOMES},
+many AS (
+    SELECT event_type AS metrics,
+           CAST(CASE i % 4 WHEN 0 THEN -i WHEN 1 THEN 150 + i ELSE 5 * i END AS VARCHAR) AS value,
+           CASE i % 4 WHEN 0 THEN 'lt' WHEN 1 THEN 'gt' ELSE 'eq' END AS mod
+    FROM (SELECT DISTINCT event_type FROM events), range(400) AS g(i)
+)
+SELECT {_DETAIL_COLUMNS} {_matched(rules="many")}"""
+
+_LOOKUP = f"""
+SELECT {_CELL_COLUMNS} FROM ({_latest(_BUCKET)}) WHERE starts_with(row_key, '{LOOKED_UP}')"""
+
+_POSITIONS = f"""
+WITH {_READINGS}
+SELECT name || '-' || strftime({_BUCKET}, '{_SECONDS}') AS row_key,
+       CASE WHEN metrics LIKE '%driver%' THEN 'driver' ELSE 'car' END AS family,
+       metrics AS qualifier,
+       arg_max(value, (date_trunc('minute', ts), CAST(messageid AS BIGINT) % 3, CAST(messageid AS BIGINT))) AS value
+FROM readings GROUP BY ALL"""
+
+_MANY_RUNS = f"""
+WITH {_READINGS}, {_BUCKETED}, {_spine(f"(DATE '{AS_OF}' - INTERVAL 1 DAY)", "4 * 288 + 1000")}
+SELECT strftime(s.w, '{_LABEL}') AS messagedate, b.metrics, b.name, b.value
+FROM spine s LEFT JOIN bucketed b ON b.b = s.w"""
+
+# What stays bad after the mending, and what is readable at once or then.
+_REPLAY = f"""
+WITH {_READINGS}
+SELECT messageid, CASE metrics WHEN 'click' THEN '2024-01-01 00:00:00' ELSE messagedate END AS messagedate,
+       name, metrics, value, NULL AS raw, NULL AS problem
+FROM readings WHERE metrics NOT IN ('error', 'signup')
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, raw, problem FROM ({_BROKEN}) WHERE problem <> 'time unreadable'"""
+
+
 _ORACLE = {
+    "history_rerun": f"{_DECODED} s WHERE {_WEEK}",
+    "alerts_rerun": _RERUN,
+    "history_vacuumed": _DECODED,
+    "quarantine_replay": _REPLAY,
+    "cells_snapshot": _latest(_BUCKET),
+    "cells_lookup": _LOOKUP,
+    "cells_positions": _POSITIONS,
+    "alerts_many_thresholds": _MANY,
+    "alerts_rule_guarded": _often(),
+    "mart_many_runs": _MANY_RUNS,
     "alerts": _alerts(),
     "alerts_detail": _DETAIL,
     "alerts_gt": _alerts("m.mod = 'gt'"),

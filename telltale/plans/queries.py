@@ -18,7 +18,7 @@ from telltale.functions.times import bucket_start, label
 from telltale.operators import serving
 from telltale.operators.alerts import alert_details, alerts, run_rule_text
 from telltale.operators.cells import latest_cells, to_cells, wide_cells
-from telltale.operators.decode import bad, decode, encode, good
+from telltale.operators.decode import bad, decode, encode, good, placed
 from telltale.operators.windows import (
     spine_for,
     spine_over,
@@ -28,6 +28,7 @@ from telltale.operators.windows import (
 )
 from telltale.schema import READING, READING_FIELDS, RULE
 from telltale.session import run_dir, use_utc
+from telltale.sinks.cellstore import fold, latest_stored, lookup
 from telltale.sinks.exports import read_quoted_csv, write_quoted_csv
 from telltale.sinks.tables import (
     append_by_date,
@@ -35,8 +36,12 @@ from telltale.sinks.tables import (
     create_table,
     drop_table,
     insert_rows,
+    merge_packs,
     pack_batches,
+    prune_mart,
+    read_mart,
     read_packed,
+    vacuum,
     write_batch,
     write_mart,
 )
@@ -57,6 +62,7 @@ from telltale.sources.rules import (
     literal_rules,
 )
 from telltale.streaming.dashboard import read_window_max, start_window_max
+from telltale.streaming.replay import quarantined, replay
 from telltale.streaming.speed import SpeedLayer, read_output, run_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +104,10 @@ WHERE int(value) > bound
 GROUP BY name HAVING n > 1;
 """
 
+# The end of a week of events, and names whose rows are looked up.
+WEEK_END = "2024-01-08 00:00:00"
+LOOKED_UP = "U-1"
+
 # Large rules: one per user and type, more than may be broadcast there.
 LARGE_RULES = 200
 
@@ -203,13 +213,15 @@ def alerts_large_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _timed(alert_details(readings, checked))
 
 
-def _viewed(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+def _viewed(
+    spark: SparkSession, text: str, guarded: bool = False, **frames: DataFrame
+) -> DataFrame:
     """Run SQL over frames under names that nobody else has."""
     names = {place: f"{place}_{uuid.uuid4().hex}" for place in frames}
     for place, frame in frames.items():
         frame.createOrReplaceTempView(names[place])
     try:
-        return run_rule_text(spark, text.format(**names))
+        return run_rule_text(spark, text.format(**names), names.values() if guarded else None)
     finally:
         for name in names.values():
             spark.catalog.dropTempView(name)
@@ -476,7 +488,146 @@ def alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def once_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_output(spark, f"{_once(spark, sf_dir)}/quarantine")
+    return read_output(spark, f"{_once(spark, sf_dir)}/quarantine").select("raw", "problem")
+
+
+# Batches that are repeated, replayed and moved
+
+
+def _rerun(spark: SparkSession, sf_dir: str) -> str:
+    """A named run over all events, then again over those of a week, with the rules of one mode."""
+    out = run_dir(spark, "rerun")
+    readings = event_readings(spark, sf_dir)
+    week = readings.where(F.col("messagedate") < F.lit(WEEK_END).cast("timestamp_ntz"))
+    paths = {"history_path": f"{out}/history", "alerts_path": f"{out}/alerts"}
+    run_once(SpeedLayer(rules=_rules(spark), **paths), encode(readings), run="monday")
+    run_once(SpeedLayer(rules=_rules(spark, "gt"), **paths), encode(week), run="monday")
+    return out
+
+
+def history_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _timed(read_output(spark, f"{_rerun(spark, sf_dir)}/history"))
+
+
+def alerts_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _timed(read_output(spark, f"{_rerun(spark, sf_dir)}/alerts"))
+
+
+def history_vacuumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches, each packed, the packs merged, what nothing reads removed, then one more."""
+    live, archive = run_dir(spark, "live"), run_dir(spark, "archive")
+    readings = event_readings(spark, sf_dir)
+    part = F.col("messageid").cast("long") % 5
+    for k in range(4):
+        append_by_date(readings.where(part == k), live)
+        pack_batches(spark, live, archive)
+    merge_packs(spark, archive, fan=2)
+    vacuum(spark, live, archive, grace=0)
+    append_by_date(readings.where(part == 4), live)
+    return _timed(read_packed(spark, live, archive).select(*READING_FIELDS))
+
+
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in quarantine are mended, all but those without an id, and replayed twice."""
+    out = run_dir(spark, "replay")
+    layer = SpeedLayer(
+        rules=_rules(spark),
+        history_path=f"{out}/history",
+        quarantine_path=f"{out}/quarantine",
+        on_bad="quarantine",
+    )
+
+    def mended(messages: DataFrame) -> DataFrame:
+        value = F.regexp_replace("value", r'"2024-01"', '"20240101000000"')
+        return messages.withColumn("value", value)
+
+    run_once(layer, _some_broken(spark, sf_dir))
+    for _ in range(2):
+        replay(spark, layer, mended)
+    found = _timed(read_output(spark, f"{out}/history"))
+    left = quarantined(spark, f"{out}/quarantine").select("raw", "problem")
+    return found.unionByName(left, allowMissingColumns=True)
+
+
+def cells_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five batches of puts, the runs of a store folded and merged after some of them."""
+    log, store = run_dir(spark, "cells"), run_dir(spark, "store")
+    puts = _bucket_cells(spark, sf_dir)
+    part = F.col("messageid").cast("long") % 5
+    for k in range(5):
+        write_batch(puts.where(part == k), log, f"put-{k}", "version")
+        if k < 4:
+            fold(spark, log, store, fan=3, buckets=8)
+    return latest_stored(spark, log, store)
+
+
+def cells_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the names that begin alike, from the runs of a store and what came after."""
+    log, store = run_dir(spark, "cells"), run_dir(spark, "store")
+    puts = _bucket_cells(spark, sf_dir)
+    is_old = F.col("messageid").cast("long") % 3 < 2
+    write_batch(puts.where(is_old), log, "old", "version")
+    fold(spark, log, store, buckets=8)
+    write_batch(puts.where(~is_old), log, "new", "version")
+    return lookup(spark, log, store, prefix=LOOKED_UP)
+
+
+def cells_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Puts of equal versions from three topic partitions; the later half comes first."""
+    path = run_dir(spark, "cells")
+    readings = event_readings(spark, sf_dir)
+    number = F.col("messageid").cast("long")
+    members = {f: F.col(f) for f in READING_FIELDS}
+    members["messagedate"] = F.date_format("messagedate", SECONDS_FORMAT)
+    records = readings.select(
+        F.to_json(F.struct(*[c.alias(f) for f, c in members.items()])).alias("value"),
+        F.date_trunc("minute", F.col("messagedate").cast("timestamp")).alias("timestamp"),
+        F.lit("readings").alias("topic"),
+        (number % 3).cast("int").alias("partition"),
+        number.alias("offset"),
+        (number % 2 == 0).alias("early"),
+    )
+    bucket = bucket_start(F.col("messagedate"), 300)
+    for k, early in enumerate((False, True)):
+        messages = message_values(records.where(F.col("early") == early))
+        read = placed(decode(messages))
+        puts = to_cells(read, stamp=bucket, version=bucket, arrival=F.lit(k))
+        write_batch(puts, path, f"put-{k}", "version")
+    return latest_cells(read_output(spark, path))
+
+
+def alerts_many_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four hundred thresholds for each event type, which are searched and not joined."""
+    step = F.explode(F.sequence(F.lit(0), F.lit(399))).alias("i")
+    kinds = events(spark, sf_dir).select("event_type").distinct().select("event_type", step)
+    i = F.col("i")
+    rules = kinds.select(
+        F.col("event_type").alias("metrics"),
+        F.when(i % 4 == 0, -i).when(i % 4 == 1, 150 + i).when(i % 4 == 2, 5 * i).otherwise(5 * i)
+        .cast("string").alias("value"),
+        F.lit("1").alias("ent"),
+        F.when(i % 4 == 0, "lt").when(i % 4 == 1, "gt").otherwise("eq").alias("mod"),
+    )
+    checked = check_rules(rules, unique=("metrics", "mod", "value"))
+    return _timed(alert_details(event_readings(spark, sf_dir), checked))
+
+
+def alerts_rule_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user's rule query, looked at before it runs."""
+    rules = literal_rules(spark, EVENT_RULES)
+    inbox = event_readings(spark, sf_dir)
+    return _viewed(spark, RULE_TEXT, guarded=True, inbox=inbox, rules=rules)
+
+
+def mart_many_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of five days that overlap, in another order, and what they no longer give removed."""
+    path = run_dir(spark, "mart")
+    for k in (2, 0, 4, 1, 3):
+        as_of = AS_OF + timedelta(days=k)
+        readings = event_readings(spark, sf_dir)
+        write_mart(window_fill(readings, spine_for(as_of)), path, as_of)
+    prune_mart(spark, path)
+    return read_mart(spark, path)
 
 
 _QUERIES: dict[str, Query] = {
@@ -493,6 +644,10 @@ _QUERIES: dict[str, Query] = {
     "alerts_stream": alerts_stream,
     "alerts_once": alerts_once,
     "once_quarantine": once_quarantine,
+    "alerts_many_thresholds": alerts_many_thresholds,
+    "alerts_rule_guarded": alerts_rule_guarded,
+    "alerts_rerun": alerts_rerun,
+    "quarantine_replay": quarantine_replay,
     "inbox_view": inbox_view,
     "decode_readings": decode_readings,
     "decode_minutes": decode_minutes,
@@ -506,6 +661,7 @@ _QUERIES: dict[str, Query] = {
     "window_coverage": window_coverage_run,
     "mart_scan": mart_scan,
     "mart_two_runs": mart_two_runs,
+    "mart_many_runs": mart_many_runs,
     "cells": cells,
     "cells_one_metric": cells_one_metric,
     "cells_latest": cells_latest,
@@ -513,6 +669,9 @@ _QUERIES: dict[str, Query] = {
     "cells_wide_cars": cells_wide_cars,
     "cells_wide": cells_wide,
     "cells_stream": cells_stream,
+    "cells_snapshot": cells_snapshot,
+    "cells_lookup": cells_lookup,
+    "cells_positions": cells_positions,
     "dashboard_strict": dashboard_strict,
     "dashboard_max": dashboard_max,
     "dashboard_cells": dashboard_cells,
@@ -524,6 +683,8 @@ _QUERIES: dict[str, Query] = {
     "history_append": history_append,
     "history_archive": history_archive,
     "history_archive_late": history_archive_late,
+    "history_rerun": history_rerun,
+    "history_vacuumed": history_vacuumed,
     "history_stream": history_stream,
 }
 

@@ -3,6 +3,7 @@
 from pyspark.sql.types import (
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -35,6 +36,16 @@ STORED_READING = StructType([*READING.fields, StructField("event_date", DateType
 
 RULE = _strings("metrics", "value", "ent", "mod")
 
+# Where a message was in the topics it came from; ordered as its members are.
+POSITION = StructType(
+    [
+        StructField("sent", TimestampType()),
+        StructField("topic", StringType()),
+        StructField("part", IntegerType()),
+        StructField("offset", LongType()),
+    ]
+)
+
 CELL = StructType(
     [
         StructField("row_key", StringType()),
@@ -45,6 +56,7 @@ CELL = StructType(
         StructField("arrival", LongType()),
         StructField("place", LongType()),
         StructField("messageid", StringType()),
+        StructField("position", POSITION),
     ]
 )
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from telltale.functions.keys import row_key
-from telltale.schema import EVENT, STORED_READING
+from telltale.schema import EVENT, POSITION, STORED_READING
+from telltale.sinks.commits import committed
 
 TEXT = StructType([StructField("value", StringType())])
 
@@ -43,14 +44,22 @@ def kafka_options(
 
 
 def kafka_messages(spark: SparkSession, brokers: str, topic: str, **options) -> DataFrame:
-    """The messages of a topic as an unbounded frame of ``value STRING, place LONG``."""
+    """The messages of a topic as an unbounded frame of ``value, place, position``."""
     source = spark.readStream.format("kafka").options(**kafka_options(brokers, topic, **options))
     return message_values(source.load())
 
 
 def message_values(records: DataFrame) -> DataFrame:
-    """Keep the value of key-value records as text, and the offset if there is one."""
+    """Keep the value of key-value records as text, and where they were.
+
+    ``place`` is the offset, which orders messages of one partition. ``position`` orders
+    those of all partitions: the broker's time, topic, partition and offset.
+    """
     place = [F.col("offset").alias("place")] if "offset" in records.columns else []
+    if {"timestamp", "topic", "partition", "offset"} <= set(records.columns):
+        members = zip(POSITION.fields, ("timestamp", "topic", "partition", "offset"), strict=True)
+        cast = [F.col(c).cast(f.dataType).alias(f.name) for f, c in members]
+        place.append(F.struct(*cast).alias("position"))
     return records.select(F.col("value").cast("string").alias("value"), *place)
 
 
@@ -69,13 +78,8 @@ def text_stream(
 def history(
     spark: SparkSession, path: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    """Stored readings, restricted to whole event dates by partition pruning."""
-    stored = spark.read.schema(STORED_READING).parquet(path).select(*STORED_READING.names)
-    if first is not None:
-        stored = stored.where(F.col("event_date") >= F.lit(first))
-    if last is not None:
-        stored = stored.where(F.col("event_date") <= F.lit(last))
-    return stored
+    """Stored readings that count, restricted to whole event dates before files are listed."""
+    return committed(spark, path, first, last).select(*STORED_READING.names)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,14 @@ Rule = tuple[str, str, str, str]
 
 @dataclass(frozen=True)
 class RuleSet:
-    """Checked rules. ``small`` says that their measured size allows a broadcast."""
+    """Checked rules. ``small`` says that their measured size allows a broadcast.
+
+    ``most`` is the largest number of rules of one metric, as far as it was measured.
+    """
 
     frame: DataFrame
     small: bool
+    most: int = 1
 
 
 def values_clause(rows: Iterable[Sequence[str]]) -> tuple[str, dict[str, str]]:
@@ -82,7 +86,7 @@ def check_rules(
 
     A duplicate would raise every alert of its metric twice. Rules with several
     thresholds for one metric and mode pass with ``unique`` widened by ``value``.
-    The check runs two small jobs; ``reloaded`` keeps them out of most batches.
+    Then the rules of a metric are counted too. The check runs two small jobs, or three; ``reloaded`` keeps them out of most batches.
     """
     twice = rules.groupBy(*unique).count().where("count > 1").take(1)
     if twice:
@@ -91,7 +95,12 @@ def check_rules(
     for column in RULE.names:
         size = size + F.coalesce(F.octet_length(column), F.lit(0))
     rows, width = rules.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    return RuleSet(rules, rows <= broadcast_rows and width <= BROADCAST_BYTES)
+    small = rows <= broadcast_rows and width <= BROADCAST_BYTES
+    if "value" not in unique:
+        return RuleSet(rules, small)
+    # One threshold for each mode at most, unless several were asked for.
+    most = rules.groupBy("metrics").count().agg(F.max("count")).first()[0]
+    return RuleSet(rules, small, most or 0)
 
 
 def reloaded(load: Callable[[], RuleSet], seconds: float = 60) -> Callable[[], RuleSet]:

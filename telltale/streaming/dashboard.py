@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telltale.fixed import WINDOW_SECONDS
 from telltale.functions.times import bucket_start, label
+from telltale.sinks.commits import committed
 from telltale.sinks.tables import write_batch
 from telltale.streaming.batches import start_batches
 
@@ -29,11 +30,12 @@ def start_window_max(
     """Append the maxima of every micro-batch.
 
     A maximum of maxima is the maximum, so no state is kept between batches and a
-    reading counts however late it comes.
+    reading counts however late it comes. One without a time is in no window.
     """
 
     def write(batch: DataFrame, name: str, number: int) -> None:
-        write_batch(window_max(batch), path, name, "window_start")
+        timed = batch.where(F.col("messagedate").isNotNull())
+        write_batch(window_max(timed), path, name, "window_start")
 
     return start_batches(measures.writeStream, write, checkpoint, interval)
 
@@ -41,7 +43,7 @@ def start_window_max(
 def read_window_max(spark: SparkSession, path: str) -> DataFrame:
     """Current maxima, merged from those of all batches."""
     return (
-        spark.read.parquet(path)
+        committed(spark, path)
         .groupBy("name", "window_start")
         .agg(F.max("sugar").alias("sugar"))
         .select("name", label(F.col("window_start")).alias("swdate"), "sugar")

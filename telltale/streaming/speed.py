@@ -16,7 +16,8 @@ from telltale.operators.cells import to_cells
 from telltale.operators.decode import bad, decode, placed
 from telltale.schema import READING_FIELDS
 from telltale.session import run_dir
-from telltale.sinks.tables import write_batch
+from telltale.sinks.commits import OWN_LOG, Attempt, committed
+from telltale.sinks.tables import add_to
 from telltale.sources.rules import RuleSet
 from telltale.streaming.batches import start_batches
 
@@ -33,12 +34,17 @@ class SpeedLayer:
     them loaded again. They are loaded before anything of a batch is written. An
     output without a path is left out. ``rule_text`` is a user's own rule
     query over the views ``inbox_view`` and ``rules_view``; its result goes to
-    ``rule_text_path``. ``on_bad`` is ``"fail"`` (stop before anything of the
+    ``rule_text_path``. With ``guard`` it may be nothing else than one query over these. ``on_bad`` is ``"fail"`` (stop before anything of the
     batch is written) or ``"quarantine"``. ``copy_path`` is a second place for
     the readings, for example an object store.
+
+    All outputs of a batch count at once, by one entry in the log at ``log_path``;
+    without one it lies beside the first output, as ``_commits``. Each table says where its
+    log is, so readers need its path only.
     """
 
     rules: RuleSet | Callable[[], RuleSet]
+    log_path: str | None = None
     history_path: str | None = None
     copy_path: str | None = None
     alerts_path: str | None = None
@@ -50,6 +56,7 @@ class SpeedLayer:
     rules_view: str = "rules"
     cell_stamp: Column | None = None
     cell_metric: str | None = None
+    guard: bool = True
     on_bad: str = "fail"
     peek_rows: int = 0
 
@@ -73,19 +80,22 @@ class SpeedLayer:
         finally:
             decoded.unpersist()
 
-    def write(self, decoded: DataFrame, batch: str) -> None:
+    def write(self, decoded: DataFrame, batch: str, of: str | None = None) -> None:
         """Write all outputs of decoded messages.
 
-        The outputs are not one transaction, but each is replaced when the batch
-        is repeated. Work runs in as many tasks as the messages came in; rows are
-        gathered at each write only.
+        None of them counts before all are written, and then all count at once in
+        place of those of an earlier attempt at the batch, also where this one has
+        fewer days, no alerts or no bad messages. Work runs in as many tasks as the
+        messages came in; rows are gathered at each write only.
         """
+        attempt = Attempt(decoded.sparkSession, batch, self._log(), of)
         # Writes of one version count in the order of their batches.
         arrival = F.lit(time.time_ns() // 1000)
         total, wrong = decoded.agg(
             F.count("*"), F.count_if(F.col("problem").isNotNull())
         ).first()
         if total == 0:
+            attempt.commit_nothing()
             return
         if wrong and self.on_bad == "fail":
             raise BadMessages(f"batch {batch}: {wrong} of {total} messages unreadable")
@@ -98,19 +108,31 @@ class SpeedLayer:
             readings.show(self.peek_rows, truncate=False)
         for path in (self.history_path, self.copy_path):
             if path is not None:
-                write_batch(readings.select(*READING_FIELDS), path, batch, "messagedate")
+                add_to(attempt, readings.select(*READING_FIELDS), path, "messagedate")
         if self.alerts_path is not None:
             found = alert_details(readings, rules)
-            write_batch(found, self.alerts_path, batch, "messagedate")
+            add_to(attempt, found, self.alerts_path, "messagedate")
         if self.rule_text is not None:
-            self._write_own_rule(readings.select(*READING_FIELDS), rules, batch)
+            self._write_own_rule(attempt, readings.select(*READING_FIELDS), rules)
         if self.cells_path is not None:
             cells = to_cells(readings, self.cell_stamp, self.cell_metric, arrival=arrival)
-            write_batch(cells, self.cells_path, batch, "version")
+            add_to(attempt, cells, self.cells_path, "version")
         if wrong:
-            write_batch(bad(decoded), self.quarantine_path, batch)
-
-    def _write_own_rule(self, readings: DataFrame, rules: RuleSet, batch: str) -> None:
+            letters = bad(decoded).withColumn("received", F.current_timestamp())
+            add_to(attempt, letters, self.quarantine_path)
+        attempt.commit()
+
+    def _log(self) -> str | None:
+        if self.log_path is not None:
+            return self.log_path
+        outputs = (
+            self.history_path, self.alerts_path, self.cells_path, self.rule_text_path,
+            self.quarantine_path, self.copy_path,
+        )
+        first = next((p for p in outputs if p is not None), None)
+        return None if first is None else f"{first.rpartition('/')[0]}/{OWN_LOG}"
+
+    def _write_own_rule(self, attempt: Attempt, readings: DataFrame, rules: RuleSet) -> None:
         # A stream works in a session of its own; a view of the rules reaches it
         # as a global one.
         session = readings.sparkSession
@@ -119,8 +141,9 @@ class SpeedLayer:
         session.table(f"global_temp.{shared}").createOrReplaceTempView(self.rules_view)
         readings.createOrReplaceTempView(self.inbox_view)
         try:
-            found = run_rule_text(session, self.rule_text)
-            write_batch(found, self.rule_text_path, batch)
+            views = (self.inbox_view, self.rules_view)
+            found = run_rule_text(session, self.rule_text, views if self.guard else None)
+            add_to(attempt, found, self.rule_text_path)
         finally:
             session.catalog.dropGlobalTempView(shared)
 
@@ -146,5 +169,5 @@ def run_once(layer: SpeedLayer, messages: DataFrame, run: str | None = None) ->
 
 
 def read_output(spark: SparkSession, path: str) -> DataFrame:
-    """A written output without its bookkeeping columns."""
-    return spark.read.parquet(path).drop("event_date", "batch")
+    """What counts of a written output, without its bookkeeping columns."""
+    return committed(spark, path).drop("event_date", "batch")

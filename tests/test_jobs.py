@@ -50,8 +50,8 @@ def test_from_messages_to_the_mart(spark, rules_file, text, tmp_path, rows):
     options = ["speed", *layer, "--out", out, "--checkpoint", str(tmp_path / "s"), "--drain"]
     speed(spark, parser().parse_args([*options, "--max-per-batch", "1"]))
     assert history(spark, f"{out}/history").count() == 300
-    days = tmp_path / "out" / "history" / "event_date=2018-06-29"
-    assert len(list(days.glob("batch=*"))) == 3  # one file a batch, as was asked
+    days = tmp_path / "out" / "history"
+    assert len(list(days.glob("batch=*/event_date=2018-06-29"))) == 3  # one file a batch, as was asked
     alerts = read_output(spark, f"{out}/alerts").count()
     assert 100 < alerts < 300
 

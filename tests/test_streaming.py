@@ -9,11 +9,13 @@ from telltale.__main__ import parser, show
 from telltale.operators.alerts import alert_details
 from telltale.operators.cells import latest_cells
 from telltale.operators.decode import decode, good
+from telltale.operators.guard import RefusedRule
 from telltale.plans.queries import RULE_TEXT
 from telltale.sinks.exports import show_stream
 from telltale.sources.readings import history, text_messages, text_stream
 from telltale.sources.rules import check_rules, csv_rules, literal_rules
 from telltale.streaming.dashboard import read_window_max, start_window_max
+from telltale.streaming.replay import quarantined, replay
 from telltale.streaming.speed import BadMessages, SpeedLayer, read_output, run_once
 
 
@@ -118,6 +120,47 @@ def test_a_named_run_replaces_itself(spark, inbox, layer, tmp_path):
     assert history(spark, str(tmp_path / "history")).count() == 4
 
 
+def test_a_repeated_run_leaves_exactly_its_own_rows(spark, inbox, layer, rows, tmp_path):
+    """With fewer days, other rules, no bad messages, and at last no messages at all."""
+    folder = inbox("1.txt", _message(1, 150), _message(2, 150, "20180701000000"), "{bad")
+    asked = {"on_bad": "quarantine", "quarantine_path": str(tmp_path / "bad")}
+    run_once(layer(**asked), text_messages(spark, folder), run="monday")
+    assert read_output(spark, str(tmp_path / "alerts")).count() == 2
+    assert read_output(spark, str(tmp_path / "bad")).count() == 1
+
+    fewer = spark.createDataFrame([(_message(1, 150),), (_message(3, 135),)], "value string")
+    higher = check_rules(literal_rules(spark, [("speed", "140", "50", "gt")]))
+    run_once(layer(**asked, rules=higher), fewer, run="monday")
+    assert rows(history(spark, str(tmp_path / "history")), "messageid") == [("1",), ("3",)]
+    assert rows(read_output(spark, str(tmp_path / "alerts")), "messageid", "threshold") == [("1", "140")]
+    assert read_output(spark, str(tmp_path / "cells")).count() == 2
+    with pytest.raises(ValueError, match="no batch of this table"):
+        read_output(spark, str(tmp_path / "bad"))
+
+    run_once(layer(**asked), spark.createDataFrame([], "value string"), run="monday")
+    with pytest.raises(ValueError, match="no batch of this table"):
+        history(spark, str(tmp_path / "history"))
+
+
+def test_a_run_that_breaks_between_outputs_shows_none(spark, inbox, layer, tmp_path, monkeypatch):
+    folder = inbox("1.txt", _message(1, 150))
+    run_once(layer(), text_messages(spark, folder), run="sunday")
+
+    def broken(*_, **__):
+        raise RuntimeError("no cells")
+
+    monkeypatch.setattr("telltale.streaming.speed.to_cells", broken)
+    with pytest.raises(RuntimeError):
+        run_once(layer(), text_messages(spark, folder), run="monday")
+    with pytest.raises(RuntimeError):
+        run_once(layer(), text_messages(spark, inbox("2.txt", _message(2, 1))), run="sunday")
+    monkeypatch.undo()
+    for table in ("history", "alerts", "cells"):
+        assert read_output(spark, str(tmp_path / table)).count() == 1
+    run_once(layer(), text_messages(spark, folder), run="monday")
+    assert history(spark, str(tmp_path / "history")).count() == 3
+
+
 def test_an_empty_batch_writes_nothing(spark, layer, tmp_path):
     run_once(layer(), spark.createDataFrame([], "value string"))
     assert not (tmp_path / "history").exists()
@@ -145,6 +188,45 @@ def test_bad_messages_in_quarantine(spark, inbox, layer, rows, tmp_path):
     ]
 
 
+def test_replay_of_messages_in_quarantine(spark, inbox, layer, rows, tmp_path):
+    bad = str(tmp_path / "bad")
+    work = layer(on_bad="quarantine", quarantine_path=bad)
+    assert quarantined(spark, bad) is None and replay(spark, work) == []
+    folder = inbox("1.txt", _message(1, 150), "{bad", _message(2, 160, "2018-06"))
+    run_once(work, text_messages(spark, folder), run="monday")
+    run_once(work, text_messages(spark, inbox("2.txt", "{worse")).where("value = '{worse'"), run="tuesday")
+    assert rows(quarantined(spark, bad), "batch_name", "problem") == [
+        ("monday-0", "not a JSON object"), ("monday-0", "time unreadable"), ("tuesday-0", "not a JSON object"),
+    ]
+
+    def mended(messages):
+        return messages.withColumn("value", F.replace("value", F.lit("2018-06"), F.lit("20180630000000")))
+
+    for _ in range(2):
+        assert replay(spark, work, mended) == ["monday-0", "tuesday-0"]
+        assert rows(history(spark, str(tmp_path / "history")), "messageid") == [("1",), ("2",)]
+        assert read_output(spark, str(tmp_path / "alerts")).count() == 2
+        assert rows(quarantined(spark, bad), "raw") == [("{bad",), ("{worse",)]
+    # A decoder that reads nothing more takes back what the replay had.
+    replay(spark, work)
+    assert history(spark, str(tmp_path / "history")).count() == 1
+    replay(spark, work, mended)
+    # The batch itself is repeated: its replay goes with the old attempt.
+    run_once(work, text_messages(spark, folder).where("value LIKE '%150%'"), run="monday")
+    assert rows(history(spark, str(tmp_path / "history")), "messageid") == [("1",)]
+    assert rows(quarantined(spark, bad), "raw") == [("{worse",)]
+
+
+def test_own_rule_is_looked_at_before_it_runs(spark, inbox, layer, tmp_path):
+    folder = inbox("1.txt", _message(1, 150))
+    work = layer(rule_text="SELECT * FROM inbox a, inbox b", rule_text_path=str(tmp_path / "own"))
+    with pytest.raises(RefusedRule):
+        run_once(work, text_messages(spark, folder))
+    # Nothing of the batch counts.
+    with pytest.raises(ValueError, match="no batch of this table"):
+        history(spark, str(tmp_path / "history"))
+
+
 def test_own_rule_and_copy(spark, inbox, layer, rows, tmp_path):
     folder = inbox("1.txt", _message(1, 150.9), _message(2, "abc"), _message(3, 140))
     work = layer(
@@ -236,8 +318,7 @@ def test_files_follow_the_size(spark, layer, tmp_path):
         F.lit(_message(1, 150)).alias("value"), F.col("id")
     )
     run_once(layer(), messages.select("value"))
-    day = tmp_path / "history" / "event_date=2018-06-29"
-    assert len(list(day.glob("batch=*/*.parquet"))) == 1
+    assert len(list((tmp_path / "history").glob("batch=*/event_date=2018-06-29/*.parquet"))) == 1
     assert history(spark, str(tmp_path / "history")).count() == 1000
 
 
