@@ -282,6 +282,8 @@ SELECT NULL, NULL, NULL, NULL, NULL, raw, problem FROM ({_BROKEN}) WHERE problem
 _ORACLE = {
     "history_rerun": f"{_DECODED} s WHERE {_WEEK}",
     "alerts_rerun": _RERUN,
+    "history_catalog": f"""{_DECODED}
+WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'""",
     "history_vacuumed": _DECODED,
     "quarantine_replay": _REPLAY,
     "cells_snapshot": _latest(_BUCKET),

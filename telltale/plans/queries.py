@@ -28,6 +28,7 @@ from telltale.operators.windows import (
 )
 from telltale.schema import READING, READING_FIELDS, RULE
 from telltale.session import run_dir, use_utc
+from telltale.sinks.catalog import refresh, register
 from telltale.sinks.cellstore import fold, latest_stored, lookup
 from telltale.sinks.exports import read_quoted_csv, write_quoted_csv
 from telltale.sinks.tables import (
@@ -527,6 +528,23 @@ def history_vacuumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _timed(read_packed(spark, live, archive).select(*READING_FIELDS))
 
 
+def history_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL by date over a catalog table, whose batches are added and one repeated meanwhile."""
+    name, path = f"history_{uuid.uuid4().hex}", run_dir(spark, "catalogued")
+    readings = event_readings(spark, sf_dir)
+    is_even = F.col("messageid").cast("long") % 2 == 0
+    write_batch(readings, path, "first", "messagedate")
+    register(spark, name, path)
+    write_batch(readings.where(is_even), path, "first", "messagedate")
+    write_batch(readings.where(~is_even), path, "second", "messagedate")
+    refresh(spark, name, path)
+    found = spark.sql(
+        f"SELECT * FROM {name} WHERE event_date >= DATE '2024-01-05' AND event_date < DATE '2024-01-12'"
+    )
+    # The name stays: folders are asked of the catalog when the query runs.
+    return _timed(found.select(*READING_FIELDS))
+
+
 def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in quarantine are mended, all but those without an id, and replayed twice."""
     out = run_dir(spark, "replay")
@@ -683,6 +701,7 @@ _QUERIES: dict[str, Query] = {
     "history_append": history_append,
     "history_archive": history_archive,
     "history_archive_late": history_archive_late,
+    "history_catalog": history_catalog,
     "history_rerun": history_rerun,
     "history_vacuumed": history_vacuumed,
     "history_stream": history_stream,

@@ -56,10 +56,12 @@ CELL = StructType(
         StructField("arrival", LongType()),
         StructField("place", LongType()),
         StructField("messageid", StringType()),
-        StructField("position", POSITION),
     ]
 )
 
+# A put as it is stored, with its position in the topics, NULL if that is not known.
+PUT = StructType([*CELL.fields, StructField("position", POSITION)])
+
 # The table the registered queries read.
 EVENT = StructType(
     [

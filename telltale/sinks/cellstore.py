@@ -16,14 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telltale.operators.cells import ADDRESS, last_put, latest_cells
-from telltale.schema import CELL
+from telltale.schema import PUT
 from telltale.sinks.commits import DAY, read_parts
 from telltale.sinks.files import read_text, write_text
 from telltale.sinks.tables import FAN, name_pack, packed_batches, unpacked
 
 # Of a store that is new. Enough that a bucket of the largest run is sorted in one task.
 BUCKETS = 64
-_PUT = tuple(f for f in CELL.names if f not in ADDRESS)
+_REST = tuple(f for f in PUT.names if f not in ADDRESS)
 
 
 def buckets_of(spark: SparkSession, store: str, buckets: int = BUCKETS) -> int:
@@ -41,19 +41,19 @@ def _last(puts: DataFrame) -> DataFrame:
     Combined before the shuffle, so a cell that is put very often is a row a task.
     """
     found = puts.groupBy(*ADDRESS).agg(F.max(last_put(puts.columns)).alias("last"))
-    return found.select(*ADDRESS, *[F.col(f"last.{c}").alias(c) for c in _PUT])
+    return found.select(*ADDRESS, *[F.col(f"last.{c}").alias(c) for c in _REST])
 
 
 def _addressed(puts: DataFrame) -> DataFrame:
     """Puts that have a whole address; no other one can be looked up."""
-    return puts.dropna("any", subset=list(ADDRESS)).select(*CELL.names)
+    return puts.dropna("any", subset=list(ADDRESS)).select(*PUT.names)
 
 
 @contextmanager
 def _registered(spark: SparkSession, path: str, buckets: int):
     """A run under a name of the catalog, as only tables there are known to be in buckets."""
     name = f"run_{uuid.uuid4().hex}"
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CELL.fields)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PUT.fields)
     place = path.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(ADDRESS)}) "
@@ -75,8 +75,8 @@ def _bucketed(spark: SparkSession, store: str, run: str) -> DataFrame:
 def _runs(spark: SparkSession, store: str, runs: Sequence[str]) -> DataFrame:
     """Runs as plain files. A union of tables in buckets was seen to be grouped without a shuffle."""
     if not runs:
-        return spark.createDataFrame([], CELL)
-    return spark.read.schema(CELL).parquet(*[f"{store}/runs/{run}" for run in runs])
+        return spark.createDataFrame([], PUT)
+    return spark.read.schema(PUT).parquet(*[f"{store}/runs/{run}" for run in runs])
 
 
 def _write_run(puts: DataFrame, store: str, run: str) -> None:
@@ -84,7 +84,7 @@ def _write_run(puts: DataFrame, store: str, run: str) -> None:
     buckets = buckets_of(spark, store)
     with _registered(spark, f"{store}/runs/{run}", buckets) as name:
         dealt = _last(puts).repartition(buckets, *ADDRESS).sortWithinPartitions(*ADDRESS)
-        dealt.select(*CELL.names).write.insertInto(name)
+        dealt.select(*PUT.names).write.insertInto(name)
 
 
 def _levels(spark: SparkSession, store: str) -> list[tuple[int, str]]:
@@ -94,7 +94,7 @@ def _levels(spark: SparkSession, store: str) -> list[tuple[int, str]]:
 
 def _tail(spark: SparkSession, log: str, store: str) -> DataFrame:
     """Puts that no run holds."""
-    return _addressed(read_parts(spark, log, CELL, unpacked(spark, log, store)))
+    return _addressed(read_parts(spark, log, PUT, unpacked(spark, log, store)))
 
 
 def fold(spark: SparkSession, log: str, store: str, fan: int = FAN, buckets: int = BUCKETS) -> list[str]:
@@ -107,7 +107,7 @@ def fold(spark: SparkSession, log: str, store: str, fan: int = FAN, buckets: int
     todo, made = unpacked(spark, log, store), []
     if todo:
         run = uuid.uuid4().hex
-        _write_run(_addressed(read_parts(spark, log, CELL, todo)), store, run)
+        _write_run(_addressed(read_parts(spark, log, PUT, todo)), store, run)
         name_pack(spark, store, run, 0, [(d, f.removeprefix("batch=")) for f, d in todo])
         made.append(run)
     while True:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telltale.schema import RULE
+from telltale.session import run_dir
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -82,25 +84,43 @@ def check_rules(
     unique: Sequence[str] = ("metrics", "mod"),
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> RuleSet:
-    """Refuse rules that are loaded twice, and measure the rest.
+    """Settle rules, refuse those that are loaded twice, and measure the rest.
 
-    A duplicate would raise every alert of its metric twice. Rules with several
-    thresholds for one metric and mode pass with ``unique`` widened by ``value``.
-    Then the rules of a metric are counted too. The check runs two small jobs, or three; ``reloaded`` keeps them out of most batches.
+    What is checked is what is used from then on, whatever becomes of the file that the rules
+    came from: a few rules are kept as rows, more than ``broadcast_rows`` or
+    ``BROADCAST_BYTES`` as a copy in the shared folder. A duplicate would raise every
+    alert of its metric twice. Rules with several thresholds for one metric and mode pass
+    with ``unique`` widened by ``value``; then the rules of a metric are counted too.
     """
-    twice = rules.groupBy(*unique).count().where("count > 1").take(1)
+    spark = rules.sparkSession
+    rules = rules.select(*RULE.names)
+    rows = rules.take(broadcast_rows + 1)
+    width = sum(len(v.encode()) for r in rows for v in r if v is not None)
+    if len(rows) > broadcast_rows or width > BROADCAST_BYTES:
+        return _check_many(rules, unique)
+    for key, n in Counter(tuple(r[c] for c in unique) for r in rows).items():
+        if n > 1:
+            _refuse(dict(zip(unique, key, strict=True)))
+    most = max(Counter(r["metrics"] for r in rows).values(), default=0)
+    return RuleSet(spark.createDataFrame(rows, RULE), True, most if "value" in unique else 1)
+
+
+def _refuse(rule: dict) -> None:
+    raise ValueError(f"rule given more than once: {rule}")
+
+
+def _check_many(rules: DataFrame, unique: Sequence[str]) -> RuleSet:
+    path = run_dir(rules.sparkSession, "rules")
+    rules.write.parquet(path)
+    held = rules.sparkSession.read.schema(RULE).parquet(path)
+    twice = held.groupBy(*unique).count().where("count > 1").take(1)
     if twice:
-        raise ValueError(f"rule given more than once: {twice[0].asDict()}")
-    size = F.lit(0)
-    for column in RULE.names:
-        size = size + F.coalesce(F.octet_length(column), F.lit(0))
-    rows, width = rules.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    small = rows <= broadcast_rows and width <= BROADCAST_BYTES
+        _refuse({c: twice[0][c] for c in unique})
     if "value" not in unique:
-        return RuleSet(rules, small)
-    # One threshold for each mode at most, unless several were asked for.
-    most = rules.groupBy("metrics").count().agg(F.max("count")).first()[0]
-    return RuleSet(rules, small, most or 0)
+        # One threshold for each mode at most.
+        return RuleSet(held, False)
+    most = held.groupBy("metrics").count().agg(F.max("count")).first()[0]
+    return RuleSet(held, False, most or 0)
 
 
 def reloaded(load: Callable[[], RuleSet], seconds: float = 60) -> Callable[[], RuleSet]:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from telltale.operators.cells import column_mapping, latest_cells, wide_cells
 from telltale.fixed import CAR_WIDE_COLUMNS
-from telltale.schema import CELL
+from telltale.schema import POSITION
 from telltale.sinks.cellstore import fold, latest_stored, lookup
 from telltale.sinks.commits import committed
 from telltale.sinks.tables import packed_batches, write_batch
@@ -27,7 +27,7 @@ def puts(spark):
         rows += [(None, "car", "p", "1", 9, 9, 9, "x", None), ("a-1", None, "p", "1", 9, 9, 9, "x", None)]
         frame = spark.createDataFrame(rows, "row_key string, family string, qualifier string, value string, version int, arrival long, place long, messageid string, position string")
         day = F.lit("2018-06-29").cast("timestamp") + F.make_dt_interval(F.col("version"))
-        return frame.withColumn("version", day).withColumn("position", F.lit(None).cast(CELL["position"].dataType))
+        return frame.withColumn("version", day).withColumn("position", F.lit(None).cast(POSITION))
 
     return make
 

@@ -253,6 +253,22 @@ def test_rules_loaded_for_every_batch(spark, inbox, layer, rows, tmp_path):
     assert rows(found, "messageid", "threshold") == [("1", "130"), ("2", "140")]
 
 
+def test_rules_are_used_as_they_were_checked(spark, inbox, layer, rows, tmp_path):
+    """A file that changes after it was checked changes nothing before it is checked again."""
+    csv = tmp_path / "rules.csv"
+    head = '"metrics","value","ent","mod"\n"speed","130","1","gt"\n'
+    for bound in (100, 0):
+        csv.write_text(head)
+        rules = check_rules(csv_rules(spark, str(csv)), broadcast_rows=bound)
+        assert rules.small == (bound > 0)
+        csv.write_text(head + '"speed","130","1","gt"\n')
+        path = str(tmp_path / f"alerts-{bound}")
+        run_once(layer(rules=rules, alerts_path=path, history_path=None), text_messages(spark, inbox("1.txt", _message(1, 150))))
+        assert read_output(spark, path).count() == 1
+        with pytest.raises(ValueError, match="more than once"):
+            check_rules(csv_rules(spark, str(csv)), broadcast_rows=bound)
+
+
 def test_cells_of_later_batches_win(spark, inbox, layer, rows, tmp_path):
     folder = inbox("1.txt", _message(1, 5))
     stream = text_stream(spark, folder, files_per_batch=1)

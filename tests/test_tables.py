@@ -11,6 +11,7 @@ from telltale.operators.serving import mart_scan
 from telltale.operators.windows import spine_for, window_fill
 from telltale.schema import READING, READING_FIELDS, RULE
 from telltale.session import run_dir, shared_dir
+from telltale.sinks.catalog import refresh, register
 from telltale.sinks.commits import (
     Attempt,
     committed,
@@ -468,3 +469,25 @@ def test_position_of_a_message_orders_all_partitions(spark, rows):
             cells = to_cells(read, arrival=F.lit(k))
             puts = cells if puts is None else puts.unionByName(cells)
         assert rows(latest_cells(puts), "value") == [("2",)]
+
+
+def test_catalog_table_follows_the_log(spark, made, rows, plan, tmp_path):
+    path = str(tmp_path / "it's")
+    with pytest.raises(ValueError):
+        register(spark, "catalogued", path)
+    write_batch(made, path, "q-0", "messagedate")
+    register(spark, "catalogued", path)
+    assert rows(spark.table("catalogued"), *READING_FIELDS) == rows(made)
+    write_batch(made.where("messageid = 'b'"), path, "q-0", "messagedate")
+    write_batch(made, path, "q-1", "messagedate")
+    assert refresh(spark, "catalogued", path) == (4, 3) and refresh(spark, "catalogued", path) == (0, 0)
+    assert rows(spark.table("catalogued"), "messageid") == [("a",), ("b",), ("b",), ("c",)]
+    day = spark.sql("SELECT * FROM catalogued WHERE event_date = DATE '2018-06-29'")
+    assert rows(day, "messageid") == [("b",), ("b",)]
+    # The catalog hands out the folders of that day, and knows their size.
+    assert "event_date=2018-06-29" in plan(day) and "event_date=2018-06-30" not in plan(day)
+    batch = spark.table("catalogued").where("messageid = 'a'").first()["batch"]
+    told = spark.sql(f"DESCRIBE EXTENDED catalogued PARTITION (batch = '{batch}', event_date = DATE '2018-06-28')")
+    assert "bytes" in told.where("col_name = 'Partition Statistics'").first()["data_type"]
+    drop_table(spark, "catalogued")
+    assert history(spark, path).count() == 4
