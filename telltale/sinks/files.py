@@ -45,9 +45,9 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small text file in place as a whole."""
-    half = f"{path}.{uuid.uuid4().hex}"
-    system, named = _opened(spark, half)
+    """Put a small text file in place as a whole; readers of the folder pass over its half."""
+    folder, _, name = path.rpartition("/")
+    system, named = _opened(spark, f"{folder}/_{name}-{uuid.uuid4().hex}")
     stream = system.create(named)
     stream.write(bytearray(text.encode()))
     stream.close()

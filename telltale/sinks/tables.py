@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Iterable, Sequence
@@ -26,7 +27,7 @@ from telltale.sinks.commits import (
     sweep,
     within,
 )
-from telltale.sinks.files import delete, exists, subfolders
+from telltale.sinks.files import delete, exists, subfolders, write_text
 from telltale.sources.rules import values_clause
 
 
@@ -102,10 +103,10 @@ def write_mart(filled: DataFrame, path: str, as_of: date) -> None:
     delete(spark, index)
     writer = _gathered(mart, "window_date").write.mode("overwrite")
     writer.partitionBy("window_date").parquet(f"{path}/run_date={as_of}")
-    ends = spark.read.parquet(f"{path}/run_date={as_of}").agg(
-        F.lit(as_of).alias("run_date"), F.min("datewindows").alias("first"), F.max("datewindows").alias("last")
-    )
-    ends.coalesce(1).write.mode("overwrite").parquet(index)
+    written = spark.read.schema("datewindows string").parquet(f"{path}/run_date={as_of}")
+    first, last = written.agg(F.min("datewindows"), F.max("datewindows")).first()
+    said = {"run_date": f"{as_of}", "first": first, "last": last}
+    write_text(spark, f"{index}/entry.json", json.dumps(said))
 
 
 class Won(NamedTuple):
@@ -121,7 +122,7 @@ def _coverage(spark: SparkSession, path: str) -> list[tuple[date, str, str]]:
     index = f"{path}/_coverage"
     if not exists(spark, index):
         return []
-    rows = spark.read.schema("run_date date, first string, last string").parquet(index)
+    rows = spark.read.schema("run_date date, first string, last string").json(index)
     rows = rows.select("run_date", "first", "last").where("first IS NOT NULL")
     return [tuple(r) for r in rows.collect()]
 
