@@ -24,7 +24,7 @@ def bucket_start(time: Column, seconds: int) -> Column:
     """Start of the epoch-aligned bucket a time lies in; NULL stays NULL.
 
     ``window()`` gives the same start but drops rows without a time and may be
-    used once per operator only; streaming aggregates use ``window()``.
+    used once per operator only.
     """
     epoch = F.unix_seconds(time.cast("timestamp"))
     return F.timestamp_seconds(epoch - F.pmod(epoch, F.lit(seconds)))

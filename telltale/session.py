@@ -16,8 +16,8 @@ def build_session(app: str = "telltale", **settings: str) -> SparkSession:
     """A session with the settings the jobs rely on.
 
     Timestamps are formatted and parsed in UTC, so no window label occurs twice
-    on the day a local clock is set back. State of streams is kept in RocksDB, off
-    the heap. Everything else keeps Spark's defaults (adaptive execution with
+    on the day a local clock is set back. The jobs' own streams keep no state; that of
+    others in this session is kept in RocksDB, off the heap. Everything else keeps Spark's defaults (adaptive execution with
     skew-join handling and partition coalescing is one).
     """
     builder = (
